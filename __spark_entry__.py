@@ -27,7 +27,7 @@ from retrocohort.sources.delimited import load_results, read_cohort_covariates
 from retrocohort.sources.schemas import SOURCES  # noqa: E402
 from retrocohort.sources.sinks import save_extract  # noqa: E402
 from retrocohort.sources.star_schema import CATALOGUE_SQL, StarSchema  # noqa: E402
-from retrocohort.staging import lookup, stage, stage_path  # noqa: E402
+from retrocohort.staging import lookup, stage, stage_path, stored  # noqa: E402
 
 PARAMS = EX.CohortParams(drug_concept_id=900001, biomarker_concept_id=850000)
 ANALYSIS = A.AnalysisParams(drug="target", phenotype="X", concept_id_exclusions=(800005,))
@@ -198,7 +198,7 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "outpatient_biomarkers": _outpatient_biomarkers,
     "biomarkers_extract": lambda s: EX.biomarkers_extract(s.cdm, PARAMS, s.cohort),
     "coded_conditions": lambda s: E.coded_conditions(
-        s.get("condition_occurrence"), lookup(s.get("comorbidity_codes"), "comorbidity_codes")
+        s.get("condition_occurrence"), stored(s.get("comorbidity_codes"))
     ),
     "conditions_extract": lambda s: EX.conditions_extract(s.cdm, PARAMS, s.cohort),
     "normalized_extracts": _normalized,
@@ -207,8 +207,8 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "distinct_persons": lambda s: R.distinct_persons(
         covariates=s.covariates, drugs=s.drugs, biomarkers=s.biomarkers
     ),
-    "window_with_span": lambda s: s.analysis.spans,
-    "short_exposures": lambda s: P.short_exposures(s.analysis.spans),
+    "window_with_span": lambda s: s.analysis.spans.table,
+    "short_exposures": lambda s: P.short_exposures(s.analysis.spans.table),
     "observation_periods": lambda s: s.analysis.periods.table,
     "drug_ingredients": lambda s: s.analysis.drug_ingredients,
     "adult_covariates": lambda s: _rounded(s.analysis.adults, "age"),

@@ -102,17 +102,18 @@ def in_window(
     )
 
 
-def coded_conditions(conditions: DataFrame, codes: Lookup) -> DataFrame:
-    """Conditions whose source concept is on the code list, without repeats."""
+def with_codes(conditions: DataFrame, codes: Lookup) -> DataFrame:
+    """Conditions whose source concept is on the code list, repeats kept."""
     side = codes.table.withColumnRenamed("concept_id", "condition_source_concept_id")
     side = F.broadcast(side) if codes.small else side
-    return (
-        conditions.join(side, "condition_source_concept_id")
-        .select(
-            "person_id",
-            "concept_code",
-            F.col("condition_start_date").alias("condition_date"),
-            "vocabulary_id",
-        )
-        .distinct()
+    return conditions.join(side, "condition_source_concept_id").select(
+        "person_id",
+        "concept_code",
+        F.col("condition_start_date").alias("condition_date"),
+        "vocabulary_id",
     )
+
+
+def coded_conditions(conditions: DataFrame, codes: Lookup) -> DataFrame:
+    """Conditions whose source concept is on the code list, without repeats."""
+    return with_codes(conditions, codes).distinct()

@@ -19,7 +19,7 @@ from retrocohort.operators import periods as P
 from retrocohort.operators.concepts import exclude_by_regex, indication_list
 from retrocohort.operators.persons import persons_in_all, restrict_to
 from retrocohort.operators.summaries import stage_counts, table_one
-from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage
+from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
 
 # OMOP concept ids and the labels of the cohort slices.
 FEMALE_CONCEPTS = (8532, 45878463)
@@ -70,25 +70,27 @@ class CohortAnalysis:
         self.ingredients = ingredients
         self.params = params
 
-    def _lookup(self, df: DataFrame, label: str) -> Lookup:
-        return lookup(df, label, self.params.broadcast_bytes)
-
     @cached_property
     def overlap(self) -> DataFrame:
         """Persons in all three extracts."""
-        return stage(persons_in_all(self.biomarkers, self.drugs, self.covariates), "overlap")
+        return persons_in_all(self.biomarkers, self.drugs, self.covariates)
 
     @cached_property
-    def spans(self) -> DataFrame:
-        """Window and exposure span of the overlapping persons."""
+    def spans(self) -> Lookup:
+        """Window and exposure span of exactly the overlapping persons.
+
+        Each of them is in the drugs and in the covariates, so none is lost.
+        """
         spans = P.window_with_span(self.drugs, self.covariates)
-        return stage(restrict_to(spans, self.overlap), "spans")
+        return lookup(
+            restrict_to(spans, self.overlap), "spans", self.params.broadcast_bytes
+        )
 
-    @cached_property
+    @property
     def periods(self) -> Lookup:
-        return self._lookup(
-            P.observation_periods(self.spans, self.params.min_exposure_days), "periods"
-        )
+        """Observation periods, a filter on the written spans."""
+        kept = P.observation_periods(self.spans.table, self.params.min_exposure_days)
+        return Lookup(kept, self.spans.small)
 
     @cached_property
     def adults(self) -> DataFrame:
@@ -98,7 +100,9 @@ class CohortAnalysis:
 
     @cached_property
     def drug_ingredients(self) -> DataFrame:
-        return P.to_ingredients(self.drugs, self._lookup(self.ingredients, "ingredients"))
+        return P.to_ingredients(
+            self.drugs, stored(self.ingredients, self.params.broadcast_bytes)
+        )
 
     @cached_property
     def exposures(self) -> DataFrame:
@@ -109,12 +113,19 @@ class CohortAnalysis:
     def indication_exposures(self) -> DataFrame:
         """Exposures to indication drugs other than the studied drug."""
         others = exclude_by_regex(self.indication_drugs, "drug_desc", self.params.drug)
-        ids = self._lookup(others.select(F.col("rxcui_in").alias("rxcui_ingr")).distinct(), "others")
+        ids = stored(
+            others.select(F.col("rxcui_in").alias("rxcui_ingr")).distinct(),
+            self.params.broadcast_bytes,
+        )
         return self.exposures.join(ids.side, "rxcui_ingr", "left_semi")
 
     @cached_property
     def flagged(self) -> Lookup:
-        return self._lookup(P.flag_exposure(self.indication_exposures, self.adults), "flagged")
+        return lookup(
+            P.flag_exposure(self.indication_exposures, self.adults),
+            "flagged",
+            self.params.broadcast_bytes,
+        )
 
     @cached_property
     def change(self) -> DataFrame:
@@ -144,8 +155,8 @@ class CohortAnalysis:
 
     def attrition(self, outpatient_exposed: bool = False) -> DataFrame:
         stages = {
-            "n_overlapping_patients": self.overlap,
-            "less_30_exposure": P.short_exposures(self.spans, self.params.min_exposure_days),
+            "n_overlapping_patients": self.spans.table,
+            "less_30_exposure": P.short_exposures(self.spans.table, self.params.min_exposure_days),
             "n_periods": self.periods.table,
             "n_adults": self.flagged.table,
             "indication_drug_exposed": self.flagged.table.where(F.col("drug_exposed") == 1),

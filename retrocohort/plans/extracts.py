@@ -4,7 +4,7 @@
 per person with the first and last outpatient exposure, and one row per person
 and outpatient day inside the window. A window filter followed by a visit join
 is the same as a join with those days, so every extract reads its event table
-once and joins it with them on person and date.
+once and matches it with them on person and date.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from retrocohort.operators import exposure as X
 from retrocohort.operators.persons import merge_covariates
 from retrocohort.sources.schemas import EXTRACTS, require_columns
 from retrocohort.sources.tables import CdmTables
-from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup
+from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stored
 
 
 @dataclass(frozen=True)
@@ -76,20 +76,28 @@ class Cohort:
         index = X.index_exposures(
             self.cdm.get("drug_exposure"), self.drug_set, self.params.drug_concept_id
         )
-        return self._lookup(index.distinct(), "index_days")
+        return self._lookup(
+            index.select("person_id", "drug_exposure_start_date").distinct(), "index_days"
+        )
 
     @cached_property
     def span(self) -> Lookup:
         """First and last outpatient exposure per person.
 
-        The visits are the probe side: a broadcast of the index days filters
-        them at the scan, and repeated visits do not change a min or max.
+        The visits are the probe side: a broadcast of the index days, or of
+        their persons if the days are too many, filters them at the scan.
+        Repeated visits do not change a min or max.
         """
         days = self.index_days.side.withColumnRenamed("drug_exposure_start_date", "visit_start_date")
-        at_visits = (
-            self._visits()
-            .join(days, ["person_id", "visit_start_date"])
-            .withColumnRenamed("visit_start_date", "drug_exposure_start_date")
+        visits = self._visits()
+        if not self.index_days.small:
+            persons = self._lookup(days.select("person_id").distinct(), "index_persons")
+            if persons.small:
+                visits = visits.join(persons.side, "person_id", "left_semi")
+        at_visits = visits.join(days, ["person_id", "visit_start_date"]).select(
+            "person_id",
+            F.lit(int(self.params.drug_concept_id)).cast("long").alias("drug_concept_id"),
+            F.col("visit_start_date").alias("drug_exposure_start_date"),
         )
         return self._lookup(X.exposure_span(at_visits), "span")
 
@@ -103,29 +111,24 @@ class Cohort:
     def days(self) -> Lookup:
         """Outpatient days inside the window, with the number of visits on each."""
         visits = E.in_window(self._visits(), self.window, "visit_start_date")
-        return self._lookup(E.visit_days(visits, "start_date", "end_date"), "days")
+        return self._lookup(E.visit_days(visits), "days")
 
     def at_days(self, events: DataFrame, date_column: str, once: bool) -> DataFrame:
         """Events on an outpatient day in the window, with the window's dates.
 
         ``once`` gives distinct rows; otherwise a row appears once per visit.
-        Days too large to broadcast are joined by shuffle, after the windows
-        (one row per person) have dropped the events of other persons and
-        dates, and after repeats have collapsed where none are wanted.
+        Windows that fit a broadcast drop the events of other persons and
+        dates at the scan. Days that do not fit are joined by shuffle on person
+        and date, after repeats have collapsed where none are wanted.
         """
-        days = self.days.side.withColumnRenamed("visit_start_date", date_column)
-        keys = ["person_id", date_column]
-        if not self.days.small:
-            if self.window.small:
-                near = F.broadcast(self.window.table.withColumnRenamed("person_id", "_person"))
-                inside = (F.col("person_id") == F.col("_person")) & F.col(date_column).between(
-                    F.col("start_date"), F.col("end_date")
-                )
-                events = events.join(near, inside, "left_semi")
-            if once:
-                return events.distinct().join(days, keys).drop("n_visits")
-        joined = events.join(days, keys)
-        return joined.drop("n_visits").distinct() if once else E.repeat_rows(joined, "n_visits")
+        if self.window.small:
+            events = E.in_window(events, self.window, date_column)
+        if once and not self.days.small:
+            events = events.distinct()
+        found = E.at_outpatient_visit(events, self.days, date_column, keep_duplicates=not once)
+        if not self.window.small:
+            found = found.join(self.window.table, "person_id")
+        return found.distinct() if once and self.days.small else found
 
 
 def _cohort(cdm: CdmTables, params: CohortParams, cohort: Cohort | None) -> Cohort:
@@ -161,9 +164,8 @@ def drugs_extract(
     cohort = _cohort(cdm, params, cohort)
     exposures = E.mapped_exposures(cdm.get("drug_exposure"))
     if selected:
-        wanted = lookup(
+        wanted = stored(
             X.wanted_drugs(cdm.get("indication_ancestor"), cohort.drug_set.table),
-            "wanted_drugs",
             params.broadcast_bytes,
         )
         exposures = X.of_drugs(exposures, wanted, "drug_concept_id")
@@ -199,10 +201,11 @@ def conditions_extract(
 ) -> DataFrame:
     """Distinct coded diagnoses on outpatient days inside the window."""
     cohort = _cohort(cdm, params, cohort)
-    codes = lookup(cdm.get("comorbidity_codes"), "comorbidity_codes", params.broadcast_bytes)
-    coded = E.coded_conditions(cdm.get("condition_occurrence"), codes)
-    found = cohort.at_days(coded, "condition_date", once=True)
-    return found.select(*EXTRACTS["conditions"].fieldNames())
+    codes = stored(cdm.get("comorbidity_codes"), params.broadcast_bytes)
+    coded = E.with_codes(cdm.get("condition_occurrence"), codes)
+    return cohort.at_days(coded, "condition_date", once=True).select(
+        *EXTRACTS["conditions"].fieldNames()
+    )
 
 
 def extract(

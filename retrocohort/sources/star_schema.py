@@ -3,7 +3,8 @@
 The projection is portable SQL, so the same text also serves as the WITH
 prefix of a check in another engine. Names in braces are the inputs. The
 modulo terms give each source row deterministic attributes (gender, second
-visits, cohort flags); no query uses them to read less.
+visits, cohort flags); no query uses them to read less. Both sides of a join
+compute their columns first, so filters on them reach the scan they belong to.
 """
 
 from __future__ import annotations
@@ -12,7 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from retrocohort.sources.tables import CdmTables
 
-STAR_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem")
+# The columns the projection reads. Declared, so opening a table starts no job.
+STAR_SCHEMAS: dict[str, str] = {
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT",
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_orderdate TIMESTAMP_NTZ",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE",
+}
+STAR_TABLES = tuple(STAR_SCHEMAS)
 
 # The projection's expressions and literals.
 VIEW_SQL: dict[str, str] = {
@@ -35,9 +45,11 @@ SELECT CAST(910000 + CAST(substr(p_brand, 7) AS INT) AS BIGINT), p_partkey + 1 F
 UNION ALL
 SELECT CAST(850000 + s_nationkey % 2 AS BIGINT), 800000 + s_suppkey FROM {supplier}""",
     "drug_exposure": """
-SELECT o_custkey AS person_id, CASE WHEN l_linenumber = 7 THEN 0 ELSE l_partkey + 1 END AS drug_concept_id,
-  CAST(o_orderdate AS DATE) AS drug_exposure_start_date
-FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey""",
+SELECT o.person_id, l.drug_concept_id, o.drug_exposure_start_date
+FROM (SELECT o_orderkey, o_custkey AS person_id, CAST(o_orderdate AS DATE) AS drug_exposure_start_date
+      FROM {orders}) o
+JOIN (SELECT l_orderkey, CASE WHEN l_linenumber = 7 THEN 0 ELSE l_partkey + 1 END AS drug_concept_id
+      FROM {lineitem}) l ON o.o_orderkey = l.l_orderkey""",
     "visit_occurrence": """
 SELECT o_custkey AS person_id, CASE o_orderstatus WHEN 'P' THEN 9201 ELSE 9202 END AS visit_concept_id,
   CAST(o_orderdate AS DATE) AS visit_start_date FROM {orders}
@@ -45,10 +57,12 @@ UNION ALL
 SELECT o_custkey, 9202, CAST(o_orderdate AS DATE) FROM {orders}
 WHERE o_orderkey % 10 = 0 AND o_orderstatus <> 'P'""",
     "measurement": """
-SELECT o_custkey AS person_id, 800000 + l_suppkey AS measurement_concept_id,
-  CAST(o_orderdate AS DATE) AS measurement_date,
-  CASE WHEN l_linenumber = 6 THEN CAST(NULL AS DOUBLE) ELSE l_quantity * 6 - 12 END AS value_as_number
-FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey""",
+SELECT o.person_id, l.measurement_concept_id, o.measurement_date, l.value_as_number
+FROM (SELECT o_orderkey, o_custkey AS person_id, CAST(o_orderdate AS DATE) AS measurement_date
+      FROM {orders}) o
+JOIN (SELECT l_orderkey, 800000 + l_suppkey AS measurement_concept_id,
+        CASE WHEN l_linenumber = 6 THEN CAST(NULL AS DOUBLE) ELSE l_quantity * 6 - 12 END AS value_as_number
+      FROM {lineitem}) l ON o.o_orderkey = l.l_orderkey""",
     "condition_occurrence": """
 SELECT o_custkey AS person_id, 700000 + o_orderkey % 50 AS condition_source_concept_id,
   CAST(o_orderdate AS DATE) AS condition_start_date FROM {orders}""",
@@ -106,7 +120,9 @@ class StarSchema:
     def table(self, name: str) -> DataFrame:
         if name not in self._inputs:
             if name in STAR_TABLES:
-                self._inputs[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._inputs[name] = self.spark.read.schema(STAR_SCHEMAS[name]).parquet(
+                    f"{self.folder}/{name}.parquet"
+                )
             else:
                 self._inputs[name] = self.project(VIEW_SQL[name])
         return self._inputs[name]

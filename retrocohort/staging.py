@@ -2,8 +2,8 @@
 
 A study reuses a few narrow tables (first/last exposure, outpatient days,
 observation periods) in many later steps. Writing each once cuts the plan,
-survives the loss of executors, and gives the optimiser real file sizes. It
-also makes the size check before a broadcast a cheap count.
+survives the loss of executors, and gives the optimiser real file sizes. The
+size that decides about a broadcast is measured by the same write.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import tempfile
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,19 +56,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes ``df`` needs in a hash table: row header, fixed slots and text."""
+def _size_columns(df: DataFrame) -> list[Column]:
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     text_bytes = F.lit(0).cast("long")
     for name in text:
         text_bytes = text_bytes + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    n_rows, n_text = df.agg(F.count(F.lit(1)), F.sum(text_bytes)).first()
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(text_bytes).alias("n_text")]
+
+
+def _hash_table_bytes(df: DataFrame, n_rows: int, n_text: int | None) -> int:
+    """Bytes the rows need in a hash table: row header, fixed slots and text."""
     return n_rows * (16 + 8 * len(df.columns)) + (n_text or 0)
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """A staged table and whether its measured size allows a broadcast."""
+    """A table and whether its measured size allows a broadcast."""
 
     table: DataFrame
     small: bool
@@ -80,11 +83,19 @@ class Lookup:
 
 
 def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
-    """Stage ``df`` and measure it.
+    """Stage ``df``, measuring it while it is written.
 
     Beyond the bound the table stays a plain join side read straight from
     storage, so both inputs of the join are bare shuffles and adaptive
     execution can split a hot key.
     """
-    table = stage(df, label)
-    return Lookup(table, measured_bytes(table) <= broadcast_bytes)
+    size = Observation()
+    table = stage(df.observe(size, *_size_columns(df)), label)
+    found = size.get
+    return Lookup(table, _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes)
+
+
+def stored(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
+    """A lookup over a table that is stored already, or is cheap to derive: measured, not written."""
+    found = df.agg(*_size_columns(df)).first()
+    return Lookup(df, _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes)
