@@ -36,11 +36,19 @@ ANALYSIS = A.AnalysisParams(drug="target", phenotype="X", concept_id_exclusions=
 class Study:
     """One study over a folder of Parquet files; shared steps are built once."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        params: EX.CohortParams = PARAMS,
+        analysis: A.AnalysisParams = ANALYSIS,
+    ):
         self.spark = spark
+        self.params = params
+        self.analysis_params = analysis
         self.star = StarSchema(spark, sf_dir)
         self.cdm = self.star.cdm()
-        self.cohort = EX.Cohort(self.cdm, PARAMS)
+        self.cohort = EX.Cohort(self.cdm, params)
 
     def get(self, name: str) -> DataFrame:
         return self.cdm.get(name)
@@ -48,25 +56,26 @@ class Study:
     @cached_property
     def index(self) -> DataFrame:
         return X.index_exposures(
-            self.get("drug_exposure"), self.cohort.drug_set, PARAMS.drug_concept_id
+            self.get("drug_exposure"), self.cohort.drug_set, self.params.drug_concept_id
         )
 
     @cached_property
     def visit_days(self):
         """Every outpatient day, for the visit operators used without a window."""
-        return lookup(E.visit_days(E.outpatient_visits(self.get("visit_occurrence"))), "visit_days")
+        days = E.visit_days(E.outpatient_visits(self.get("visit_occurrence")))
+        return lookup(days, "visit_days", self.params.broadcast_bytes)
 
     @cached_property
     def covariates(self) -> DataFrame:
-        return stage(EX.extract("covariates", self.cdm, PARAMS, self.cohort), "covariates")
+        return stage(EX.extract("covariates", self.cdm, self.params, self.cohort), "covariates")
 
     @cached_property
     def drugs(self) -> DataFrame:
-        return stage(EX.extract("drugs", self.cdm, PARAMS, self.cohort), "drugs")
+        return stage(EX.extract("drugs", self.cdm, self.params, self.cohort), "drugs")
 
     @cached_property
     def biomarkers(self) -> DataFrame:
-        return stage(EX.extract("biomarkers", self.cdm, PARAMS, self.cohort), "biomarkers")
+        return stage(EX.extract("biomarkers", self.cdm, self.params, self.cohort), "biomarkers")
 
     @cached_property
     def analysis(self) -> A.CohortAnalysis:
@@ -74,9 +83,9 @@ class Study:
             self.covariates,
             self.drugs,
             self.biomarkers,
-            C.indication_list(self.get("indication_drugs"), ANALYSIS.phenotype),
+            C.indication_list(self.get("indication_drugs"), self.analysis_params.phenotype),
             self.get("drug_to_ingredient"),
-            ANALYSIS,
+            self.analysis_params,
         )
 
     @cached_property
@@ -87,7 +96,7 @@ class Study:
             self.biomarkers,
             self.get("indication_drugs"),
             self.get("drug_to_ingredient"),
-            ANALYSIS,
+            self.analysis_params,
         )
 
 
@@ -97,18 +106,15 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def _outpatient_biomarkers(s: Study) -> DataFrame:
-    codes = lookup(EX.biomarker_concepts(s.cdm, PARAMS).select(
-        F.col("concept_id").alias("measurement_concept_id")
-    ).distinct(), "biomarker_set")
-    values = E.bounded_values(s.get("measurement"), PARAMS.upper_bound_biomarker).join(
-        codes.side, "measurement_concept_id", "left_semi"
+    values = E.bounded_values(
+        E.of_concepts(s.get("measurement"), "measurement_concept_id", s.cohort.biomarker_set),
+        s.params.upper_bound_biomarker,
     )
     return E.at_outpatient_visit(values, s.visit_days, "measurement_date", keep_duplicates=True)
 
 
 def _selected_drugs(s: Study) -> DataFrame:
-    everything = EX.drugs_extract(s.cdm, PARAMS, s.cohort)
-    return X.select_drugs(everything, s.get("indication_ancestor"), s.cohort.drug_set.table)
+    return X.select_drugs(EX.drugs_extract(s.cdm, s.params, s.cohort), s.cohort.wanted_drugs)
 
 
 def _normalized(s: Study) -> DataFrame:
@@ -138,7 +144,7 @@ def _normalized(s: Study) -> DataFrame:
 
 
 def _saved_extract(s: Study) -> DataFrame:
-    drugs = EX.extract("drugs", s.cdm, PARAMS, s.cohort)
+    drugs = EX.extract("drugs", s.cdm, s.params, s.cohort)
     return save_extract(drugs, stage_path(s.spark, "saved_drugs"))
 
 
@@ -168,15 +174,15 @@ def _table_one(s: Study, categorical: bool) -> DataFrame:
 TREATMENT_COLUMNS = ("treat_start", "treat_end")
 
 QUERIES: dict[str, Callable[[Study], DataFrame]] = {
-    "concept_set": lambda s: EX.drug_concepts(s.cdm, PARAMS),
+    "concept_set": lambda s: EX.drug_concepts(s.cdm, s.params),
     "code_sets": lambda s: C.code_sets(
-        EX.drug_concepts(s.cdm, PARAMS), EX.biomarker_concepts(s.cdm, PARAMS)
+        EX.drug_concepts(s.cdm, s.params), EX.biomarker_concepts(s.cdm, s.params)
     ),
     "outpatient_visits": lambda s: E.outpatient_visits(s.get("visit_occurrence")),
     "mapped_exposures": lambda s: E.mapped_exposures(s.get("drug_exposure")),
     "bounded_measurements": lambda s: E.bounded_values(s.get("measurement")),
     "excluded_measurements": lambda s: C.exclude_concepts(
-        s.get("measurement"), "measurement_concept_id", ANALYSIS.concept_id_exclusions
+        s.get("measurement"), "measurement_concept_id", s.analysis_params.concept_id_exclusions
     ),
     "index_exposures": lambda s: s.index,
     "outpatient_exposures": lambda s: E.at_outpatient_visit(
@@ -190,17 +196,17 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "person_covariates": lambda s: R.person_covariates(
         s.get("person"), s.cohort.index_days.table
     ),
-    "covariates_extract": lambda s: EX.covariates_extract(s.cdm, PARAMS, s.cohort),
-    "drugs_extract_all": lambda s: EX.drugs_extract(s.cdm, PARAMS, s.cohort),
-    "drugs_extract_selected": lambda s: EX.drugs_extract(s.cdm, PARAMS, s.cohort, selected=True),
+    "covariates_extract": lambda s: EX.covariates_extract(s.cdm, s.params, s.cohort),
+    "drugs_extract_all": lambda s: EX.drugs_extract(s.cdm, s.params, s.cohort),
+    "drugs_extract_selected": lambda s: EX.drugs_extract(s.cdm, s.params, s.cohort, selected=True),
     "selected_drugs": _selected_drugs,
     "saved_extract": _saved_extract,
     "outpatient_biomarkers": _outpatient_biomarkers,
-    "biomarkers_extract": lambda s: EX.biomarkers_extract(s.cdm, PARAMS, s.cohort),
+    "biomarkers_extract": lambda s: EX.biomarkers_extract(s.cdm, s.params, s.cohort),
     "coded_conditions": lambda s: E.coded_conditions(
-        s.get("condition_occurrence"), stored(s.get("comorbidity_codes"))
+        s.get("condition_occurrence"), stored(s.get("comorbidity_codes"), s.params.broadcast_bytes)
     ),
-    "conditions_extract": lambda s: EX.conditions_extract(s.cdm, PARAMS, s.cohort),
+    "conditions_extract": lambda s: EX.conditions_extract(s.cdm, s.params, s.cohort),
     "normalized_extracts": _normalized,
     "persons_in_all": lambda s: R.persons_in_all(s.biomarkers, s.drugs, s.covariates),
     "restricted_drugs": lambda s: R.restrict_to(s.drugs, s.analysis.overlap),

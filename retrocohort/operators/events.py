@@ -20,6 +20,16 @@ def mapped_exposures(exposures: DataFrame) -> DataFrame:
     )
 
 
+def of_concepts(events: DataFrame, column: str, concepts: Lookup) -> DataFrame:
+    """Events whose ``column`` is in the concept set, repeats kept.
+
+    A semi join: the optimiser moves it below other joins, next to the scan.
+    """
+    side = concepts.table.select(F.col("concept_id").alias(column))
+    side = F.broadcast(side) if concepts.small else side
+    return events.join(side, column, "left_semi")
+
+
 def bounded_values(measurements: DataFrame, upper: float = 250, lower: float = 0) -> DataFrame:
     """Measurements with lower < value <= upper; NULL values are dropped."""
     value = F.col("value_as_number")

@@ -5,22 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retrocohort.operators.events import of_concepts
 from retrocohort.staging import Lookup
 
 
-def of_drugs(exposures: DataFrame, drugs: Lookup, id_column: str = "concept_id") -> DataFrame:
-    """Exposures to the listed drugs, repeats kept.
-
-    A semi join: the optimiser moves it below other joins, next to the scan.
-    """
-    side = drugs.table.select(F.col(id_column).alias("drug_concept_id"))
-    side = F.broadcast(side) if drugs.small else side
-    return exposures.join(side, "drug_concept_id", "left_semi")
-
-
 def index_exposures(exposures: DataFrame, drug_set: Lookup, target_id: int) -> DataFrame:
     """Exposures to any drug of the set, labelled with the target drug's id."""
-    return of_drugs(exposures, drug_set).select(
+    return of_concepts(exposures, "drug_concept_id", drug_set).select(
         "person_id",
         F.lit(int(target_id)).cast("long").alias("drug_concept_id"),
         "drug_exposure_start_date",
@@ -46,17 +37,15 @@ def cohort_window(span: DataFrame, months: int = 12) -> DataFrame:
     )
 
 
-def select_drugs(drugs: DataFrame, indication: DataFrame, drug_set: DataFrame) -> DataFrame:
-    """Distinct drug rows that belong to the indication list or to the target set."""
-    return drugs.join(wanted_drugs(indication, drug_set), "drug_concept_id", "left_semi").select(
-        *drugs.columns
-    ).distinct()
-
-
 def wanted_drugs(indication: DataFrame, drug_set: DataFrame) -> DataFrame:
-    """Ids of the indication list and of the target set, as drug_concept_id."""
+    """Concept ids of the indication list and of the target set."""
     return (
-        indication.select(F.col("descendant_concept_id").alias("drug_concept_id"))
+        indication.select(F.col("descendant_concept_id").alias("concept_id"))
         .union(drug_set.select("concept_id"))
         .distinct()
     )
+
+
+def select_drugs(drugs: DataFrame, wanted: Lookup) -> DataFrame:
+    """Distinct drug rows whose drug is wanted."""
+    return of_concepts(drugs, "drug_concept_id", wanted).select(*drugs.columns).distinct()

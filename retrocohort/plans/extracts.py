@@ -70,6 +70,20 @@ class Cohort:
     def drug_set(self) -> Lookup:
         return self._lookup(drug_concepts(self.cdm, self.params).select("concept_id").distinct(), "drug_set")
 
+    @cached_property
+    def biomarker_set(self) -> Lookup:
+        return self._lookup(
+            biomarker_concepts(self.cdm, self.params).select("concept_id").distinct(), "biomarker_set"
+        )
+
+    @cached_property
+    def wanted_drugs(self) -> Lookup:
+        """The indication drugs and the target drugs."""
+        return stored(
+            X.wanted_drugs(self.cdm.get("indication_ancestor"), self.drug_set.table),
+            self.params.broadcast_bytes,
+        )
+
     @cached_property
     def index_days(self) -> Lookup:
         """Distinct person and date of the target-drug exposures, any visit type."""
@@ -164,11 +178,7 @@ def drugs_extract(
     cohort = _cohort(cdm, params, cohort)
     exposures = E.mapped_exposures(cdm.get("drug_exposure"))
     if selected:
-        wanted = stored(
-            X.wanted_drugs(cdm.get("indication_ancestor"), cohort.drug_set.table),
-            params.broadcast_bytes,
-        )
-        exposures = X.of_drugs(exposures, wanted, "drug_concept_id")
+        exposures = E.of_concepts(exposures, "drug_concept_id", cohort.wanted_drugs)
     found = cohort.at_days(exposures, "drug_exposure_start_date", once=True)
     return found.select(*EXTRACTS["drugs"].fieldNames())
 
@@ -182,16 +192,11 @@ def biomarkers_extract(
     has no deduplication after it.
     """
     cohort = _cohort(cdm, params, cohort)
-    codes = lookup(
-        biomarker_concepts(cdm, params)
-        .select(F.col("concept_id").alias("measurement_concept_id"))
-        .distinct(),
-        "biomarker_set",
-        params.broadcast_bytes,
-    )
     values = E.bounded_values(
-        cdm.get("measurement"), params.upper_bound_biomarker, params.lower_bound_biomarker
-    ).join(codes.side, "measurement_concept_id", "left_semi")
+        E.of_concepts(cdm.get("measurement"), "measurement_concept_id", cohort.biomarker_set),
+        params.upper_bound_biomarker,
+        params.lower_bound_biomarker,
+    )
     found = cohort.at_days(values, "measurement_date", once=False)
     return found.select(*EXTRACTS["biomarkers"].fieldNames())
 
