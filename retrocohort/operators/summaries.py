@@ -153,10 +153,18 @@ def describe_lengths(df: DataFrame, column: str, bin_width: float = 1.0) -> Data
     quartiles = exact_quantiles(
         everything, ["_all"], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, bin_width
     )
-    moments = everything.groupBy("_all").agg(
+    moments = everything.agg(
         F.min("_x").alias("min"), F.avg("_x").alias("mean"), F.max("_x").alias("max")
     )
-    return moments.join(quartiles, "_all").select("min", "q1", "median", "mean", "q3", "max")
+    stats = _stats_rows(quartiles, [], ["q1", "median", "q3"]).unionByName(
+        _stats_rows(moments, [], ["min", "mean", "max"])
+    )
+    return stats.agg(
+        *[
+            F.max(F.when(F.col("stat") == name, F.col("value"))).alias(name)
+            for name in ("min", "q1", "median", "mean", "q3", "max")
+        ]
+    )
 
 
 def stage_counts(**stages: DataFrame) -> DataFrame:

@@ -1,0 +1,140 @@
+"""Registered queries against their SQL, by broadcast and by shuffle, and their plans."""
+
+from __future__ import annotations
+
+import dataclasses
+
+import pytest
+
+import __spark_entry__ as entry_point
+from tests.compare import oracle_connection, oracle_result, spark_result
+
+FOLDER = "/root/testdata/sf0.001"
+
+# Persons or rows expected at this scale.
+ROWS = {
+    "concept_set": 35,
+    "index_exposures": 912,
+    "exposure_span": 139,
+    "covariates_extract": 139,
+    "drugs_extract_all": 1265,
+    "drugs_extract_selected": 391,
+    "biomarkers_extract": 528,
+    "conditions_extract": 171,
+    "persons_in_all": 127,
+    "observation_periods": 107,
+    "adult_covariates": 90,
+    "period_exposures": 325,
+    "biomarker_change": 18,
+    "demographics": 5,
+}
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return oracle_connection(FOLDER)
+
+
+def _study(spark, broadcast_bytes: int | None):
+    if broadcast_bytes is None:
+        return entry_point.Study(spark, FOLDER)
+    return entry_point.Study(
+        spark,
+        FOLDER,
+        dataclasses.replace(entry_point.PARAMS, broadcast_bytes=broadcast_bytes),
+        dataclasses.replace(entry_point.ANALYSIS, broadcast_bytes=broadcast_bytes),
+    )
+
+
+@pytest.fixture(scope="module")
+def study(spark):
+    return _study(spark, None)
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark):
+    """A study in which nothing is small enough to broadcast."""
+    return _study(spark, -1)
+
+
+@pytest.fixture
+def no_automatic_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("name", list(entry_point.QUERIES))
+def test_query_equals_its_sql(study, connection, name):
+    got = spark_result(entry_point.QUERIES[name](study))
+    assert got == oracle_result(connection, entry_point.oracle_sql()[name])
+    assert sum(got[1].values()) == ROWS.get(name, sum(got[1].values()))
+
+
+@pytest.mark.parametrize("name", list(entry_point.QUERIES))
+def test_plans_stay_in_the_engine_and_never_cross(study, name):
+    plan = entry_point.QUERIES[name](study)._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups"):
+        assert node not in plan
+
+
+SHUFFLED = [
+    "index_exposures",
+    "outpatient_exposures",
+    "exposure_span",
+    "events_in_window",
+    "drugs_extract_all",
+    "drugs_extract_selected",
+    "outpatient_biomarkers",
+    "biomarkers_extract",
+    "conditions_extract",
+    "covariates_extract",
+    "period_exposures",
+    "biomarker_change",
+    "subanalysis_flags",
+    "demographics",
+    "cohort_attrition",
+]
+
+
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_shuffled_query_equals_its_sql(shuffled, no_automatic_broadcast, connection, name):
+    df = entry_point.QUERIES[name](shuffled)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan
+    assert spark_result(df) == oracle_result(connection, entry_point.oracle_sql()[name])
+
+
+def test_attrition_row(study):
+    row = entry_point.QUERIES["cohort_attrition"](study).first()
+    assert tuple(row)[2:] == (127, 20, 17, 39, 46, 5)
+
+
+def test_entry_and_registry(spark):
+    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert entry_point.entry(spark).count() == 5
+
+
+def test_extract_invariants(study):
+    drugs, every = study.drugs, entry_point.QUERIES["drugs_extract_all"](study)
+    assert drugs.exceptAll(every).isEmpty()
+    assert every.where("drug_exposure_start_date NOT BETWEEN start_date AND end_date").isEmpty()
+    windows = study.cohort.window.table
+    assert windows.count() == windows.select("person_id").distinct().count()
+    first = study.covariates.selectExpr("person_id", "first_drug_exposure AS drug_exposure_start_date")
+    assert first.join(drugs, ["person_id", "drug_exposure_start_date"], "left_anti").isEmpty()
+
+
+def test_drug_filter_sits_below_the_join_of_the_exposure_view(study):
+    plan = study.index._jdf.queryExecution().optimizedPlan().toString()
+    semi, inner = plan.index("Join LeftSemi"), plan.index("Join Inner")
+    assert inner < semi
+
+
+def test_extract_shuffles_only_for_the_measurement_view(study, no_automatic_broadcast):
+    plan = entry_point.QUERIES["biomarkers_extract"](study)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 3
+    assert plan.count("SortMergeJoin") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
