@@ -27,7 +27,7 @@ from retrocohort.sources.delimited import load_results, read_cohort_covariates
 from retrocohort.sources.schemas import SOURCES  # noqa: E402
 from retrocohort.sources.sinks import save_extract  # noqa: E402
 from retrocohort.sources.star_schema import CATALOGUE_SQL, StarSchema  # noqa: E402
-from retrocohort.staging import lookup, stage, stage_path, stored  # noqa: E402
+from retrocohort.staging import lookup, stage_path, stored  # noqa: E402
 
 PARAMS = EX.CohortParams(drug_concept_id=900001, biomarker_concept_id=850000)
 ANALYSIS = A.AnalysisParams(drug="target", phenotype="X", concept_id_exclusions=(800005,))
@@ -66,16 +66,21 @@ class Study:
         return lookup(days, "visit_days", self.params.broadcast_bytes)
 
     @cached_property
+    def extracts(self) -> dict[str, DataFrame]:
+        """The three extracts the analysis reads, saved."""
+        return EX.save_extracts(self.cdm, self.params, self.cohort)
+
+    @property
     def covariates(self) -> DataFrame:
-        return stage(EX.extract("covariates", self.cdm, self.params, self.cohort), "covariates")
+        return self.extracts["covariates"]
 
-    @cached_property
+    @property
     def drugs(self) -> DataFrame:
-        return stage(EX.extract("drugs", self.cdm, self.params, self.cohort), "drugs")
+        return self.extracts["drugs"]
 
-    @cached_property
+    @property
     def biomarkers(self) -> DataFrame:
-        return stage(EX.extract("biomarkers", self.cdm, self.params, self.cohort), "biomarkers")
+        return self.extracts["biomarkers"]
 
     @cached_property
     def analysis(self) -> A.CohortAnalysis:
@@ -216,7 +221,9 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "window_with_span": lambda s: s.analysis.spans.table,
     "short_exposures": lambda s: P.short_exposures(s.analysis.spans.table),
     "observation_periods": lambda s: s.analysis.periods.table,
-    "drug_ingredients": lambda s: s.analysis.drug_ingredients,
+    "drug_ingredients": lambda s: P.to_ingredients(
+        s.drugs, stored(s.get("drug_to_ingredient"), s.params.broadcast_bytes)
+    ),
     "adult_covariates": lambda s: _rounded(s.analysis.adults, "age"),
     "age_years": lambda s: s.get("covariates_file").select(
         "person_id", F.round(age_years("dob", "start_date"), 6).alias("age")

@@ -46,12 +46,15 @@ def observation_periods(spans: DataFrame, min_days: int = MIN_EXPOSURE_DAYS) ->
 
 
 def to_ingredients(drugs: DataFrame, mapping: Lookup) -> DataFrame:
-    """Distinct drug exposures with their ingredient; unmapped drugs drop out."""
+    """Distinct drug exposures with their ingredient; unmapped drugs drop out.
+
+    The map comes first, so a short map leaves little to deduplicate.
+    """
     return (
         drugs.select("person_id", "drug_exposure_start_date", "drug_concept_id")
-        .distinct()
         .join(mapping.side, "drug_concept_id")
         .select("person_id", "drug_exposure_start_date", "drug_concept_id", "rxcui_ingr")
+        .distinct()
     )
 
 
@@ -112,6 +115,30 @@ def flag_exposure(exposed: DataFrame, covariates: DataFrame) -> DataFrame:
     )
 
 
+def period_values(
+    biomarkers: DataFrame, flagged: Lookup, exclude: tuple[int, ...] | list[int] = ()
+) -> DataFrame:
+    """Values of the flagged persons inside their observation period, labelled by part."""
+    spans = Lookup(
+        flagged.table.select("person_id", "start_date", "first_drug_exposure", "final_end_date"),
+        flagged.small,
+    )
+    values = (
+        exclude_concepts(biomarkers, "measurement_concept_id", exclude)
+        .where(F.col("value_as_number").isNotNull())
+        .select("person_id", "measurement_date", "value_as_number")
+    )
+    return in_window(values, spans, "measurement_date", end="final_end_date").select(
+        "person_id", _period_label("measurement_date").alias("period"), "value_as_number"
+    )
+
+
+def persons_with_change(values: DataFrame) -> DataFrame:
+    """Persons with a value in both parts; one flag per part, merged before the shuffle."""
+    seen = F.bit_or(F.when(F.col("period") == BASELINE, 1).otherwise(2))
+    return values.groupBy("person_id").agg(seen.alias("_seen")).where("_seen = 3").select("person_id")
+
+
 def biomarker_change(
     biomarkers: DataFrame,
     flagged: Lookup,
@@ -123,18 +150,12 @@ def biomarker_change(
     Only persons with values in both parts are kept. ``value_bin`` is the bin
     width of the exact median.
     """
-    spans = Lookup(
-        flagged.table.select("person_id", "start_date", "first_drug_exposure", "final_end_date"),
-        flagged.small,
-    )
-    values = exclude_concepts(biomarkers, "measurement_concept_id", exclude).select(
-        "person_id", "measurement_date", "value_as_number"
-    )
-    labelled = in_window(values, spans, "measurement_date", end="final_end_date").select(
-        "person_id", _period_label("measurement_date").alias("period"), "value_as_number"
-    )
     medians = exact_quantiles(
-        labelled, ["person_id", "period"], "value_as_number", {"median": 0.5}, value_bin
+        period_values(biomarkers, flagged, exclude),
+        ["person_id", "period"],
+        "value_as_number",
+        {"median": 0.5},
+        value_bin,
     )
     value = {
         part: F.max(F.when(F.col("period") == part, F.col("median"))) for part in (BASELINE, TREATMENT)

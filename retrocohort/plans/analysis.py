@@ -98,26 +98,25 @@ class CohortAnalysis:
             self.covariates, self.periods.side, self.params.min_age, self.params.race_ids
         )
 
-    @cached_property
-    def drug_ingredients(self) -> DataFrame:
-        return P.to_ingredients(
-            self.drugs, stored(self.ingredients, self.params.broadcast_bytes)
-        )
-
     @cached_property
     def exposures(self) -> DataFrame:
         """Ingredient exposures inside the observation periods."""
-        return P.period_exposures(self.periods, self.drug_ingredients)
+        mapping = stored(self.ingredients, self.params.broadcast_bytes)
+        return P.period_exposures(self.periods, P.to_ingredients(self.drugs, mapping))
 
     @cached_property
     def indication_exposures(self) -> DataFrame:
-        """Exposures to indication drugs other than the studied drug."""
+        """Exposures to indication drugs other than the studied drug.
+
+        The list shortens the ingredient map first, so only drugs that count
+        leave the scan.
+        """
         others = exclude_by_regex(self.indication_drugs, "drug_desc", self.params.drug)
-        ids = stored(
-            others.select(F.col("rxcui_in").alias("rxcui_ingr")).distinct(),
-            self.params.broadcast_bytes,
+        ids = others.select(F.col("rxcui_in").alias("rxcui_ingr")).distinct()
+        mapping = stored(
+            self.ingredients.join(ids, "rxcui_ingr", "left_semi"), self.params.broadcast_bytes
         )
-        return self.exposures.join(ids.side, "rxcui_ingr", "left_semi")
+        return P.period_exposures(self.periods, P.to_ingredients(self.drugs, mapping))
 
     @cached_property
     def flagged(self) -> Lookup:
@@ -135,9 +134,15 @@ class CohortAnalysis:
 
     @cached_property
     def unexposed(self) -> DataFrame:
-        """Flagged persons without indication drugs who have both biomarker values."""
+        """Flagged persons without indication drugs who have both biomarker values.
+
+        Only the presence of the values matters here, not their medians.
+        """
         free = self.flagged.table.where(F.col("drug_exposed") == 0)
-        return free.join(self.change.select("person_id"), "person_id", "left_semi")
+        values = P.period_values(
+            self.biomarkers, Lookup(free, self.flagged.small), self.params.concept_id_exclusions
+        )
+        return free.join(P.persons_with_change(values), "person_id", "left_semi")
 
     def demographics(self) -> DataFrame:
         return self.unexposed.select(

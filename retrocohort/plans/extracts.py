@@ -9,9 +9,12 @@ once and matches it with them on person and date.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +25,7 @@ from retrocohort.operators import exposure as X
 from retrocohort.operators.persons import merge_covariates
 from retrocohort.sources.schemas import EXTRACTS, require_columns
 from retrocohort.sources.tables import CdmTables
-from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stored
+from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
 
 
 @dataclass(frozen=True)
@@ -228,6 +231,32 @@ def extract(
     raise ValueError(f"unknown extract type {kind!r}")
 
 
+def save_extracts(
+    cdm: CdmTables,
+    params: CohortParams,
+    cohort: Cohort | None = None,
+    kinds: Sequence[str] = ("covariates", "drugs", "biomarkers"),
+    save: Callable[[DataFrame, str], DataFrame] = stage,
+) -> dict[str, DataFrame]:
+    """Save several extracts at once; ``save`` gets each extract and its kind.
+
+    The shared tables are built first. The extracts then run as concurrent
+    jobs, as the tail of one leaves room for the next.
+    """
+    cohort = _cohort(cdm, params, cohort)
+    if set(kinds) - {"covariates"}:
+        cohort.days
+    else:
+        cohort.span
+
+    def saved(kind: str) -> DataFrame:
+        return save(extract(kind, cdm, params, cohort), kind)
+
+    with ThreadPoolExecutor(max_workers=len(kinds)) as pool:
+        running = {k: pool.submit(inheritable_thread_target(cdm.spark)(saved), k) for k in kinds}
+        return {kind: job.result() for kind, job in running.items()}
+
+
 _EXTRACT_DATES = {
     "covariates": ("dob", "first_drug_exposure", "last_drug_exposure"),
     "drugs": ("start_date", "end_date", "drug_exposure_start_date"),
