@@ -138,3 +138,14 @@ def test_extract_shuffles_only_for_the_measurement_view(study, no_automatic_broa
     assert plan.count("BroadcastHashJoin") == 3
     assert plan.count("SortMergeJoin") == 1
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_drug_that_nobody_takes_gives_empty_results(spark):
+    params = dataclasses.replace(entry_point.PARAMS, drug_concept_id=-1)
+    empty = entry_point.Study(spark, FOLDER, params)
+    assert [df.count() for df in empty.extracts.values()] == [0, 0, 0]
+    assert entry_point.QUERIES["conditions_extract"](empty).isEmpty()
+    row = empty.analysis.attrition(outpatient_exposed=True).first()
+    assert tuple(row)[2:] == (0,) * 7
+    assert empty.analysis.demographics().isEmpty()
+    assert empty.analysis.change.isEmpty()

@@ -116,7 +116,7 @@ def test_unknown_extract_type(spark):
 
 def test_size_bound_decides_about_the_broadcast(frame):
     df = frame([(i, "x" * 100) for i in range(10)], "id int, name string")
-    exact = 10 * (16 + 8 * 2) + 10 * 100
+    exact = 10 * (2 * (8 + 8 * 2) + 56) + 2 * 10 * 100
     for make in (lambda limit: staging.lookup(df, "size_test", limit), lambda limit: staging.stored(df, limit)):
         assert make(exact).small and not make(exact - 1).small
         assert rows(make(exact).table) == rows(df)
