@@ -24,17 +24,20 @@ def exact_quantiles(
     the wanted ranks; only the values of those bins are then put in order. The
     number of bins in a group is its value range over ``bin_width``.
     """
-    by = list(by)
+    # A struct groups and joins NULL keys like any other value. The filter on the
+    # bin is the one the join infers for one of its sides; with it on both, the
+    # shuffled counts are the same and are reused.
     counts = (
         df.where(F.col(value).isNotNull())
-        .select(*by, F.col(value).cast("double").alias("_value"))
+        .select(F.struct(*by).alias("_group"), F.col(value).cast("double").alias("_value"))
         .withColumn("_bin", F.floor(F.col("_value") / F.lit(float(bin_width))))
-        .groupBy(*by, "_bin", "_value")
+        .where(F.col("_bin").isNotNull())
+        .groupBy("_group", "_bin", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    group = W.partitionBy(*by)
+    group = W.partitionBy("_group")
     bins = (
-        counts.groupBy(*by, "_bin")
+        counts.groupBy("_group", "_bin")
         .agg(F.sum("_n").alias("_n"))
         .withColumn("_last", F.sum("_n").over(group.orderBy("_bin")))
         .withColumn("_total", F.sum("_n").over(group))
@@ -51,29 +54,25 @@ def exact_quantiles(
     wanted = reduce(
         lambda a, b: a | b, [holds(p) for name in probs for p in (low[name], high[name])]
     )
-    keys = [*by, "_bin"]
-    located = bins.where(wanted).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_total", "_before"
-    )
-    same_bin = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    )
+    located = bins.where(wanted).select("_group", "_bin", "_total", "_before")
+    running = F.sum("_n").over(W.partitionBy("_group", "_bin").orderBy("_value"))
     ordered = (
-        counts.join(located, same_bin)
-        .withColumn("_last", F.col("_before") + F.sum("_n").over(W.partitionBy(*keys).orderBy("_value")))
+        counts.withColumn("_running", running)
+        .join(located, ["_group", "_bin"])
+        .withColumn("_last", F.col("_before") + F.col("_running"))
         .withColumn("_before", F.col("_last") - F.col("_n"))
     )
 
     def at(position):
         return F.max(F.when(holds(position), F.col("_value")))
 
-    picked = ordered.groupBy(*by).agg(
+    picked = ordered.groupBy("_group").agg(
         F.max("_total").alias("_total"),
         *[at(low[name]).alias(f"_low_{name}") for name in probs],
         *[at(high[name]).alias(f"_high_{name}") for name in probs],
     )
     return picked.select(
-        *by,
+        "_group.*",
         *[
             (
                 F.col(f"_low_{name}")

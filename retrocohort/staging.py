@@ -100,6 +100,10 @@ def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) ->
 
 
 def stored(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
-    """A lookup over a table that is stored already, or is cheap to derive: measured, not written."""
+    """A lookup over a table that is stored already, or is cheap to derive.
+
+    It is only measured; written, as by :func:`lookup`, when it is too large.
+    """
     found = df.agg(*_size_columns(df)).first()
-    return Lookup(df, _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes)
+    small = _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes
+    return Lookup(df if small else stage(df, "stored"), small)

@@ -90,3 +90,10 @@ def test_median_of_a_hot_person(skewed):
     middle = len(hot) // 2
     want = hot[middle] if len(hot) % 2 else (hot[middle - 1] + hot[middle]) / 2
     assert got[0] == want
+
+
+def test_quantiles_count_their_input_once(skewed):
+    found = exact_quantiles(skewed, ["person_id"], "value", {"m": 0.5})
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan.split("Initial Plan")[0]

@@ -1,4 +1,5 @@
 import datetime
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,3 +130,17 @@ def test_stage_root_comes_from_the_session(spark):
     if configured:
         assert root.startswith(configured)
     assert spark.sparkContext.applicationId in root
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(tmp_path):
+    context = SimpleNamespace(master="yarn", applicationId="app_1", getCheckpointDir=lambda: None)
+    settings = {}
+    session = SimpleNamespace(
+        sparkContext=context, conf=SimpleNamespace(get=lambda key, default: settings.get(key, default))
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.stage_root(session)
+    context.master = "local[2]"
+    assert staging.stage_root(session) == staging.stage_root(session)
+    settings[staging.CHECKPOINT_DIR] = "hdfs:///shared/"
+    assert staging.stage_root(session) == "hdfs:///shared/retrocohort-app_1"
