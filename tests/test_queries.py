@@ -7,6 +7,8 @@ import dataclasses
 import pytest
 
 import __spark_entry__ as entry_point
+from retrocohort.plans.extracts import save_extracts
+from retrocohort.sources.sinks import save_extract
 from tests.compare import oracle_connection, oracle_result, spark_result
 
 FOLDER = "/root/testdata/sf0.001"
@@ -140,6 +142,16 @@ def test_extract_shuffles_only_for_the_measurement_view(study, no_automatic_broa
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_extracts_saved_under_chosen_names(spark, study, tmp_path):
+    def save(df, kind):
+        return save_extract(df, f"{tmp_path}/{kind}")
+
+    saved = save_extracts(study.cdm, study.params, study.cohort, ["conditions", "covariates"], save)
+    assert {kind: df.count() for kind, df in saved.items()} == {"conditions": 171, "covariates": 139}
+    with pytest.raises(Exception, match="(?i)already.exists"):
+        save_extracts(study.cdm, study.params, study.cohort, ["covariates"], save)
+
+
 def test_a_drug_that_nobody_takes_gives_empty_results(spark):
     params = dataclasses.replace(entry_point.PARAMS, drug_concept_id=-1)
     empty = entry_point.Study(spark, FOLDER, params)
