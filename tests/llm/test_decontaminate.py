@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+from retrocohort.llm.decontaminate import Leaks, drop_leaking, find_leaks
+from retrocohort.llm.texts import table
+
+
+def grams(words, k=5):
+    return Counter(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
+
+
+def tokens(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_force(docs, items):
+    out = set()
+    for doc_id, text in docs:
+        words = tokens(text)
+        for item_id, item in items:
+            own = tokens(item)
+            n = min(len(own), len(words))
+            if len(own) < 5 or n < 5:
+                continue
+            b, best = grams(own), (0, 0)
+            for s in range(len(words) - n + 1):
+                a = grams(words[s : s + n])
+                both, either = (a & b).total(), (a | b).total()
+                if 100 * both >= 80 * either:
+                    best = max(best, (both / either, -s))
+            if best[0]:
+                out.add((doc_id, item_id, -best[1], n, round(best[0], 9)))
+    return out
+
+
+def found(df):
+    return {(r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in df.collect()}
+
+
+def planted():
+    rnd = random.Random(4)
+    items = [(i, " ".join(f"b{rnd.randrange(60)}" for _ in range(rnd.randrange(5, 60)))) for i in range(30)]
+    items += [(30, "too short"), (31, None), (32, ""), (33, "a b a b a b a b a b a b a b a b a b")]
+    docs = []
+    for d in range(120):
+        words = [f"w{rnd.randrange(300)}" for _ in range(rnd.randrange(0, 80))]
+        own = tokens(items[rnd.randrange(30)][1])
+        for _ in range(rnd.randrange(0, 4)):
+            own[rnd.randrange(len(own))] = f"X{rnd.randrange(99)}"
+        if rnd.random() < 0.3:
+            del own[rnd.randrange(len(own))]
+        at = rnd.randrange(len(words) + 1)
+        docs.append((d, " ".join(words[:at] + own + words[at:])))
+    docs += [(500, items[3][1]), (501, "A B a b A b\na b a b a b a b a b a b and more"), (502, items[4][1].upper())]
+    return docs, items
+
+
+def test_equals_brute_force(spark):
+    docs, items = planted()
+    got = find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    assert found(got) == brute_force(docs, items)
+
+
+def test_slices_give_the_same(spark):
+    docs, items = planted()
+    got = find_leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        Leaks(slice_bytes=2000),
+    )
+    assert found(got) == brute_force(docs, items)
+
+
+def test_equals_brute_force_on_the_table(spark):
+    docs, items = (table(spark, "/root/testdata/sf0.001", n) for n in ("documents", "benchmark"))
+    plain = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    plain = [(d, t) for d, t in plain if len(t) < 4000]
+    got = {x for x in found(find_leaks(docs, items)) if x[0] in dict(plain)}
+    assert got == brute_force(plain, [tuple(r) for r in items.select("item_id", "text").collect()])
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    items = spark.createDataFrame(
+        [(1, "the same words again and again"), (1, None), (None, "no id at all but some words")],
+        "item_id long, text string",
+    ).selectExpr("*", "'x' AS doc_id", "1 AS similarity")
+    got = find_leaks(odd_docs, items)
+    assert sorted((r.doc_id or -1, r.item_id or -1, r.start) for r in got.collect()) == [(-1, -1, 0), (7, 1, 0), (7, 1, 0)]
+    left = drop_leaking(odd_docs, items)
+    assert left.columns == odd_docs.columns
+    assert left.count() == odd_docs.where("doc_id is null or doc_id <> 7").count()
+    assert find_leaks(no_docs, items).isEmpty() and find_leaks(odd_docs, items.limit(0)).isEmpty()
