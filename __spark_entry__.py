@@ -29,6 +29,12 @@ from retrocohort.sources.sinks import save_extract  # noqa: E402
 from retrocohort.sources.star_schema import CATALOGUE_SQL, StarSchema  # noqa: E402
 from retrocohort.staging import lookup, stage_path, stored  # noqa: E402
 
+try:  # the corpus operators and their pipeline can be left out as a whole
+    import corpus_pipeline
+    from retrocohort.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
+
 PARAMS = EX.CohortParams(drug_concept_id=900001, biomarker_concept_id=850000)
 ANALYSIS = A.AnalysisParams(drug="target", phenotype="X", concept_id_exclusions=(800005,))
 
@@ -275,9 +281,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query: (spark, folder of Parquet files) -> DataFrame."""
-    return {name: _runner(build) for name, build in QUERIES.items()}
+    found = {name: _runner(build) for name, build in QUERIES.items()}
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """The same results as SQL over the same tables."""
-    return {name: oracle_queries.oracle(name) for name in QUERIES}
+    found = {name: oracle_queries.oracle(name) for name in QUERIES}
+    if llm_queries:
+        found |= llm_queries.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
