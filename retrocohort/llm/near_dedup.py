@@ -256,12 +256,10 @@ def near_links(docs: DataFrame, signed: DataFrame, rule: NearDuplicates) -> Data
         "center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "signature"
     )
     texts = docs.select(F.col("doc_id").cast("long").alias("member"), F.col("text").cast("string"))
-    members = pairs.select("member").distinct()
-    keyed = placed.join(texts.join(members, "member", "left_semi"), "member").select(
-        "center", "i", "j", "member", "text", "signature"
-    )
     return (
-        keyed.repartition("center", "i", "j")
+        placed.join(texts, "member")
+        .select("center", "i", "j", "member", "text", "signature")
+        .repartition("center", "i", "j")
         .sortWithinPartitions("center", "i", "j")
         .mapInArrow(_verifier(rule), "u long, v long")
     )
