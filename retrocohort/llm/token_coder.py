@@ -25,41 +25,51 @@ _TOP, _BOTTOM = np.uint64(48), np.uint64((1 << 32) - 1)
 _WORD = np.uint64(16)
 
 
+def _count(hit: np.ndarray) -> np.ndarray:
+    """True values in each column of at most 127."""
+    return hit.view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
+
+
 class _Bytes:
     """Order-0 frequencies of one byte."""
 
     def __init__(self, n: int):
-        self.count = np.ones((n, 256), dtype=np.uint32)
-        self.flat = self.count.reshape(-1)
+        self.count = np.ones((n, 256), dtype=np.int32)
+        self.flat_count = self.count.reshape(-1)
         self.total = np.full(n, 256, dtype=np.int64)
-        self.low = np.zeros((n, 257), dtype=np.int32)
-        self.base = np.arange(n) * 257
-        self.count_base = np.arange(n) * 256
-        self.near = np.arange(16)
+        self.share = np.empty((n, 256), dtype=np.int32)
+        self.upto = np.empty((n, 256), dtype=np.int32)
+        self.flat_upto = self.upto.reshape(-1)
+        self.flat_share = self.share.reshape(-1)
+        self.base = np.arange(n) * 256
+        self.near = np.arange(16)[:, None]
         self.renew()
 
     def renew(self) -> None:
-        # counts times a reciprocal with 10 binary places; products stay below 32 bits
-        scale = ((((1 << _BITS) - 256) << 10) // self.total).astype(np.uint32)
-        share = self.count * scale[:, None]
-        share >>= np.uint32(10)
-        share += np.uint32(1)
-        np.cumsum(share, axis=1, out=self.low[:, 1:])
+        # counts times a reciprocal with 10 binary places; products stay below 31 bits
+        scale = ((((1 << _BITS) - 256) << 10) // self.total).astype(np.int32)
+        np.multiply(self.count, scale[:, None], out=self.share)
+        self.share >>= 10
+        self.share += 1
+        np.cumsum(self.share, axis=1, dtype=np.int32, out=self.upto)
+        self.coarse = np.ascontiguousarray(self.upto[:, 15:255:16].T)
+        self.end = self.upto[:, 255].astype(np.int64)
 
     def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = self.base + symbol
-        flat = self.low.reshape(-1)
-        low = flat.take(at)
-        return low, flat.take(at + 1) - low
+        size = self.flat_share.take(at)
+        return self.flat_upto.take(at) - size, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The symbol whose span holds the value, by sixteenths."""
-        coarse = (self.low[:, 16:256:16] <= value[:, None]).sum(axis=1) * 16
-        fine = self.low.reshape(-1).take((self.base + coarse)[:, None] + self.near)
-        return coarse + (fine <= value[:, None]).sum(axis=1) - 1
+        value = value.astype(np.int32)
+        first = _count(self.coarse <= value) << 4
+        fine = self.flat_upto.take((self.base + first) + self.near)
+        return first + _count(fine[:15] <= value)
 
     def seen(self, symbol: np.ndarray, times: np.ndarray) -> None:
-        self.flat[self.count_base + symbol] += times.astype(np.uint32)
+        at = self.base + symbol
+        self.flat_count[at] = self.flat_count.take(at) + times
         self.total += times
 
 
@@ -70,8 +80,9 @@ class _Model:
         self.n = n
         self.slot_base = np.arange(n) << _SLOTS
         self.tables = [np.zeros(n << _SLOTS, dtype=np.int32) for _ in range(2)]
-        self.mixed = [np.ones((n * 4, 3), dtype=np.int64), np.ones((n * 4, 3), dtype=np.int64)]
-        self.whole = np.ones((n, 3), dtype=np.int64)
+        # counts of the events, one array for each event: by block and confidence, and by block
+        self.mixed = [np.ones((3, n * 4), dtype=np.int32) for _ in range(2)]
+        self.whole = np.ones((3, n), dtype=np.int32)
         self.lane = np.arange(n) * 4
         self.row = np.arange(n)
         self.high, self.low = _Bytes(n), _Bytes(n)
@@ -79,32 +90,38 @@ class _Model:
         self.before = np.zeros(n, dtype=np.int64)
         self.steps = 0
 
-    def predict(self) -> np.ndarray:
-        """Bounds of the three events, by block; the guesses are kept for :meth:`learn`."""
+    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ends of the three events' spans, by block; the guesses are kept for :meth:`learn`."""
         mask = (1 << _SLOTS) - 1
-        two = ((self.last * 40503 + self.before * 60493) >> 5) & mask
-        one = ((self.last * 40503) >> 5) & mask
-        self.at = (self.slot_base + two, self.slot_base + one)
+        one = self.last * 40503
+        two = one + self.before * 60493
+        self.at = (self.slot_base + ((two >> 5) & mask), self.slot_base + ((one >> 5) & mask))
         self.slots = tuple(t.take(at) for t, at in zip(self.tables, self.at, strict=True))
         self.guesses = tuple(s >> 2 for s in self.slots)
-        self.by = tuple(self.lane + (s & 3) for s in self.slots)
-        frequency = 4 * self.mixed[0].take(self.by[0], axis=0) + 2 * self.mixed[1].take(self.by[1], axis=0) + self.whole
-        bounds = np.zeros((self.n, 4), dtype=np.int64)
-        np.cumsum(frequency, axis=1, out=bounds[:, 1:])
-        return bounds
-
-    def learn(self, ids: np.ndarray, event: np.ndarray) -> None:
-        for table, at, slot, guess in zip(self.tables, self.at, self.slots, self.guesses, strict=True):
-            confidence = slot & 3
-            right = slot + (confidence < 3)
-            wrong = np.where(confidence > 0, slot - 1, ids << 2)
-            table[at] = np.where(guess == ids, right, wrong)
+        self.confidence = tuple(s & 3 for s in self.slots)
+        self.by = tuple(self.lane + c for c in self.confidence)
+        ends, end = [], 0
+        for event in range(3):
+            by_two, by_one = (m[event].take(by) for m, by in zip(self.mixed, self.by, strict=True))
+            end = end + (by_two << 2) + (by_one << 1) + self.whole[event]
+            ends.append(end)
+        return tuple(ends)
+
+    def learn(self, ids: np.ndarray, event: np.ndarray, miss: np.ndarray) -> None:
+        fresh = (ids << 2).astype(np.int32)
+        for table, at, slot, guess, sure in zip(
+            self.tables, self.at, self.slots, self.guesses, self.confidence, strict=True
+        ):
+            wrong = np.where(sure > 0, slot - 1, fresh)
+            table[at] = np.where(guess == ids, slot + (sure < 3), wrong)
         for counts, by in zip(self.mixed, self.by, strict=True):
-            counts.reshape(-1)[by * 3 + event] += 1
-        self.whole.reshape(-1)[self.row * 3 + event] += 1
-        missed = (event == 2).astype(np.int64)
-        self.high.seen(ids >> 8, missed)
-        self.low.seen(ids & 255, missed)
+            flat, at = counts.reshape(-1), event * (4 * self.n) + by
+            flat[at] = flat.take(at) + 1
+        flat, at = self.whole.reshape(-1), event * self.n + self.row
+        flat[at] = flat.take(at) + 1
+        times = miss.astype(np.int32)
+        self.high.seen(ids >> 8, times)
+        self.low.seen(ids & 255, times)
         self.before, self.last = self.last, ids
         self.steps += 1
         if self.steps % _RENEW == 0:
@@ -112,92 +129,101 @@ class _Model:
             self.low.renew()
 
 
+class _Range:
+    """The interval of each block, as its low end and width."""
+
+    def __init__(self, n: int):
+        self.low = np.zeros(n, dtype=np.uint64)
+        self.width = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
+
+    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+        self.low += unit * start.astype(np.uint64)
+        np.multiply(unit, size.astype(np.uint64), out=self.width)
+
+    def settled(self):
+        """Shifts out words that are certain, or cuts an interval that has become narrow.
+
+        Gives the blocks that shift and their low ends before it, until none is left.
+        """
+        low, width, at = self.low, self.width, None
+        while True:
+            same = ((low ^ (low + width)) >> _TOP) == 0
+            now = np.flatnonzero(same | (width <= _BOTTOM))
+            if not len(now):
+                return
+            at = now if at is None else at[now]
+            low = low[now]
+            width = np.where(same[now], width[now], (~low + np.uint64(1)) & _BOTTOM) << _WORD
+            yield at, low
+            low = low << _WORD
+            self.low[at], self.width[at] = low, width
+
+
+def _chosen(event: np.ndarray, ends: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Start and size of each block's event."""
+    start = np.where(event == 0, 0, np.where(event == 1, ends[0], ends[1]))
+    return start, np.where(event == 0, ends[0], np.where(event == 1, ends[1], ends[2])) - start
+
+
 def encode(ids: np.ndarray) -> list[bytes]:
     """Codes of the rows of ``ids`` (blocks by places), each id below ``LIMIT``."""
     n, length = ids.shape
-    model = _Model(n)
-    low = np.zeros(n, dtype=np.uint64)
-    width = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-    out = np.zeros((n, 5 * length + 8), dtype=np.uint16)
-    used = np.zeros(n, dtype=np.int64)
-
-    def narrow(unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
-        nonlocal low, width
-        low = low + unit * start.astype(np.uint64)
-        width = unit * size.astype(np.uint64)
-
-    columns = np.ascontiguousarray(ids.T.astype(np.int64))
-    for now in columns:
-        bounds = model.predict()
+    model, span = _Model(n), _Range(n)
+    step = 5 * length + 8
+    out = np.zeros(n * step, dtype=np.uint16)
+    used = np.arange(n) * step
+    for now in np.ascontiguousarray(ids.T.astype(np.int64)):
+        ends = model.predict()
         event = np.where(now == model.guesses[0], 0, np.where(now == model.guesses[1], 1, 2))
-        start = bounds[model.row, event]
-        narrow(width // bounds[:, 3].astype(np.uint64), start, bounds[model.row, event + 1] - start)
         miss = event == 2
+        span.narrow(span.width // ends[2].astype(np.uint64), *_chosen(event, ends))
         for part, symbol in ((model.high, now >> 8), (model.low, now & 255)):
             start, size = part.span(symbol)
-            narrow(width >> np.uint64(_BITS), np.where(miss, start, 0), np.where(miss, size, 1 << _BITS))
-        model.learn(now, event)
-        while True:
-            same = ((low ^ (low + width)) >> _TOP) == 0
-            small = width <= _BOTTOM
-            at = np.flatnonzero(same | small)
-            if not len(at):
-                break
-            some = low[at]
-            out[at, used[at]] = (some >> _TOP).astype(np.uint16)
-            used[at] += 1
-            left = np.where(same[at], width[at], (~some + np.uint64(1)) & _BOTTOM)
-            low[at], width[at] = some << _WORD, left << _WORD
+            span.narrow(span.width >> np.uint64(_BITS), np.where(miss, start, 0), np.where(miss, size, 1 << _BITS))
+        model.learn(now, event, miss)
+        for at, low in span.settled():
+            place = used[at]
+            out[place] = (low >> _TOP).astype(np.uint16)
+            used[at] = place + 1
     for shift in (48, 32, 16, 0):
-        out[model.row, used] = (low >> np.uint64(shift)).astype(np.uint16)
+        out[used] = (span.low >> np.uint64(shift)).astype(np.uint16)
         used += 1
-    return [row[:k].astype("<u2").tobytes() for row, k in zip(out, used.tolist(), strict=True)]
+    return [out[i * step : k].astype("<u2").tobytes() for i, k in enumerate(used.tolist())]
 
 
 def decode(codes: list[bytes], length: int) -> np.ndarray:
     """The ids of :func:`encode`."""
     n = len(codes)
-    model = _Model(n)
-    sizes = np.array([len(c) // 2 for c in codes])
-    words = np.zeros((n, int(sizes.max(initial=0)) + 4), dtype=np.uint64)
+    model, span = _Model(n), _Range(n)
+    sizes = [len(c) // 2 for c in codes]
+    step = max(sizes, default=0) + 4
+    words = np.zeros((n, step), dtype=np.uint64)
     for i, c in enumerate(codes):
         words[i, : sizes[i]] = np.frombuffer(c, dtype="<u2")
     code = (words[:, 0] << np.uint64(48)) | (words[:, 1] << np.uint64(32)) | (words[:, 2] << _WORD) | words[:, 3]
-    flat, step = words.reshape(-1), words.shape[1]
+    flat = words.reshape(-1)
     used = np.arange(n) * step + 4
-    low = np.zeros(n, dtype=np.uint64)
-    width = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
     out = np.zeros((length, n), dtype=np.int64)
     for place in range(length):
-        bounds = model.predict()
-        unit = width // bounds[:, 3].astype(np.uint64)
-        value = np.minimum(((code - low) // unit).astype(np.int64), bounds[:, 3] - 1)
-        event = (value >= bounds[:, 1]).astype(np.int64) + (value >= bounds[:, 2])
-        start = bounds[model.row, event]
-        low = low + unit * start.astype(np.uint64)
-        width = unit * (bounds[model.row, event + 1] - start).astype(np.uint64)
+        ends = model.predict()
+        unit = span.width // ends[2].astype(np.uint64)
+        value = np.minimum(((code - span.low) // unit).astype(np.int64), ends[2] - 1)
+        event = (value >= ends[0]).astype(np.int64) + (value >= ends[1])
         miss = event == 2
+        span.narrow(unit, *_chosen(event, ends))
         symbols = []
         for part in (model.high, model.low):
-            unit = width >> np.uint64(_BITS)
-            value = ((code - low) // unit).astype(np.int64)
-            symbol = part.find(np.where(miss, np.minimum(value, part.low[:, 256] - 1), 0))
+            unit = span.width >> np.uint64(_BITS)
+            value = np.minimum(((code - span.low) // unit).astype(np.int64), part.end - 1)
+            symbol = part.find(value)
             start, size = part.span(symbol)
-            low = low + unit * np.where(miss, start, 0).astype(np.uint64)
-            width = unit * np.where(miss, size, 1 << _BITS).astype(np.uint64)
+            span.narrow(unit, np.where(miss, start, 0), np.where(miss, size, 1 << _BITS))
             symbols.append(symbol)
         now = np.where(miss, (symbols[0] << 8) | symbols[1], np.where(event == 0, *model.guesses))
         out[place] = now
-        model.learn(now, event)
-        while True:
-            same = ((low ^ (low + width)) >> _TOP) == 0
-            small = width <= _BOTTOM
-            at = np.flatnonzero(same | small)
-            if not len(at):
-                break
-            some = low[at]
-            left = np.where(same[at], width[at], (~some + np.uint64(1)) & _BOTTOM)
-            low[at], width[at] = some << _WORD, left << _WORD
-            code[at] = (code[at] << _WORD) | flat[used[at]]
-            used[at] += 1
+        model.learn(now, event, miss)
+        for at, _ in span.settled():
+            where = used[at]
+            code[at] = (code[at] << _WORD) | flat[where]
+            used[at] = where + 1
     return out.T
