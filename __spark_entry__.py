@@ -35,7 +35,7 @@ try:  # the corpus operators and their pipeline can be left out as a whole
 except ImportError:
     corpus_pipeline = llm_queries = None
 
-PARAMS = EX.CohortParams(drug_concept_id=900001, biomarker_concept_id=850000)
+PARAMS = EX.CohortParams(drug_concept_id=900001, biomarker_concept_id=850000, upper_bound_biomarker=250)
 ANALYSIS = A.AnalysisParams(drug="target", phenotype="X", concept_id_exclusions=(800005,))
 
 
@@ -159,16 +159,22 @@ def _saved_extract(s: Study) -> DataFrame:
     return save_extract(drugs, stage_path(s.spark, "saved_drugs"))
 
 
-def _cohort_file(s: Study) -> DataFrame:
-    """Covariates written as a delimited file and read back through a configuration row."""
+def _file_config(s: Study) -> DataFrame:
+    """The configuration row of covariates written as a delimited file, with NA for missing values."""
     folder = stage_path(s.spark, "covariates_file")
-    s.get("covariates_file").write.csv(f"{folder}/drug_a_7", header=True)
-    config = s.get("cohort_metadata").select(
+    s.get("covariates_file").write.csv(f"{folder}/drug_a_7", header=True, nullValue="NA")
+    return s.get("cohort_metadata").select(
         "drug_name",
         F.lit(folder + "/{drug_name}_{exptid}").alias("covariates_file"),
         F.lit(7).alias("expt_id"),
     )
-    return read_cohort_covariates(s.spark, config, "drug_a", SOURCES["covariates_file"])
+
+
+def _results_file(s: Study) -> DataFrame:
+    """Results written as a delimited file with NA, read back and formatted."""
+    path, results = stage_path(s.spark, "results_file"), s.get("results")
+    results.write.csv(path, header=True, nullValue="NA")
+    return report.format_pvalues(load_results(s.spark, path, results.schema)).select("test_id", "pval")
 
 
 def _indication_list(s: Study) -> DataFrame:
@@ -191,7 +197,9 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     ),
     "outpatient_visits": lambda s: E.outpatient_visits(s.get("visit_occurrence")),
     "mapped_exposures": lambda s: E.mapped_exposures(s.get("drug_exposure")),
-    "bounded_measurements": lambda s: E.bounded_values(s.get("measurement")),
+    "bounded_measurements": lambda s: E.bounded_values(
+        s.get("measurement"), s.params.upper_bound_biomarker
+    ),
     "excluded_measurements": lambda s: C.exclude_concepts(
         s.get("measurement"), "measurement_concept_id", s.analysis_params.concept_id_exclusions
     ),
@@ -247,13 +255,20 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     "cohort_attrition": lambda s: s.analysis.attrition(),
     "table_one_categorical": lambda s: _table_one(s, categorical=True),
     "table_one_continuous": lambda s: _table_one(s, categorical=False),
-    "cohort_file_scan": _cohort_file,
+    "cohort_file_scan": lambda s: read_cohort_covariates(
+        s.spark, _file_config(s), "drug_a", SOURCES["covariates_file"]
+    ),
     "cohort_characteristics": lambda s: _rounded(
         A.cohort_characteristics(s.get("covariates_file"), TREATMENT_COLUMNS), "age"
     ),
     "cohort_membership": lambda s: _rounded(
-        A.cohort_membership(
-            s.get("covariates_file"), s.get("cohort_metadata"), TREATMENT_COLUMNS
+        A.cohort_table(
+            s.spark,
+            _file_config(s),
+            "drug_a",
+            s.get("cohort_metadata"),
+            SOURCES["covariates_file"],
+            TREATMENT_COLUMNS,
         ),
         "age",
     ),
@@ -264,6 +279,7 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
         "mean",
     ),
     "format_pvalues": lambda s: report.format_pvalues(load_results(s.spark, s.get("results"))),
+    "results_file": _results_file,
     "preview_rows": lambda s: report.preview(
         s.get("results"), ["pval", "test_id"], 100, ["pval < 0.05"]
     ),

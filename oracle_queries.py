@@ -275,6 +275,7 @@ FROM (SELECT (SELECT count(*) FROM overlap) AS n_overlapping_patients,
   median(n) AS median, round(avg(n), 6) AS mean, quantile_cont(n, 0.75) AS q3, CAST(max(n) AS DOUBLE) AS max
 FROM (SELECT CAST(obs_length AS DOUBLE) AS n FROM characteristics)""",
     "format_pvalues": "SELECT test_id, printf('%.2E', pval) AS pval FROM results",
+    "results_file": "SELECT test_id, printf('%.2E', pval) AS pval FROM results",
     "preview_rows": """SELECT * FROM results WHERE pval < 0.05 ORDER BY pval, test_id LIMIT 100""",
 }
 

@@ -44,10 +44,10 @@ def safe_date(value: ColumnOrName) -> Column:
 
 
 def scientific(value: ColumnOrName) -> Column:
-    """Two-decimal scientific notation such as ``1.23E-05``; NULL stays NULL.
+    """Two-decimal scientific notation such as ``1.23E-05``; NULL and text that is no number give NULL.
 
     ``format_string`` rounds the shortest decimal text of the number half up;
     ``format_number`` rounds the number itself, as C's ``%.2E`` does.
     """
-    text = F.call_function("format_number", _column(value).cast("double"), F.lit("0.00E00"))
+    text = F.call_function("format_number", _column(value).try_cast("double"), F.lit("0.00E00"))
     return F.regexp_replace(text, r"E(\d)", "E+$1")

@@ -27,14 +27,13 @@ def concept_set(
 def code_sets(drug_set: DataFrame, biomarker_set: DataFrame) -> DataFrame:
     """Both sets under one roof, tagged 1 (drug) and 2 (biomarker).
 
-    The inputs are duplicate free and the tags differ, so the distinct union
-    needs no further shuffle.
+    Repeated concepts of a set are one row.
     """
     tagged = [
         part.select(F.lit(tag).alias("codeset_id"), "concept_id", "concept_name")
         for tag, part in ((1, drug_set), (2, biomarker_set))
     ]
-    return tagged[0].unionByName(tagged[1])
+    return tagged[0].unionByName(tagged[1]).distinct()
 
 
 def indication_list(all_lists: DataFrame, phenotype: str) -> DataFrame:
@@ -51,5 +50,5 @@ def exclude_by_regex(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 
 def exclude_concepts(df: DataFrame, column: str, concept_ids: tuple[int, ...] | list[int]) -> DataFrame:
-    """Rows whose concept is not in the list; an empty list keeps all rows."""
-    return df.where(~F.col(column).isin(list(concept_ids))) if concept_ids else df
+    """Rows whose concept is not in the list; a NULL concept is in no list."""
+    return df.where(F.coalesce(~F.col(column).isin(list(concept_ids)), F.lit(True))) if concept_ids else df

@@ -30,7 +30,7 @@ def of_concepts(events: DataFrame, column: str, concepts: Lookup) -> DataFrame:
     return events.join(side, column, "left_semi")
 
 
-def bounded_values(measurements: DataFrame, upper: float = 250, lower: float = 0) -> DataFrame:
+def bounded_values(measurements: DataFrame, upper: float, lower: float = 0) -> DataFrame:
     """Measurements with lower < value <= upper; NULL values are dropped."""
     value = F.col("value_as_number")
     return measurements.where((value > F.lit(lower)) & (value <= F.lit(upper)))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from retrocohort.functions.scalars import age_years, days_between
 from retrocohort.operators.concepts import exclude_concepts
 from retrocohort.operators.events import in_window
-from retrocohort.operators.summaries import exact_quantiles
 from retrocohort.staging import Lookup
 
 MIN_EXPOSURE_DAYS = 30
@@ -140,29 +139,26 @@ def persons_with_change(values: DataFrame) -> DataFrame:
 
 
 def biomarker_change(
-    biomarkers: DataFrame,
-    flagged: Lookup,
-    exclude: tuple[int, ...] | list[int] = (),
-    value_bin: float = 1.0,
+    biomarkers: DataFrame, flagged: Lookup, exclude: tuple[int, ...] | list[int] = ()
 ) -> DataFrame:
     """Median value in baseline and treatment and their difference, per person.
 
-    Only persons with values in both parts are kept. ``value_bin`` is the bin
-    width of the exact median.
+    Only persons with values in both parts are kept. Equal values are counted
+    first, so a person with very many events is one row per distinct value.
     """
-    medians = exact_quantiles(
-        period_values(biomarkers, flagged, exclude),
-        ["person_id", "period"],
-        "value_as_number",
-        {"median": 0.5},
-        value_bin,
+    counted = (
+        period_values(biomarkers, flagged, exclude)
+        .groupBy("person_id", "period", "value_as_number")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    value = {
-        part: F.max(F.when(F.col("period") == part, F.col("median"))) for part in (BASELINE, TREATMENT)
-    }
+
+    def median(part):
+        value = F.when(F.col("period") == part, F.col("value_as_number").cast("double"))
+        return F.percentile(value, 0.5, F.col("_n"))
+
     return (
-        medians.groupBy("person_id")
-        .agg(value[BASELINE].alias("baseline_value"), value[TREATMENT].alias("treatment_value"))
+        counted.groupBy("person_id")
+        .agg(median(BASELINE).alias("baseline_value"), median(TREATMENT).alias("treatment_value"))
         .where(F.col("baseline_value").isNotNull() & F.col("treatment_value").isNotNull())
         .withColumn("value_change", F.col("treatment_value") - F.col("baseline_value"))
     )

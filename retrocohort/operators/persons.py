@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retrocohort.operators.summaries import stage_counts
+
 
 def persons_in_all(*frames: DataFrame) -> DataFrame:
     """Persons present in every frame.
@@ -33,15 +35,9 @@ def restrict_to(df: DataFrame, keys: DataFrame, on: str = "person_id") -> DataFr
 
 
 def distinct_persons(**frames: DataFrame) -> DataFrame:
-    """Exact number of distinct persons per named frame: name, n_persons."""
-    tagged = [
-        frame.select(F.lit(name).alias("name"), "person_id") for name, frame in frames.items()
-    ]
-    return (
-        reduce(DataFrame.unionByName, tagged)
-        .groupBy("name")
-        .agg(F.countDistinct("person_id").alias("n_persons"))
-    )
+    """Exact number of distinct persons per named frame, empty ones included: name, n_persons."""
+    pairs = [F.struct(F.lit(name).alias("name"), F.col(name).alias("n_persons")) for name in frames]
+    return stage_counts(**frames).select(F.inline(F.array(*pairs)))
 
 
 def person_covariates(persons: DataFrame, index: DataFrame) -> DataFrame:

@@ -10,34 +10,48 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
+# Parts of a group in the join with its range.
+_PARTS = 16
+
+
 def exact_quantiles(
-    df: DataFrame,
-    by: Sequence[str],
-    value: str,
-    probs: Mapping[str, float],
-    bin_width: float = 1.0,
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], n_bins: int = 4096
 ) -> DataFrame:
     """Exact interpolated quantiles per group, one column per entry of ``probs``.
 
-    No task ever holds a whole group. Equal values collapse to counts before
-    the first shuffle; bin totals of width ``bin_width`` show which bins hold
-    the wanted ranks; only the values of those bins are then put in order. The
-    number of bins in a group is its value range over ``bin_width``.
+    Equal values collapse to counts before the first shuffle. Each group's
+    range of finite values is cut into ``n_bins`` equal bins, with bins of their
+    own for -infinity, infinity and NaN, which is the greatest. Bin totals show
+    which bins hold the wanted ranks; only those are put in order, each in a
+    task of its own. NULL values do not count; a group without others is absent.
     """
-    # A struct groups and joins NULL keys like any other value. The filter on the
-    # bin is the one the join infers for one of its sides; with it on both, the
-    # shuffled counts are the same and are reused.
+    # A struct groups and joins NULL keys like any other value.
     counts = (
         df.where(F.col(value).isNotNull())
         .select(F.struct(*by).alias("_group"), F.col(value).cast("double").alias("_value"))
-        .withColumn("_bin", F.floor(F.col("_value") / F.lit(float(bin_width))))
-        .where(F.col("_bin").isNotNull())
-        .groupBy("_group", "_bin", "_value")
+        .groupBy("_group", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    finite = F.when(F.abs("_value") < float("inf"), F.col("_value"))
+    # A group's range is joined to its values part by part, so that a hot group is not met in one task.
+    spans = (
+        counts.groupBy("_group")
+        .agg(F.min(finite).alias("_from"), F.max(finite).alias("_to"))
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
+    )
+    parted = counts.withColumn("_part", F.pmod(F.hash("_value"), F.lit(_PARTS)))
+    # halves, as the difference of two finite values need not be finite
+    share = F.try_divide(F.col("_value") / 2 - F.col("_from") / 2, F.col("_to") / 2 - F.col("_from") / 2)
+    bin_of = (
+        F.when(F.isnan("_value"), n_bins + 2)
+        .when(F.col("_value") == float("inf"), n_bins + 1)
+        .when(F.col("_value") == float("-inf"), -1)
+        .otherwise(F.coalesce(F.floor(share * n_bins), F.lit(0)))
+    )
+    binned = parted.join(spans, ["_group", "_part"]).withColumn("_bin", bin_of.cast("long")).drop("_from", "_to", "_part")
     group = W.partitionBy("_group")
     bins = (
-        counts.groupBy("_group", "_bin")
+        binned.groupBy("_group", "_bin")
         .agg(F.sum("_n").alias("_n"))
         .withColumn("_last", F.sum("_n").over(group.orderBy("_bin")))
         .withColumn("_total", F.sum("_n").over(group))
@@ -57,9 +71,8 @@ def exact_quantiles(
     located = bins.where(wanted).select("_group", "_bin", "_total", "_before")
     running = F.sum("_n").over(W.partitionBy("_group", "_bin").orderBy("_value"))
     ordered = (
-        counts.withColumn("_running", running)
-        .join(located, ["_group", "_bin"])
-        .withColumn("_last", F.col("_before") + F.col("_running"))
+        binned.join(located, ["_group", "_bin"])
+        .withColumn("_last", F.col("_before") + running)
         .withColumn("_before", F.col("_last") - F.col("_n"))
     )
 
@@ -71,16 +84,13 @@ def exact_quantiles(
         *[at(low[name]).alias(f"_low_{name}") for name in probs],
         *[at(high[name]).alias(f"_high_{name}") for name in probs],
     )
-    return picked.select(
-        "_group.*",
-        *[
-            (
-                F.col(f"_low_{name}")
-                + (F.col(f"_high_{name}") - F.col(f"_low_{name}")) * (rank[name] - low[name])
-            ).alias(name)
-            for name in probs
-        ],
-    )
+
+    def between(name):
+        below, above = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        share_above = rank[name] - low[name]
+        return F.when(below == above, below).otherwise((1 - share_above) * below + share_above * above)
+
+    return picked.select("_group.*", *[between(name).alias(name) for name in probs])
 
 
 def _long(df: DataFrame, strata: Sequence[str], columns: Sequence[str], kind: str, name: str) -> DataFrame:
@@ -107,10 +117,11 @@ def categorical_summary(df: DataFrame, strata: str, columns: Sequence[str]) -> D
     return _stats_rows(wide, [strata, "variable", "level"], ["n", "pct"])
 
 
-def continuous_summary(
-    df: DataFrame, strata: str, columns: Sequence[str], bin_width: float = 1.0
-) -> DataFrame:
-    """Mean, sample standard deviation, median, minimum and maximum per stratum."""
+def continuous_summary(df: DataFrame, strata: str, columns: Sequence[str]) -> DataFrame:
+    """Mean, sample standard deviation, median, minimum and maximum per stratum.
+
+    A variable without values in a stratum has all its rows, with NULL.
+    """
     keys = [strata, "variable"]
     measures = _long(df, [strata], columns, "double", "measure")
     moments = measures.groupBy(*keys).agg(
@@ -119,10 +130,11 @@ def continuous_summary(
         F.min("measure").alias("min"),
         F.max("measure").alias("max"),
     )
-    medians = exact_quantiles(measures, keys, "measure", {"median": 0.5}, bin_width)
-    return _stats_rows(moments, keys, ["mean", "sd", "min", "max"]).unionByName(
-        _stats_rows(medians, keys, ["median"])
+    medians = exact_quantiles(measures, keys, "measure", {"median": 0.5}).select(
+        F.struct(*keys).alias("_key"), "median"
     )
+    wide = moments.withColumn("_key", F.struct(*keys)).join(medians, "_key", "left")
+    return _stats_rows(wide, keys, ["mean", "sd", "median", "min", "max"])
 
 
 def table_one(
@@ -146,12 +158,10 @@ def table_one(
     return size.unionByName(categorical_summary(df, strata, categorical)).unionByName(numbers)
 
 
-def describe_lengths(df: DataFrame, column: str, bin_width: float = 1.0) -> DataFrame:
+def describe_lengths(df: DataFrame, column: str) -> DataFrame:
     """One row: minimum, quartiles, mean and maximum of a column."""
     everything = df.select(F.lit(1).alias("_all"), F.col(column).cast("double").alias("_x"))
-    quartiles = exact_quantiles(
-        everything, ["_all"], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75}, bin_width
-    )
+    quartiles = exact_quantiles(everything, ["_all"], "_x", {"q1": 0.25, "median": 0.5, "q3": 0.75})
     moments = everything.agg(
         F.min("_x").alias("min"), F.avg("_x").alias("mean"), F.max("_x").alias("max")
     )

@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retrocohort.functions.scalars import (
     age_years,
@@ -19,6 +20,7 @@ from retrocohort.operators import periods as P
 from retrocohort.operators.concepts import exclude_by_regex, indication_list
 from retrocohort.operators.persons import persons_in_all, restrict_to
 from retrocohort.operators.summaries import stage_counts, table_one
+from retrocohort.sources.delimited import read_cohort_covariates
 from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
 
 # OMOP concept ids and the labels of the cohort slices.
@@ -285,3 +287,17 @@ def cohort_membership(
         .withColumn("cohort", F.explode("_cohorts"))
         .drop("_cohorts")
     )
+
+
+def cohort_table(
+    spark: SparkSession,
+    config: DataFrame,
+    drug: str,
+    metadata: DataFrame,
+    schema: T.StructType,
+    treatment_columns: Sequence[str],
+    labels: Mapping[str, str] = COHORT_LABELS,
+) -> DataFrame:
+    """Labelled slices of the covariates file that the configuration row of ``drug`` names."""
+    covariates = read_cohort_covariates(spark, config, drug, schema)
+    return cohort_membership(covariates, metadata, treatment_columns, labels)

@@ -30,11 +30,14 @@ from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
 
 @dataclass(frozen=True)
 class CohortParams:
-    """What to study: the target drug, the biomarker and the thresholds."""
+    """What to study: the target drug, the biomarker and the thresholds.
+
+    The upper bound depends on the biomarker and so has no default.
+    """
 
     drug_concept_id: int
     biomarker_concept_id: int
-    upper_bound_biomarker: float = 250
+    upper_bound_biomarker: float
     lower_bound_biomarker: float = 0
     visit_concept_id: int = E.OUTPATIENT_VISIT
     window_months: int = 12

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import unicodedata
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,11 +12,16 @@ from pyspark.sql import types as T
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """Snake-case column names; repeats get ``_2``, ``_3``, ..."""
+    """Snake-case column names; repeats get ``_2``, ``_3``, ...
+
+    Accents are dropped, ``%`` and ``#`` are spelled out.
+    """
     used: set[str] = set()
     names = []
     for raw in df.columns:
-        spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", raw)
+        plain = unicodedata.normalize("NFKD", raw).encode("ascii", "ignore").decode()
+        spelled = plain.replace("%", " percent ").replace("#", " number ")
+        spaced = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", spelled)
         base = re.sub(r"[^0-9a-z]+", "_", spaced.lower()).strip("_") or "x"
         if base[0].isdigit():
             base = f"x{base}"
@@ -28,14 +35,19 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, sep: str = ","
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    sep: str = ",",
+    na: Sequence[str] = ("", "NA"),
 ) -> DataFrame:
-    """Delimited file with a header and repaired names.
+    """Delimited file with a header and repaired names; fields equal to one of ``na`` are NULL.
 
     With a schema the columns are matched to the repaired header by name and
     cast; text that does not fit the type becomes NULL.
     """
-    df = clean_names(spark.read.csv(path, header=True, sep=sep))
+    raw = clean_names(spark.read.csv(path, header=True, sep=sep))
+    df = raw.select(*[F.when(~F.col(c).isin(*na), F.col(c)).alias(c) for c in raw.columns]) if na else raw
     if schema is None:
         return df
     missing = [name for name in schema.fieldNames() if name not in df.columns]
@@ -45,14 +57,19 @@ def read_delimited(
 
 
 def cohort_source(config: DataFrame, drug: str) -> tuple[str, str, str]:
-    """Path, drug name and experiment id of the configuration row for ``drug``."""
-    row = (
+    """Path, drug name and experiment id of the configuration row for ``drug``.
+
+    ``ValueError`` if there is none, or more than one that differ.
+    """
+    found = (
         config.where(F.col("drug_name") == F.lit(drug))
         .select("covariates_file", "drug_name", F.col("expt_id").cast("string"))
-        .first()
+        .distinct()
+        .take(2)
     )
-    if row is None:
-        raise ValueError(f"no configuration row for the drug {drug!r}")
+    if len(found) != 1:
+        raise ValueError(f"{'several configuration rows' if found else 'no configuration row'} for the drug {drug!r}")
+    row = found[0]
     path = row["covariates_file"].format(
         drug_name=row["drug_name"], exptid=row["expt_id"], cohort_type="cohort1"
     )

@@ -81,11 +81,11 @@ SELECT DISTINCT rxcui_ingr AS rxcui_in,
 FROM {drug_to_ingredient} WHERE rxcui_ingr IN (1, 2, 3)""",
     "cohort_metadata": """
 SELECT c_custkey AS person_id, 'drug_a' AS drug_name,
-  CASE WHEN c_custkey % 10 <> 9 THEN 1 ELSE 0 END AS cohort1,
-  CASE WHEN c_custkey % 4 = 1 THEN 1 ELSE 0 END AS cohort2,
-  CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS cohort3,
-  CASE WHEN c_custkey % 5 = 2 THEN 1 ELSE 0 END AS cohort4
-FROM {customer} WHERE c_custkey % 7 <> 6""",
+  CASE WHEN c_custkey % 10 <> 9 AND c_custkey % 7 <> 6 THEN 1 ELSE 0 END AS cohort1,
+  CASE WHEN c_custkey % 4 = 1 AND c_custkey % 7 <> 6 THEN 1 ELSE 0 END AS cohort2,
+  CASE WHEN c_custkey % 3 = 0 AND c_custkey % 7 <> 6 THEN 1 ELSE 0 END AS cohort3,
+  CASE WHEN c_custkey % 5 = 2 AND c_custkey % 7 <> 6 THEN 1 ELSE 0 END AS cohort4
+FROM {customer}""",
     "covariates_file": """
 SELECT c_custkey AS person_id,
   CASE c_custkey % 5 WHEN 0 THEN 'F' WHEN 1 THEN 'F' WHEN 2 THEN NULL ELSE 'M' END AS gender,

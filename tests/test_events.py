@@ -24,12 +24,12 @@ def test_concept_set_keeps_the_domain_and_drops_repeats(frame):
     drugs = concept_set(concepts, ancestors, 9, "Drug")
     values = concept_set(concepts, ancestors, "9", "Measurement")
     assert rows(drugs) == [(1, "a")]
-    assert rows(code_sets(drugs, values)) == [(1, 1, "a"), (2, 3, "c")]
+    assert rows(code_sets(drugs.unionByName(drugs), values)) == [(1, 1, "a"), (2, 3, "c")]
 
 
 def test_bounds_are_open_below_and_closed_above(frame):
     df = frame([(0.0,), (0.01,), (250.0,), (250.01,), (None,), (float("nan"),)], "value_as_number double")
-    assert rows(E.bounded_values(df)) == [(0.01,), (250.0,)]
+    assert rows(E.bounded_values(df, 250)) == [(0.01,), (250.0,)]
     assert rows(E.bounded_values(df, upper=100)) == [(0.01,)]
 
 
@@ -127,7 +127,7 @@ def test_regex_exclusion_is_case_sensitive_and_drops_null(frame):
 
 def test_concept_exclusion(frame):
     df = frame([(1,), (2,), (None,)], "c long")
-    assert rows(exclude_concepts(df, "c", [2])) == [(1,)]
+    assert rows(exclude_concepts(df, "c", [2])) == [(1,), (None,)]
     assert exclude_concepts(df, "c", ()).count() == 3
 
 

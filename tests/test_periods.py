@@ -52,7 +52,7 @@ def test_persons_in_all_and_restriction(frame):
     assert rows(R.persons_in_all(a, b, c)) == [(1,)]
     assert rows(R.persons_in_all(a, b)) == [(1,), (2,)]
     assert rows(R.restrict_to(b, a)) == [(1,), (2,)]
-    assert rows(R.distinct_persons(a=a, b=b)) == [("a", 2), ("b", 3)]
+    assert rows(R.distinct_persons(a=a, b=b, c=a.limit(0))) == [("a", 2), ("b", 3), ("c", 0)]
 
 
 def test_person_covariates_keep_one_row_per_birth_time(frame):

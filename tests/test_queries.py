@@ -7,6 +7,7 @@ import dataclasses
 import pytest
 
 import __spark_entry__ as entry_point
+from retrocohort.operators.events import bounded_values
 from retrocohort.plans.extracts import save_extracts
 from retrocohort.sources.sinks import save_extract
 from tests.compare import oracle_connection, oracle_result, spark_result
@@ -152,6 +153,13 @@ def test_extracts_saved_under_chosen_names(spark, study, tmp_path):
         save_extracts(study.cdm, study.params, study.cohort, ["covariates"], save)
 
 
+def test_the_upper_bound_is_the_callers_choice(study):
+    with pytest.raises(TypeError, match="upper_bound"):
+        type(study.params)(drug_concept_id=1, biomarker_concept_id=2)
+    values = study.get("measurement")
+    assert bounded_values(values, 1e9).count() == values.where("value_as_number > 0").count()
+
+
 def test_a_drug_that_nobody_takes_gives_empty_results(spark):
     params = dataclasses.replace(entry_point.PARAMS, drug_concept_id=-1)
     empty = entry_point.Study(spark, FOLDER, params)

@@ -16,7 +16,8 @@ from tests.conftest import rows
 
 def test_names_are_repaired(spark):
     df = spark.createDataFrame([(1, 2, 3, 4, 5, 6)], ["Person ID", "person.id", "2nd", "P-Value (%)", "!!", "startDate"])
-    assert clean_names(df).columns == ["person_id", "person_id_2", "x2nd", "p_value", "x", "start_date"]
+    assert clean_names(df).columns == ["person_id", "person_id_2", "x2nd", "p_value_percent", "x", "start_date"]
+    assert clean_names(spark.createDataFrame([(1, 2, 3)], ["p #", "p %", "Âge"])).columns == ["p_number", "p_percent", "age"]
 
 
 def test_binding_accepts_names_paths_frames_and_factories(spark, frame, tmp_path):
@@ -39,6 +40,7 @@ def test_covariates_file_from_its_configuration_row(spark, frame, tmp_path):
         "Person ID,Gender,Race,DOB,Start Date,End Date,Treat Start,Treat End,Other\n"
         "1,F,W,1950-01-01,2000-01-01,2002-01-01,2001-01-01,2001-03-01,z\n"
         "2,,B,bad,2000-01-01,2002-01-01,2001-01-01,2001-03-01,z\n"
+        "3,NA,NA,NA,2000-01-01,2002-01-01,2001-01-01,2001-03-01,NA\n"
     )
     (tmp_path / "drug_a_20210123_cohort1.csv").write_text(text)
     template = str(tmp_path) + "/{drug_name}_{exptid}_{cohort_type}.csv"
@@ -47,16 +49,20 @@ def test_covariates_file_from_its_configuration_row(spark, frame, tmp_path):
     assert rows(got) == [
         (1, "F", "W", "1950-01-01", "2000-01-01", "2002-01-01", "2001-01-01", "2001-03-01"),
         (2, None, "B", None, "2000-01-01", "2002-01-01", "2001-01-01", "2001-03-01"),
+        (3, None, None, None, "2000-01-01", "2002-01-01", "2001-01-01", "2001-03-01"),
     ]
     assert cohort_source(config, "drug_a")[1:] == ("drug_a", "20210123")
     with pytest.raises(ValueError, match="drug_c"):
         cohort_source(config, "drug_c")
+    assert cohort_source(config.unionByName(config), "drug_a")[2] == "20210123"
+    with pytest.raises(ValueError, match="several configuration rows"):
+        cohort_source(config.unionByName(config.withColumn("expt_id", config.expt_id + 1)), "drug_a")
 
 
 def test_results_from_a_file_or_a_frame(spark, frame, tmp_path):
-    (tmp_path / "results.csv").write_text("Test,P Val\na,1.234e-5\nb,\n")
+    (tmp_path / "results.csv").write_text("Test,P Val\na,1.234e-5\nb,\nc,NA\n")
     got = format_pvalues(load_results(spark, str(tmp_path / "results.csv")), "p_val")
-    assert rows(got) == [("a", "1.23E-05"), ("b", None)]
+    assert rows(got) == [("a", "1.23E-05"), ("b", None), ("c", None)]
     df = frame([("a", 0.05)], "test string, pval double")
     assert load_results(spark, df) is df
     assert rows(format_pvalues(df)) == [("a", "5.00E-02")]
@@ -112,7 +118,7 @@ def test_normalizing_gives_lower_case_names_and_dates(frame):
 
 def test_unknown_extract_type(spark):
     with pytest.raises(ValueError, match="'labs'"):
-        EX.extract("labs", CdmTables(spark, {}), EX.CohortParams(1, 2))
+        EX.extract("labs", CdmTables(spark, {}), EX.CohortParams(1, 2, 250))
 
 
 def test_size_bound_decides_about_the_broadcast(frame):

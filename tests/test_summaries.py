@@ -11,12 +11,12 @@ from tests.conftest import rows
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.floats(-50, 50, allow_nan=False).map(lambda v: round(v, 2)), min_size=1, max_size=60),
-    width=st.sampled_from([0.1, 1.0, 7.0, 1000.0]),
+    n_bins=st.sampled_from([1, 7, 4096]),
 )
-def test_quantiles_equal_the_interpolated_definition(spark, values, width):
+def test_quantiles_equal_the_interpolated_definition(spark, values, n_bins):
     df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values)], "g int, v double")
     probs = {"q1": 0.25, "median": 0.5, "p90": 0.9, "top": 1.0}
-    for row in S.exact_quantiles(df, ["g"], "v", probs, width).collect():
+    for row in S.exact_quantiles(df, ["g"], "v", probs, n_bins).collect():
         group = [v for i, v in enumerate(values) if i % 3 == row["g"]]
         for name, p in probs.items():
             assert row[name] == pytest.approx(np.quantile(group, p), abs=1e-9)
@@ -36,6 +36,29 @@ def test_quantiles_over_a_large_single_group(spark):
     }
 
 
+def test_quantiles_of_many_values_in_a_narrow_range_are_ordered_in_parts(spark):
+    df = spark.range(200_000).select(F.lit("all").alias("g"), (F.col("id") * 7919 % 200_000 / 200_000).alias("v"))
+    found = S.exact_quantiles(df, ["g"], "v", {"m": 0.5})
+    assert found.first()["m"] == df.agg(F.median("v")).first()[0]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("Join")  # the join with the located bins is below the ordering
+
+
+def test_quantiles_with_nan_and_infinities(spark):
+    inf, nan = float("inf"), float("nan")
+    for values in ([1, 2, 3, nan, -5], [1, inf, inf], [-inf, -inf, 0, inf], [nan], [-inf, 1, 2], [1e308, -1e308, 0, 3], [0.0, 5e-324]):
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").selectExpr("1 AS g", "v")
+        got, want = S.exact_quantiles(df, ["g"], "v", {"m": 0.5}).first()["m"], df.agg(F.median("v")).first()[0]
+        assert got == want or (np.isnan(got) and np.isnan(want)), values
+
+
+def test_a_variable_without_values_keeps_its_rows(frame):
+    df = frame([("X", None), ("Y", 2.0)], "phenotype string, age double")
+    got = {(r[0], r[2]): r[3] for r in S.continuous_summary(df, "phenotype", ["age"]).collect()}
+    assert {k[1] for k in got if k[0] == "X"} == {"mean", "sd", "median", "min", "max"}
+    assert got[("X", "median")] is None and got[("Y", "median")] == 2
+
+
 def test_table_one(frame):
     df = frame(
         [("X", 1, "d", 1.0), ("X", 0, "d", 2.0), ("X", 1, "d", 3.0), ("X", None, "d", 10.0), ("Y", 1, "d", 4.0)],
