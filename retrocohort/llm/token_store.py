@@ -37,6 +37,8 @@ BLOCK = 2048
 RECORD = 1024 * BLOCK
 # Words whose ids a task remembers at most; beyond, it starts anew.
 REMEMBERED = 200_000
+# Documents whose new words are looked up together.
+TOGETHER = 256
 
 RECORDS = "part int, record int, payload binary"
 STORED = "part int, record int, place long, doc_id long, n_tokens long, ids_crc32 long"
@@ -66,19 +68,22 @@ class _Encoder:
         ends = np.cumsum([len(x) for x in lists]) + self.begin[-1]
         self.begin = np.concatenate([self.begin, ends])
 
-    def __call__(self, text: str, end_id: int) -> np.ndarray:
-        words = text.encode().split()
-        if new := set(words) - self.number.keys():
-            if len(self.number) > REMEMBERED:
-                self.forget()
-                new = set(words)
+    def __call__(self, texts: list[str], end_id: int) -> list[np.ndarray]:
+        split = [text.encode().split() for text in texts]
+        new = {w for words in split for w in words if w not in self.number}
+        if new and len(self.number) > REMEMBERED:
+            self.forget()
+            new = {w for words in split for w in words}
+        if new:
             self.learn(sorted(new))
+        return [self._ids(words, end_id) for words in split]
+
+    def _ids(self, words: list[bytes], end_id: int) -> np.ndarray:
         which = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
         first = self.begin[which]
         sizes = self.begin[which + 1] - first
-        total = int(sizes.sum())
         ends = np.cumsum(sizes)
-        at = np.repeat(first - ends + sizes, sizes) + np.arange(total)
+        at = np.repeat(first - ends + sizes, sizes) + np.arange(int(sizes.sum()))
         return np.append(self.ids[at], end_id)
 
 
@@ -142,14 +147,16 @@ def _writer(tokenizer: str, end_id: int):
             return pa.RecordBatch.from_arrays(columns, names=["part", "record", "payload"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encoder(text.as_py() or "", end_id)
-                if documents and held + len(ids) > RECORD:
-                    yield row()
-                    doc_ids, documents, held, record = [], [], 0, record + 1
-                doc_ids.append(doc_id.as_py())
-                documents.append(ids)
-                held += len(ids)
+            for first in range(0, len(batch), TOGETHER):
+                rows = batch.slice(first, TOGETHER)
+                texts = [text.as_py() or "" for text in rows.column(1)]
+                for doc_id, ids in zip(rows.column(0), encoder(texts, end_id), strict=True):
+                    if documents and held + len(ids) > RECORD:
+                        yield row()
+                        doc_ids, documents, held, record = [], [], 0, record + 1
+                    doc_ids.append(doc_id.as_py())
+                    documents.append(ids)
+                    held += len(ids)
         if documents:
             yield row()
 

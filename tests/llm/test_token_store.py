@@ -59,7 +59,7 @@ def test_small_records_and_forgetting_give_the_same(spark, tmp_path, monkeypatch
     encoder = token_store._Encoder(PATH)
     tokenizer = Tokenizer.from_file(PATH)
     for text in [*TRICKY, *TRICKY]:
-        assert encoder(text, 1).tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert encoder([text], 1)[0].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_damage_is_noticed():
