@@ -40,7 +40,7 @@ def main() -> None:
     from retrocohort.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
-    names = sys.argv[2:] or list(entry_point.queries())
+    names = sys.argv[2:] or list(entry_point.QUERIES)
     folder = f"/root/testdata/sf{sf}"
     spark = build_session()
     connection = oracle_connection(folder)
