@@ -23,8 +23,10 @@ def mapped_exposures(exposures: DataFrame) -> DataFrame:
 def of_concepts(events: DataFrame, column: str, concepts: Lookup) -> DataFrame:
     """Events whose ``column`` is in the concept set, repeats kept.
 
-    A semi join: the optimiser moves it below other joins, next to the scan.
+    A semi join: the optimiser moves it below other joins, next to the scan,
+    which the least and greatest id of the set reach as a filter.
     """
+    events = concepts.within(events, column, "concept_id")
     side = concepts.table.select(F.col("concept_id").alias(column))
     side = F.broadcast(side) if concepts.small else side
     return events.join(side, column, "left_semi")
@@ -73,13 +75,16 @@ def at_outpatient_visit(
     ``days`` holds the distinct days from :func:`visit_days`. With
     ``keep_duplicates`` an event appears once per visit on its day, otherwise
     once. The two-part key spreads a person with many rows over their dates.
+    The columns that the days carry are added to the events.
     """
     side = days.table.withColumnRenamed("visit_start_date", date_column)
     side = F.broadcast(side) if days.small else side
     keys = ["person_id", date_column]
+    events = days.within(events, date_column, "visit_start_date")
     if keep_duplicates:
-        return repeat_rows(events.join(side.select(*keys, "n_visits"), keys), "n_visits")
-    return events.join(side.select(*keys), keys, "left_semi")
+        return repeat_rows(events.join(side, keys), "n_visits")
+    side = side.drop("n_visits")
+    return events.join(side, keys, "inner" if len(side.columns) > len(keys) else "left_semi")
 
 
 def in_window(
@@ -94,9 +99,11 @@ def in_window(
     Ranges that fit a broadcast filter the events where they are read. Beyond
     the bound the ranges are listed by calendar month and joined on person and
     month, which spreads a person with many rows and compares only events
-    near a range.
+    near a range. Either way the ends of all ranges, where measured, filter the
+    scan of the events.
     """
     ranges = windows.table.where(F.col(start) <= F.col(end))
+    events = windows.within(events, date_column, start, end)
     inside = F.col(date_column).between(F.col(start), F.col(end))
     if windows.small:
         return events.join(F.broadcast(ranges), "person_id").where(inside)
@@ -116,6 +123,7 @@ def with_codes(conditions: DataFrame, codes: Lookup) -> DataFrame:
     """Conditions whose source concept is on the code list, repeats kept."""
     side = codes.table.withColumnRenamed("concept_id", "condition_source_concept_id")
     side = F.broadcast(side) if codes.small else side
+    conditions = codes.within(conditions, "condition_source_concept_id", "concept_id")
     return conditions.join(side, "condition_source_concept_id").select(
         "person_id",
         "concept_code",

@@ -115,8 +115,10 @@ class CohortAnalysis:
         """
         others = exclude_by_regex(self.indication_drugs, "drug_desc", self.params.drug)
         ids = others.select(F.col("rxcui_in").alias("rxcui_ingr")).distinct()
-        mapping = stored(
-            self.ingredients.join(ids, "rxcui_ingr", "left_semi"), self.params.broadcast_bytes
+        mapping = lookup(
+            self.ingredients.join(ids, "rxcui_ingr", "left_semi"),
+            "indication_ingredients",
+            self.params.broadcast_bytes,
         )
         return P.period_exposures(self.periods, P.to_ingredients(self.drugs, mapping))
 

@@ -1,10 +1,11 @@
 """Extracts of a target drug's cohort from the OMOP-shaped tables.
 
-``build_cohort`` stages three narrow tables once: the target-drug set, one row
-per person with the first and last outpatient exposure, and one row per person
-and outpatient day inside the window. A window filter followed by a visit join
-is the same as a join with those days, so every extract reads its event table
-once and matches it with them on person and date.
+:class:`Cohort` stages narrow tables once: the target-drug set, the index days,
+the outpatient days of their persons, one row per person with the first and
+last outpatient exposure, and one row per person and outpatient day inside the
+window. A window filter followed by a visit join is the same as a join with
+those days, so the visits are read once, and every extract reads its event
+table once and matches it with them on person and date.
 """
 
 from __future__ import annotations
@@ -85,10 +86,8 @@ class Cohort:
     @cached_property
     def wanted_drugs(self) -> Lookup:
         """The indication drugs and the target drugs."""
-        return stored(
-            X.wanted_drugs(self.cdm.get("indication_ancestor"), self.drug_set.table),
-            self.params.broadcast_bytes,
-        )
+        wanted = X.wanted_drugs(self.cdm.get("indication_ancestor"), self.drug_set.table)
+        return self._lookup(wanted, "wanted_drugs")
 
     @cached_property
     def index_days(self) -> Lookup:
@@ -101,53 +100,61 @@ class Cohort:
         )
 
     @cached_property
-    def span(self) -> Lookup:
-        """First and last outpatient exposure per person.
+    def persons(self) -> Lookup:
+        """Persons with an index day."""
+        found = self.index_days.table.select("person_id").distinct()
+        return Lookup(found, True) if self.index_days.small else self._lookup(found, "index_persons")
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        """Outpatient days of the persons, with the number of visits on each; the only scan of visits.
 
-        The visits are the probe side: a broadcast of the index days, or of
-        their persons if the days are too many, filters them at the scan.
-        Repeated visits do not change a min or max.
+        No window reaches further than ``window_months`` from an index day.
         """
+        visits, months = self._visits(), abs(self.params.window_months)
+        if ends := self.index_days.ends.get("drug_exposure_start_date"):
+            first, last = F.add_months(F.lit(ends[0]), -months), F.add_months(F.lit(ends[1]), months)
+            visits = visits.where(F.col("visit_start_date").between(first, last))
+        return stage(E.visit_days(visits.join(self.persons.side, "person_id", "left_semi")), "visits")
+
+    @cached_property
+    def span(self) -> Lookup:
+        """First and last outpatient exposure per person."""
         days = self.index_days.side.withColumnRenamed("drug_exposure_start_date", "visit_start_date")
-        visits = self._visits()
-        if not self.index_days.small:
-            persons = self._lookup(days.select("person_id").distinct(), "index_persons")
-            if persons.small:
-                visits = visits.join(persons.side, "person_id", "left_semi")
-        at_visits = visits.join(days, ["person_id", "visit_start_date"]).select(
+        at_visits = self.visits.join(days, ["person_id", "visit_start_date"], "left_semi").select(
             "person_id",
             F.lit(int(self.params.drug_concept_id)).cast("long").alias("drug_concept_id"),
             F.col("visit_start_date").alias("drug_exposure_start_date"),
         )
         return self._lookup(X.exposure_span(at_visits), "span")
 
-    @property
+    @cached_property
     def window(self) -> Lookup:
-        """Date range per person, derived from the staged span."""
+        """Date range per person, from the staged span."""
         ranges = X.cohort_window(self.span.table, self.params.window_months)
-        return Lookup(ranges.select("person_id", "start_date", "end_date"), self.span.small)
+        return self._lookup(ranges.select("person_id", "start_date", "end_date"), "window")
 
     @cached_property
     def days(self) -> Lookup:
-        """Outpatient days inside the window, with the number of visits on each."""
-        visits = E.in_window(self._visits(), self.window, "visit_start_date")
-        return self._lookup(E.visit_days(visits), "days")
+        """Outpatient days inside the window, with the window's dates and the number of visits."""
+        found = E.in_window(self.visits, self.window, "visit_start_date")
+        return self._lookup(found, "days")
 
     def at_days(self, events: DataFrame, date_column: str, once: bool) -> DataFrame:
         """Events on an outpatient day in the window, with the window's dates.
 
-        ``once`` gives distinct rows; otherwise a row appears once per visit.
-        Windows that fit a broadcast drop the events of other persons and
-        dates at the scan. Days that do not fit are joined by shuffle on person
-        and date, after repeats have collapsed where none are wanted.
+        ``once`` gives distinct rows; otherwise a row appears once per visit,
+        unfolded last. The dates of the days filter the scan. Persons that fit
+        a broadcast drop the events of others there as well; the days join is
+        a broadcast or a shuffle on person and date. Repeats collapse before a
+        shuffle, and after a broadcast has filtered them.
         """
-        if self.window.small:
-            events = E.in_window(events, self.window, date_column)
-        if once and not self.days.small:
-            events = events.distinct()
+        events = self.days.within(events, date_column, "visit_start_date")
+        if not self.days.small:
+            if self.window.small:
+                events = events.join(F.broadcast(self.window.table.select("person_id")), "person_id", "left_semi")
+            events = events.distinct() if once else events
         found = E.at_outpatient_visit(events, self.days, date_column, keep_duplicates=not once)
-        if not self.window.small:
-            found = found.join(self.window.table, "person_id")
         return found.distinct() if once and self.days.small else found
 
 
@@ -251,6 +258,10 @@ def save_extracts(
         cohort.days
     else:
         cohort.span
+    if "drugs" in kinds:
+        cohort.wanted_drugs
+    if "biomarkers" in kinds:
+        cohort.biomarker_set
 
     def saved(kind: str) -> DataFrame:
         return save(extract(kind, cdm, params, cohort), kind)

@@ -14,8 +14,9 @@ def build_session(
     master: str = "local[8]",
     shuffle_partitions: int = 8,
     driver_memory: str = "8g",
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
-    spark = (
+    builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -25,7 +26,9 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", driver_memory)
         .config("spark.ui.enabled", "false")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

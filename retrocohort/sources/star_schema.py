@@ -3,7 +3,8 @@
 The projection is portable SQL, so the same text also serves as the WITH
 prefix of a check in another engine. Names in braces are the inputs. The
 modulo terms give each source row deterministic attributes (gender, second
-visits, cohort flags); no query uses them to read less. Both sides of a join
+visits, second birth times, ingredients, cohort flags); no query uses them to
+read less. Both sides of a join
 compute their columns first, so filters on them reach the scan they belong to.
 """
 
@@ -31,7 +32,12 @@ SELECT c_custkey AS person_id,
   CAST(DATE '1930-01-01' + CAST((c_custkey * 7919) % 21000 AS INT) AS TIMESTAMP) AS birth_datetime,
   CAST(CASE c_custkey % 5 WHEN 0 THEN 8532 WHEN 1 THEN 45878463 WHEN 2 THEN NULL ELSE 8507 END AS INT) AS gender_concept_id,
   CAST(CASE c_custkey % 3 WHEN 0 THEN 8527 WHEN 1 THEN 8516 ELSE 8515 END AS INT) AS race_concept_id
-FROM {customer}""",
+FROM {customer}
+UNION ALL
+SELECT c_custkey, CAST(DATE '1930-01-01' + CAST((c_custkey * 7919) % 21000 AS INT) AS TIMESTAMP) + INTERVAL '1' HOUR,
+  CAST(CASE c_custkey % 5 WHEN 0 THEN 8532 WHEN 1 THEN 45878463 WHEN 2 THEN NULL ELSE 8507 END AS INT),
+  CAST(CASE c_custkey % 3 WHEN 0 THEN 8527 WHEN 1 THEN 8516 ELSE 8515 END AS INT)
+FROM {customer} WHERE c_custkey % 20 = 0""",
     "concept": """
 SELECT p_partkey + 1 AS concept_id, p_name AS concept_name, 'Drug' AS domain_id FROM {part}
 UNION ALL
@@ -68,12 +74,17 @@ SELECT o_custkey AS person_id, 700000 + o_orderkey % 50 AS condition_source_conc
   CAST(o_orderdate AS DATE) AS condition_start_date FROM {orders}""",
     "comorbidity_codes": """
 SELECT CAST(700000 + n_nationkey AS BIGINT) AS concept_id, n_name AS concept_code,
-  CASE WHEN n_regionkey < 3 THEN 'ICD10CM' ELSE 'ICD9CM' END AS vocabulary_id FROM {nation}""",
+  CASE WHEN n_regionkey < 3 THEN 'ICD10CM' ELSE 'ICD9CM' END AS vocabulary_id FROM {nation}
+UNION ALL
+SELECT CAST(700000 + n_nationkey AS BIGINT), n_name, 'ICD10CM' FROM {nation} WHERE n_nationkey = 1""",
     "indication_ancestor": """
 SELECT descendant_concept_id FROM {concept_ancestor}
 WHERE ancestor_concept_id IN (910001, 910002, 910003)""",
     "drug_to_ingredient": """
-SELECT p_partkey + 1 AS drug_concept_id, CAST(substr(p_brand, 7) AS INT) AS rxcui_ingr FROM {part}""",
+SELECT p_partkey + 1 AS drug_concept_id, CAST(substr(p_brand, 7) AS INT) AS rxcui_ingr FROM {part}
+WHERE p_partkey % 11 <> 0
+UNION ALL
+SELECT p_partkey + 1, CAST(substr(p_brand, 7) AS INT) % 4 + 1 FROM {part} WHERE p_partkey % 7 = 0""",
     "indication_drugs": """
 SELECT DISTINCT rxcui_ingr AS rxcui_in,
   CASE rxcui_ingr WHEN 1 THEN 'brand one' WHEN 2 THEN 'brand two' ELSE 'target drug tablet' END AS drug_desc,

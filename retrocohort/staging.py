@@ -3,7 +3,9 @@
 A study reuses a few narrow tables (first/last exposure, outpatient days,
 observation periods) in many later steps. Writing each once cuts the plan,
 survives the loss of executors, and gives the optimiser real file sizes. The
-size that decides about a broadcast is measured by the same write.
+size that decides about a broadcast is measured by the same write, and so are
+the least and greatest date and number of each column, with which the large
+tables are filtered where they are read.
 """
 
 from __future__ import annotations
@@ -12,7 +14,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +23,9 @@ from pyspark.sql import types as T
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Largest hash table, as measured below, that is sent to every executor.
-BROADCAST_BYTES = 256 * 1024 * 1024
+# Largest hash table, as measured below, that is sent to every executor. At most
+# eight lookups of a study are in use at once, so all of them stay within 512 MiB.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 _local_roots: dict[str, str] = {}
 
@@ -56,12 +60,30 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clear_stages(spark: SparkSession) -> None:
+    """Delete every table this application has staged; frames over them can no longer be read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_MEASURED = (T.DateType, T.IntegralType)
+
+
 def _size_columns(df: DataFrame) -> list[Column]:
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    if nested:
+        raise ValueError(f"the size of nested columns is not measured: {nested}")
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     text_bytes = F.lit(0).cast("long")
     for name in text:
         text_bytes = text_bytes + F.coalesce(F.octet_length(F.col(name)), F.lit(0))
-    return [F.count(F.lit(1)).alias("n_rows"), F.sum(text_bytes).alias("n_text")]
+    ends = [
+        end(F.col(f.name)).alias(f"{which}_{f.name}")
+        for f in df.schema.fields
+        if isinstance(f.dataType, _MEASURED)
+        for which, end in (("least", F.min), ("most", F.max))
+    ]
+    return [F.count(F.lit(1)).alias("n_rows"), F.sum(text_bytes).alias("n_text"), *ends]
 
 
 def _hash_table_bytes(df: DataFrame, n_rows: int, n_text: int | None) -> int:
@@ -75,16 +97,41 @@ def _hash_table_bytes(df: DataFrame, n_rows: int, n_text: int | None) -> int:
 
 @dataclass(frozen=True)
 class Lookup:
-    """A table and whether its measured size allows a broadcast."""
+    """A table, whether its measured size allows a broadcast, and its columns' ends.
+
+    ``ends`` holds the least and greatest value of the columns that were
+    measured, None for both where a column has no value.
+    """
 
     table: DataFrame
     small: bool
+    ends: dict[str, tuple[Any, Any]] = field(default_factory=dict)
 
     @property
     def side(self) -> DataFrame:
         """The table as a join side: broadcast within the bound, plain beyond it."""
         return F.broadcast(self.table) if self.small else self.table
 
+    def within(self, df: DataFrame, column: str, first: str, last: str | None = None) -> DataFrame:
+        """Rows of ``df`` whose ``column`` lies between the ends of two columns (or of one).
+
+        A filter with literals, which reaches the scan. It loses no row that
+        could meet the table there; columns that were not measured filter nothing.
+        """
+        last = last or first
+        if first not in self.ends or last not in self.ends:
+            return df
+        least, most = self.ends[first][0], self.ends[last][1]
+        if least is None or most is None:
+            return df.where(F.lit(False))
+        return df.where(F.col(column).between(F.lit(least), F.lit(most)))
+
+
+def _measured(table: DataFrame, found: dict[str, Any], broadcast_bytes: int) -> Lookup:
+    small = _hash_table_bytes(table, found["n_rows"], found["n_text"]) <= broadcast_bytes
+    names = [key.removeprefix("least_") for key in found if key.startswith("least_")]
+    return Lookup(table, small, {n: (found[f"least_{n}"], found[f"most_{n}"]) for n in names})
+
 
 def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
     """Stage ``df``, measuring it while it is written.
@@ -95,15 +142,9 @@ def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) ->
     """
     size = Observation()
     table = stage(df.observe(size, *_size_columns(df)), label)
-    found = size.get
-    return Lookup(table, _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes)
+    return _measured(table, size.get, broadcast_bytes)
 
 
 def stored(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
-    """A lookup over a table that is stored already, or is cheap to derive.
-
-    It is only measured; written, as by :func:`lookup`, when it is too large.
-    """
-    found = df.agg(*_size_columns(df)).first()
-    small = _hash_table_bytes(df, found["n_rows"], found["n_text"]) <= broadcast_bytes
-    return Lookup(df if small else stage(df, "stored"), small)
+    """A lookup over a table that is stored already; it is only measured."""
+    return _measured(df, df.agg(*_size_columns(df)).first().asDict(), broadcast_bytes)

@@ -13,8 +13,9 @@ from retrocohort.staging import Lookup  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", shuffle_partitions=4, driver_memory="4g")
+def spark(tmp_path_factory):
+    stages = str(tmp_path_factory.mktemp("stages"))
+    session = build_session("tests", shuffle_partitions=4, driver_memory="4g", checkpoint_dir=stages)
     yield session
     session.stop()
 
