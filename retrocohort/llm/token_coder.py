@@ -9,8 +9,9 @@ followed the two, or one, ids before, with a confidence from 0 to 3. Order 0
 counts the high and the low byte of all ids so far. Whether an id is the one of
 order 2, of order 1 or another is coded with frequencies mixed from three
 counts: by order 2's confidence, by order 1's and over the whole block. If it
-is another, its two bytes are coded with order 0's frequencies, which are
-renewed every few ids.
+is another, its two bytes are coded with order 0's frequencies. Frequencies are
+renewed from the counts after 8, 16, 32, 64 and every 128 ids; the remembered
+ids change with every id.
 """
 
 from __future__ import annotations
@@ -18,59 +19,52 @@ from __future__ import annotations
 import numpy as np
 
 LIMIT = 1 << 16  # ids have two bytes
-_BITS = 14  # of order-0 frequencies
-_RENEW = 64
-_SLOTS = 10
-_TOP, _BOTTOM = np.uint64(48), np.uint64((1 << 32) - 1)
-_WORD = np.uint64(16)
+_BITS = 14  # of all frequencies
+_ONE = 1 << _BITS
+_EARLY, _RENEW = (8, 16, 32, 64), 128
+_GAIN = 16  # weight of a byte that was seen, against 1 of every other
+_SLOTS = 9
+_SHIFT, _WORD, _TOP = np.uint64(_BITS), np.uint64(16), np.uint64(48)
+# Least width before an id. Its three parts take 42 of these 48 bits at most.
+_LEAST = np.uint64(1 << 48)
 
-
-def _count(hit: np.ndarray) -> np.ndarray:
-    """True values in each column of at most 127."""
-    return hit.view(np.int8).sum(axis=0, dtype=np.int8).astype(np.int64)
+# Bounds of a byte's 256 symbols, then the bounds 0 and _ONE of the symbol _NONE, which costs nothing.
+_ROW, _NONE = 260, 257
 
 
 class _Bytes:
-    """Order-0 frequencies of one byte."""
+    """Order-0 frequencies of the high and the low bytes, as bounds of spans."""
 
     def __init__(self, n: int):
-        self.count = np.ones((n, 256), dtype=np.int32)
-        self.flat_count = self.count.reshape(-1)
-        self.total = np.full(n, 256, dtype=np.int64)
-        self.share = np.empty((n, 256), dtype=np.int32)
-        self.upto = np.empty((n, 256), dtype=np.int32)
-        self.flat_upto = self.upto.reshape(-1)
-        self.flat_share = self.share.reshape(-1)
-        self.base = np.arange(n) * 256
-        self.near = np.arange(16)[:, None]
-        self.renew()
-
-    def renew(self) -> None:
-        # counts times a reciprocal with 10 binary places; products stay below 31 bits
-        scale = ((((1 << _BITS) - 256) << 10) // self.total).astype(np.int32)
-        np.multiply(self.count, scale[:, None], out=self.share)
-        self.share >>= 10
-        self.share += 1
-        np.cumsum(self.share, axis=1, dtype=np.int32, out=self.upto)
-        self.coarse = np.ascontiguousarray(self.upto[:, 15:255:16].T)
-        self.end = self.upto[:, 255].astype(np.int64)
-
-    def span(self, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = self.base + symbol
-        size = self.flat_share.take(at)
-        return self.flat_upto.take(at) - size, size
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """The symbol whose span holds the value, by sixteenths."""
-        value = value.astype(np.int32)
-        first = _count(self.coarse <= value) << 4
-        fine = self.flat_upto.take((self.base + first) + self.near)
-        return first + _count(fine[:15] <= value)
-
-    def seen(self, symbol: np.ndarray, times: np.ndarray) -> None:
-        at = self.base + symbol
-        self.flat_count[at] = self.flat_count.take(at) + times
-        self.total += times
+        self.n = n
+        self.count = np.ones((2 * n, 256), dtype=np.int32)
+        self.bounds = np.zeros((2 * n, _ROW), dtype=np.int16)
+        self.bounds[:, _NONE + 1] = _ONE
+        self.flat = self.bounds.reshape(-1)
+        self.base = (np.arange(2 * n) * _ROW).reshape(2, n)
+        self.renew(np.zeros(0, dtype=np.int64))
+
+    def renew(self, seen: np.ndarray) -> None:
+        """Counts the places of symbols in ``flat``."""
+        if seen.size:
+            times = np.bincount(seen.reshape(-1), minlength=self.flat.size).astype(np.int32)
+            self.count += times.reshape(-1, _ROW)[:, :256] * np.int32(_GAIN)
+        # a reciprocal with 10 binary places; products stay below 25 bits
+        scale = ((_ONE - 256) << 10) // self.count.sum(axis=1, dtype=np.int64)
+        share = ((self.count * scale.astype(np.int32)[:, None]) >> 10).astype(np.int16) + np.int16(1)
+        np.cumsum(share, axis=1, dtype=np.int16, out=self.bounds[:, 1:257])
+        coarse = self.bounds[:, 16:256:16].reshape(2, self.n, 15)
+        self.coarse = np.ascontiguousarray(coarse.transpose(0, 2, 1))
+        self.last = self.bounds[:, 256].reshape(2, self.n) - np.int16(1)
+
+    def find(self, part: int, value: np.ndarray) -> np.ndarray:
+        """Places in ``flat`` of the symbols whose spans hold the values: by sixteenths, then by halves."""
+        value = np.minimum(value, self.last[part].astype(np.uint64)).astype(np.int16)
+        first = (self.coarse[part] <= value).view(np.int8).sum(axis=0, dtype=np.int8)
+        at = self.base[part] + (first.astype(np.int64) << 4)
+        for half in (8, 4, 2, 1):
+            at += (self.flat.take(at + half) <= value) * half
+        return at
 
 
 class _Model:
@@ -80,53 +74,58 @@ class _Model:
         self.n = n
         self.slot_base = np.arange(n) << _SLOTS
         self.tables = [np.zeros(n << _SLOTS, dtype=np.int32) for _ in range(2)]
-        # counts of the events, one array for each event: by block and confidence, and by block
-        self.mixed = [np.ones((3, n * 4), dtype=np.int32) for _ in range(2)]
-        self.whole = np.ones((3, n), dtype=np.int32)
-        self.lane = np.arange(n) * 4
-        self.row = np.arange(n)
-        self.high, self.low = _Bytes(n), _Bytes(n)
+        # times of each event by block and both confidences
+        self.events = np.ones((n, 4, 4, 3), dtype=np.int64)
+        self.bounds = np.zeros((n, 4, 4, 4), dtype=np.int16)
+        self.bounds[..., 3] = _ONE
+        self.flat = self.bounds.reshape(-1)
+        self.lane = np.arange(n) << 6
+        self.bytes = _Bytes(n)
+        self.seen_events = np.empty((_RENEW, n), dtype=np.int64)
+        self.seen_bytes = np.empty((_RENEW, 2, n), dtype=np.int64)
         self.last = np.zeros(n, dtype=np.int64)
         self.before = np.zeros(n, dtype=np.int64)
-        self.steps = 0
-
-    def predict(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ends of the three events' spans, by block; the guesses are kept for :meth:`learn`."""
+        self.steps = self.kept = 0
+        self.mix()
+
+    def mix(self) -> None:
+        by_two = self.events.sum(axis=2, keepdims=True)
+        by_one = self.events.sum(axis=1, keepdims=True)
+        whole = self.events.sum(axis=(1, 2), keepdims=True)
+        mixed = (by_two << 2) + (by_one << 1) + whole
+        share = mixed * (_ONE - 3) // mixed.sum(axis=3, keepdims=True) + 1
+        self.bounds[..., 1] = share[..., 0]
+        self.bounds[..., 2] = share[..., 0] + share[..., 1]
+
+    def predict(self) -> np.ndarray:
+        """Places in ``flat`` of the first event's span; the guesses are kept."""
         mask = (1 << _SLOTS) - 1
         one = self.last * 40503
         two = one + self.before * 60493
         self.at = (self.slot_base + ((two >> 5) & mask), self.slot_base + ((one >> 5) & mask))
         self.slots = tuple(t.take(at) for t, at in zip(self.tables, self.at, strict=True))
         self.guesses = tuple(s >> 2 for s in self.slots)
-        self.confidence = tuple(s & 3 for s in self.slots)
-        self.by = tuple(self.lane + c for c in self.confidence)
-        ends, end = [], 0
-        for event in range(3):
-            by_two, by_one = (m[event].take(by) for m, by in zip(self.mixed, self.by, strict=True))
-            end = end + (by_two << 2) + (by_one << 1) + self.whole[event]
-            ends.append(end)
-        return tuple(ends)
-
-    def learn(self, ids: np.ndarray, event: np.ndarray, miss: np.ndarray) -> None:
+        self.sure = tuple(s & 3 for s in self.slots)
+        return self.lane + ((self.sure[0] << 4) + (self.sure[1] << 2))
+
+    def learn(self, ids: np.ndarray, event_at: np.ndarray, bytes_at: np.ndarray) -> None:
+        """The ids that came, and the places of their event and of their bytes."""
         fresh = (ids << 2).astype(np.int32)
         for table, at, slot, guess, sure in zip(
-            self.tables, self.at, self.slots, self.guesses, self.confidence, strict=True
+            self.tables, self.at, self.slots, self.guesses, self.sure, strict=True
         ):
-            wrong = np.where(sure > 0, slot - 1, fresh)
-            table[at] = np.where(guess == ids, slot + (sure < 3), wrong)
-        for counts, by in zip(self.mixed, self.by, strict=True):
-            flat, at = counts.reshape(-1), event * (4 * self.n) + by
-            flat[at] = flat.take(at) + 1
-        flat, at = self.whole.reshape(-1), event * self.n + self.row
-        flat[at] = flat.take(at) + 1
-        times = miss.astype(np.int32)
-        self.high.seen(ids >> 8, times)
-        self.low.seen(ids & 255, times)
+            table[at] = np.where(guess == ids, slot + (sure < 3), fresh)
+        self.seen_events[self.kept] = event_at
+        self.seen_bytes[self.kept] = bytes_at
         self.before, self.last = self.last, ids
         self.steps += 1
-        if self.steps % _RENEW == 0:
-            self.high.renew()
-            self.low.renew()
+        self.kept += 1
+        if self.steps in _EARLY or self.steps % _RENEW == 0:
+            times = np.bincount(self.seen_events[: self.kept].reshape(-1), minlength=self.flat.size)
+            self.events += times.reshape(self.n, 4, 4, 4)[..., :3]
+            self.mix()
+            self.bytes.renew(self.seen_bytes[: self.kept])
+            self.kept = 0
 
 
 class _Range:
@@ -136,51 +135,52 @@ class _Range:
         self.low = np.zeros(n, dtype=np.uint64)
         self.width = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
 
-    def narrow(self, unit: np.ndarray, start: np.ndarray, size: np.ndarray) -> None:
+    def narrow(self, unit: np.ndarray, flat: np.ndarray, at: np.ndarray) -> None:
+        """To the span between a bound and the next one."""
+        start = flat.take(at)
+        size = flat.take(at + 1) - start
         self.low += unit * start.astype(np.uint64)
-        np.multiply(unit, size.astype(np.uint64), out=self.width)
+        self.width = unit * size.astype(np.uint64)
 
     def settled(self):
-        """Shifts out words that are certain, or cuts an interval that has become narrow.
+        """Shifts out words until every interval has the least width.
 
-        Gives the blocks that shift and their low ends before it, until none is left.
+        An interval that lies across two words is cut at the border between
+        them. Gives the blocks that shift and their low ends before it.
         """
-        low, width, at = self.low, self.width, None
-        while True:
-            same = ((low ^ (low + width)) >> _TOP) == 0
-            now = np.flatnonzero(same | (width <= _BOTTOM))
-            if not len(now):
-                return
-            at = now if at is None else at[now]
-            low = low[now]
-            width = np.where(same[now], width[now], (~low + np.uint64(1)) & _BOTTOM) << _WORD
+        at = np.flatnonzero(self.width < _LEAST)
+        low, width = self.low[at], self.width[at]
+        while len(at):
+            across = (low ^ (low + width)) >= _LEAST
             yield at, low
+            width = np.where(across, (~low + np.uint64(1)) & (_LEAST - np.uint64(1)), width) << _WORD
             low = low << _WORD
             self.low[at], self.width[at] = low, width
-
-
-def _chosen(event: np.ndarray, ends: tuple) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of each block's event."""
-    start = np.where(event == 0, 0, np.where(event == 1, ends[0], ends[1]))
-    return start, np.where(event == 0, ends[0], np.where(event == 1, ends[1], ends[2])) - start
+            more = np.flatnonzero(width < _LEAST)
+            at, low, width = at[more], low[more], width[more]
 
 
 def encode(ids: np.ndarray) -> list[bytes]:
     """Codes of the rows of ``ids`` (blocks by places), each id below ``LIMIT``."""
     n, length = ids.shape
     model, span = _Model(n), _Range(n)
+    order0 = model.bytes
     step = 5 * length + 8
     out = np.zeros(n * step, dtype=np.uint16)
     used = np.arange(n) * step
+    symbols = np.empty((2, n), dtype=np.int64)
     for now in np.ascontiguousarray(ids.T.astype(np.int64)):
-        ends = model.predict()
-        event = np.where(now == model.guesses[0], 0, np.where(now == model.guesses[1], 1, 2))
-        miss = event == 2
-        span.narrow(span.width // ends[2].astype(np.uint64), *_chosen(event, ends))
-        for part, symbol in ((model.high, now >> 8), (model.low, now & 255)):
-            start, size = part.span(symbol)
-            span.narrow(span.width >> np.uint64(_BITS), np.where(miss, start, 0), np.where(miss, size, 1 << _BITS))
-        model.learn(now, event, miss)
+        event_at = model.predict()
+        other = now != model.guesses[0]
+        miss = other & (now != model.guesses[1])
+        event_at = event_at + (other.view(np.int8) + miss.view(np.int8))
+        span.narrow(span.width >> _SHIFT, model.flat, event_at)
+        np.right_shift(now, 8, out=symbols[0])
+        np.bitwise_and(now, 255, out=symbols[1])
+        bytes_at = order0.base + np.where(miss, symbols, _NONE)
+        for at in bytes_at:
+            span.narrow(span.width >> _SHIFT, order0.flat, at)
+        model.learn(now, event_at, bytes_at)
         for at, low in span.settled():
             place = used[at]
             out[place] = (low >> _TOP).astype(np.uint16)
@@ -195,35 +195,38 @@ def decode(codes: list[bytes], length: int) -> np.ndarray:
     """The ids of :func:`encode`."""
     n = len(codes)
     model, span = _Model(n), _Range(n)
+    order0 = model.bytes
     sizes = [len(c) // 2 for c in codes]
     step = max(sizes, default=0) + 4
-    words = np.zeros((n, step), dtype=np.uint64)
+    words = np.zeros((n, step), dtype=np.uint16)
     for i, c in enumerate(codes):
         words[i, : sizes[i]] = np.frombuffer(c, dtype="<u2")
-    code = (words[:, 0] << np.uint64(48)) | (words[:, 1] << np.uint64(32)) | (words[:, 2] << _WORD) | words[:, 3]
+    code = np.zeros(n, dtype=np.uint64)
+    for place in range(4):
+        code = (code << _WORD) | words[:, place]
     flat = words.reshape(-1)
     used = np.arange(n) * step + 4
     out = np.zeros((length, n), dtype=np.int64)
     for place in range(length):
-        ends = model.predict()
-        unit = span.width // ends[2].astype(np.uint64)
-        value = np.minimum(((code - span.low) // unit).astype(np.int64), ends[2] - 1)
-        event = (value >= ends[0]).astype(np.int64) + (value >= ends[1])
-        miss = event == 2
-        span.narrow(unit, *_chosen(event, ends))
-        symbols = []
-        for part in (model.high, model.low):
-            unit = span.width >> np.uint64(_BITS)
-            value = np.minimum(((code - span.low) // unit).astype(np.int64), part.end - 1)
-            symbol = part.find(value)
-            start, size = part.span(symbol)
-            span.narrow(unit, np.where(miss, start, 0), np.where(miss, size, 1 << _BITS))
-            symbols.append(symbol)
-        now = np.where(miss, (symbols[0] << 8) | symbols[1], np.where(event == 0, *model.guesses))
+        event_at = model.predict()
+        unit = span.width >> _SHIFT
+        rest = code - span.low
+        other = rest >= unit * model.flat.take(event_at + 1).astype(np.uint64)
+        miss = rest >= unit * model.flat.take(event_at + 2).astype(np.uint64)
+        event_at = event_at + (other.view(np.int8) + miss.view(np.int8))
+        span.narrow(unit, model.flat, event_at)
+        bytes_at = []
+        for part in (0, 1):
+            unit = span.width >> _SHIFT
+            at = order0.find(part, (code - span.low) // unit)
+            bytes_at.append(np.where(miss, at, order0.base[part] + _NONE))
+            span.narrow(unit, order0.flat, bytes_at[part])
+        high, low = (at - base for at, base in zip(bytes_at, order0.base, strict=True))
+        now = np.where(miss, (high << 8) | low, np.where(other, model.guesses[1], model.guesses[0]))
         out[place] = now
-        model.learn(now, event, miss)
+        model.learn(now, event_at, bytes_at)
         for at, _ in span.settled():
             where = used[at]
-            code[at] = (code[at] << _WORD) | flat[where]
+            code[at] = (code[at] << _WORD) | flat.take(where)
             used[at] = where + 1
     return out.T

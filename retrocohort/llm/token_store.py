@@ -29,14 +29,16 @@ from pyspark.sql import functions as F
 from retrocohort.llm.token_coder import LIMIT, decode, encode
 from retrocohort.staging import stage
 
-MAGIC, VERSION = b"TIDS", 1
+MAGIC, VERSION = b"TIDS", 2
 HEADER = "<4sIIQII"
 
 # Ids in a block, and in a record unless one document has more.
 BLOCK = 2048
-RECORD = 1024 * BLOCK
-# Words whose ids a task remembers at most; beyond, it starts anew.
-REMEMBERED = 200_000
+RECORD = 2048 * BLOCK
+# Words whose ids a task remembers; beyond, it starts anew.
+REMEMBERED = 400_000
+# New words that the tokenizer gets as one text.
+JOINED = 256
 # Documents whose new words are looked up together.
 TOGETHER = 256
 
@@ -44,6 +46,18 @@ RECORDS = "part int, record int, payload binary"
 STORED = "part int, record int, place long, doc_id long, n_tokens long, ids_crc32 long"
 
 
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for; new ones are listed."""
+
+    def __init__(self):
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        self[word] = number = len(self)
+        return number
+
+
 class _Encoder:
     """Ids of texts, word by word: the tokenizer never looks across white space."""
 
@@ -52,34 +66,50 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = self.tokenizer.get_added_tokens_decoder()
+        # A special token between words parts their ids; it is cut out before anything else is done.
+        exact = (i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word))
+        self.border = next(exact, None)
+        self.special = [t.content.encode() for t in added.values()]
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = _Numbers()
         self.ids = np.zeros(0, dtype=np.int64)
         self.begin = np.zeros(1, dtype=np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
+    def _one_by_one(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         lists = [e.ids for e in found]
-        for w in words:
-            self.number[w] = len(self.number)
-        self.ids = np.concatenate([self.ids, np.array([i for x in lists for i in x], dtype=np.int64)])
-        ends = np.cumsum([len(x) for x in lists]) + self.begin[-1]
-        self.begin = np.concatenate([self.begin, ends])
+        return [i for x in lists for i in x], [len(x) for x in lists]
+
+    def _joined(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        border = self.tokenizer.id_to_token(self.border)
+        texts = [border.join(w.decode() for w in words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.concatenate([np.array([*e.ids, self.border], dtype=np.int64) for e in found])
+        cuts = np.flatnonzero(ids == self.border)
+        return np.delete(ids, cuts), np.diff(cuts, prepend=-1) - 1
+
+    def learn(self, words: list[bytes]) -> None:
+        """The ids of words with the next numbers."""
+        text = b"\n".join(words)
+        plain = self.border is not None and not any(t in text for t in self.special)
+        ids, sizes = self._joined(words) if plain else self._one_by_one(words)
+        self.ids = np.concatenate([self.ids, np.asarray(ids, dtype=np.int64)])
+        self.begin = np.concatenate([self.begin, np.cumsum(sizes) + self.begin[-1]])
 
     def __call__(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        split = [text.encode().split() for text in texts]
-        new = {w for words in split for w in words if w not in self.number}
-        if new and len(self.number) > REMEMBERED:
+        if len(self.number) > REMEMBERED:
             self.forget()
-            new = {w for words in split for w in words}
-        if new:
-            self.learn(sorted(new))
-        return [self._ids(words, end_id) for words in split]
+        split = [text.encode().split() for text in texts]
+        which = [np.fromiter(map(self.number.__getitem__, w), dtype=np.int64, count=len(w)) for w in split]
+        if self.number.new:
+            self.learn(self.number.new)
+            self.number.new = []
+        return [self._ids(w, end_id) for w in which]
 
-    def _ids(self, words: list[bytes], end_id: int) -> np.ndarray:
-        which = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+    def _ids(self, which: np.ndarray, end_id: int) -> np.ndarray:
         first = self.begin[which]
         sizes = self.begin[which + 1] - first
         ends = np.cumsum(sizes)

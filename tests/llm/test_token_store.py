@@ -81,6 +81,7 @@ def test_coder_round_trip():
         np.tile(np.arange(40), (3, 20)),
         draw.geometric(0.01, (40, 400)) % 65_536,
         draw.integers(0, 3, (7, 1)),
+        np.where(draw.random((7, 3000)) < 0.01, draw.integers(0, 65_536, (7, 3000)), 7),
     ):
         codes = encode(ids)
         assert (decode(codes, ids.shape[1]) == ids).all()
