@@ -9,6 +9,10 @@
 3. Inside a block, signatures pick the pairs that can reach the threshold and
    the full sets decide. A block returns a spanning forest of its links, never
    the pairs themselves, so output grows with documents, not with their squares.
+   Every block of a group that takes several also holds the centre. Members that
+   are linked with it need no further comparison with each other, so a large
+   group of copies costs one look at each; only the members without such a link
+   are compared with the group's other blocks.
 4. Alternating large-star and small-star steps join the links to components.
 """
 
@@ -36,7 +40,9 @@ class NearDuplicates:
     A pair is linked if ``percent`` * union <= 100 * intersection. The number of
     bands is the smallest with which a pair at the threshold is missed with
     probability ``miss`` at most. A pair is looked at closely if its signature
-    agreement is within ``margins`` standard deviations of the threshold.
+    agreement is within ``margins`` standard deviations of the threshold. A
+    block holds ``block_bytes`` of text, each member counted with
+    ``member_bytes`` more, which also bounds the members.
     """
 
     shingle: int = 5
@@ -45,6 +51,7 @@ class NearDuplicates:
     miss: float = 1e-6
     margins: float = 5.0
     block_bytes: int = 4 << 20
+    member_bytes: int = 2048
     seed: int = 20
 
     @property
@@ -170,17 +177,24 @@ def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return other, label[other]
 
 
-def links_within(ids: np.ndarray, sets: list[np.ndarray], minima: np.ndarray, rule: NearDuplicates):
-    """A spanning forest (v, u) of the links among some documents."""
-    m = len(ids)
-    close = np.empty((m, m), dtype=bool)
+def links_within(sets: list[np.ndarray], minima: np.ndarray, rule: NearDuplicates, asked: np.ndarray | None = None):
+    """A spanning forest (v, u) of the links among some documents, u the first of each tree.
+
+    With ``asked``, only of the links that one of those has.
+    """
+    m = len(sets)
+    rows = np.arange(m) if asked is None else np.flatnonzero(asked)
+    close = np.zeros((m, m), dtype=bool)
     step = max(1, (8 << 20) // (m * rule.hashes))
-    for a in range(0, m, step):
-        close[a : a + step] = (minima[a : a + step, None, :] == minima[None, :, :]).sum(axis=2) >= rule.agreement
+    for a in range(0, len(rows), step):
+        part = rows[a : a + step]
+        close[part] = (minima[part, None, :] == minima[None, :, :]).sum(axis=2) >= rule.agreement
+    if asked is not None:
+        close |= close.T
     np.fill_diagonal(close, False)
     some = np.flatnonzero(close.any(axis=1))
     if not len(some):
-        return ids[:0], ids[:0]
+        return some, some
     close = close[np.ix_(some, some)]
     size = np.array([len(sets[i]) for i in some], dtype=np.int64)
     if len(some) <= 4:
@@ -193,34 +207,49 @@ def links_within(ids: np.ndarray, sets: list[np.ndarray], minima: np.ndarray, ru
         shared = _intersections([sets[i] for i in some])
     union = size[:, None] + size[None, :] - shared
     v, u = _forest(close & (100 * shared >= rule.percent * union))
-    return ids[some[v]], ids[some[u]]
+    return some[v], some[u]
 
 
-def _verifier(rule: NearDuplicates):
+def _verifier(rule: NearDuplicates, rest: bool):
+    """Compares blocks; gives links (u, v).
+
+    In the first round, the marked rows that have no link with their centre
+    follow as (u, NULL). In the ``rest``, only marked rows are compared.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(lower=True)
-        key, ids, sets, minima = None, [], [], []
+        key, ids, sets, minima, marks = None, [], [], [], []
 
-        def close_group():
+        def close_block() -> Iterator[pa.RecordBatch]:
             if len(ids) < 2:
-                return None
-            v, u = links_within(np.array(ids), sets, np.stack(minima), rule)
-            return pa.RecordBatch.from_arrays([pa.array(v), pa.array(u)], names=["u", "v"]) if len(v) else None
+                return
+            names, marked = np.array(ids), np.array(marks)
+            v, u = links_within(sets, np.stack(minima), rule, marked if rest else None)
+            left, right = names[v], pa.array(names[u])
+            if not rest:
+                root = np.arange(len(ids))
+                root[v] = u
+                alone = names[marked & ~np.isin(root, root[names == key[0]])]
+                left = np.concatenate([left, alone])
+                right = pa.concat_arrays([right, pa.nulls(len(alone), pa.int64())])
+            if len(left):
+                center = pa.array(np.full(len(left), key[0]))
+                yield pa.RecordBatch.from_arrays([center, pa.array(left), right], names=["center", "u", "v"])
 
         for batch in batches:
             keys = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
-            members, found = batch.column(3).to_pylist(), batch.column(5).to_pylist()
-            for first, _, data, offsets in chunks(batch.column(4)):
+            members, found, marked = (batch.column(n).to_pylist() for n in ("member", "signature", "marked"))
+            for first, _, data, offsets in chunks(batch.column("text")):
                 for row, values in enumerate(shingle_sets(*words.hashes(data, offsets), rule.shingle), first):
                     if keys[row] != key:
-                        if (done := close_group()) is not None:
-                            yield done
-                        key, ids, sets, minima = keys[row], [], [], []
+                        yield from close_block()
+                        key, ids, sets, minima, marks = keys[row], [], [], [], []
                     ids.append(members[row])
                     sets.append(values)
                     minima.append(np.frombuffer(found[row], dtype=np.uint16))
-        if (done := close_group()) is not None:
-            yield done
+                    marks.append(marked[row])
+        yield from close_block()
 
     return run
 
@@ -238,31 +267,69 @@ def groups(signed: DataFrame) -> DataFrame:
     return rows.join(buckets, "bucket").select("center", F.col("doc_id").alias("member")).distinct()
 
 
+def _compared(placed: DataFrame, docs: DataFrame, rule: NearDuplicates, rest: bool) -> DataFrame:
+    """(center, u, v) from the blocks (center, i, j) of ``placed``."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("member"), F.col("text").cast("string"))
+    return (
+        placed.join(texts, "member")
+        .select("center", "i", "j", "member", "text", "signature", "marked")
+        .repartition("center", "i", "j")
+        .sortWithinPartitions("center", "i", "j")
+        .mapInArrow(_verifier(rule, rest), "center long, u long, v long")
+    )
+
+
 def near_links(docs: DataFrame, signed: DataFrame, rule: NearDuplicates) -> DataFrame:
-    """(u, v): links whose components are those of all near-duplicate pairs of ``signed``."""
+    """(u, v): links whose components are those of all near-duplicate pairs of ``signed``.
+
+    Each member is in one block with its centre. A pair in different blocks of
+    a group is joined by the centre if both are linked with it; if one is not,
+    that one meets every block of its group in the second round.
+    """
     pairs = stage(
         groups(signed).join(signed.select(F.col("doc_id").alias("member"), "n_bytes", "signature"), "member"), "groups"
     )
-    sizes = stage(
-        pairs.groupBy("center")
-        .agg(F.ceil((F.sum("n_bytes") + 256 * F.count(F.lit(1))) / F.lit(rule.block_bytes)).cast("int").alias("parts"))
-        .where("parts > 1"),
-        "group_sizes",
-    )
-    dealt = pairs.join(sizes, "center", "left").withColumns(
-        {"parts": F.coalesce("parts", F.lit(1)), "own": F.pmod(F.xxhash64("member"), F.coalesce("parts", F.lit(1)))}
+
+    def blocks(name: str):
+        weight = F.sum("n_bytes") + rule.member_bytes * F.count(F.lit(1))
+        return F.ceil(weight / F.lit(rule.block_bytes)).cast("int").alias(name)
+
+    sizes = stage(pairs.groupBy("center").agg(blocks("parts")).where("parts > 1"), "group_sizes")
+    part = F.pmod(F.xxhash64("member"), F.col("parts")).cast("int")
+    every_part = F.sequence(F.lit(0), F.col("parts") - 1)
+    dealt = pairs.join(sizes, "center", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    first = dealt.select(
+        "center",
+        F.explode(F.when(F.col("member") == F.col("center"), every_part).otherwise(F.array(part))).alias("i"),
+        F.lit(0).alias("j"),
+        "member",
+        "signature",
+        (F.col("parts") > 1).alias("marked"),
     )
-    placed = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "member", "signature"
+    found = stage(_compared(first, docs, rule, rest=False), "compared")
+    links = found.where("v is not null").select("u", "v")
+    alone = found.where("v is null").select("center", F.col("u").alias("member")).distinct()
+    asking = stage(pairs.join(alone, ["center", "member"]).join(sizes, "center"), "unlinked")
+    if asking.isEmpty():
+        return links
+    slots = stage(asking.groupBy("center").agg(blocks("slots")), "unlinked_sizes")
+    slot = F.pmod(F.xxhash64("member", F.lit(1)), F.col("slots")).cast("int")
+    columns = ["center", "i", "j", "member", "signature", "marked"]
+    asked = asking.join(slots, "center").select(
+        "*", F.explode(every_part).alias("i"), slot.alias("j"), F.lit(True).alias("marked")
     )
-    texts = docs.select(F.col("doc_id").cast("long").alias("member"), F.col("text").cast("string"))
-    return (
-        placed.join(texts, "member")
-        .select("center", "i", "j", "member", "text", "signature")
-        .repartition("center", "i", "j")
-        .sortWithinPartitions("center", "i", "j")
-        .mapInArrow(_verifier(rule), "u long, v long")
+    answering = (
+        pairs.join(sizes, "center")
+        .join(slots, "center")
+        .select(
+            "*",
+            part.alias("i"),
+            F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("j"),
+            F.lit(False).alias("marked"),
+        )
     )
+    rest = _compared(asked.select(columns).unionByName(answering.select(columns)), docs, rule, rest=True)
+    return links.unionByName(rest.select("u", "v"))
 
 
 def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:

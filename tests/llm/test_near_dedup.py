@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from retrocohort.llm.components import components
-from retrocohort.llm.near_dedup import NearDuplicates, drop_near_duplicates, near_duplicates
+from retrocohort.llm.near_dedup import NearDuplicates, drop_near_duplicates, links_within, near_duplicates
 from retrocohort.llm.texts import table
 
 
@@ -71,6 +71,30 @@ def test_blocks_of_a_large_group_give_the_same(spark):
     assert found(near_duplicates(docs, small)) == brute_force(rows, 3, 85)
 
 
+def test_members_far_from_their_centre_are_found_in_other_blocks(spark):
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(200)]
+    # a walk: near its neighbours, soon far from its smallest document
+    rows = []
+    for i in range(120):
+        base = mutated(base, 2, rnd).split()
+        rows.append((i, " ".join(base)))
+    rows += [(1000 + i, mutated(rows[0][1].split(), 1, rnd)) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    small = NearDuplicates(3, 85, block_bytes=8_000, member_bytes=64)
+    assert found(near_duplicates(docs, small)) == brute_force(rows, 3, 85)
+
+
+def test_a_block_links_only_what_is_asked():
+    rule = NearDuplicates(3, 85)
+    sets = [np.arange(100), np.arange(1, 101), np.arange(500, 600), np.arange(501, 601)]
+    minima = np.stack([np.zeros(rule.hashes), np.zeros(rule.hashes), np.ones(rule.hashes), np.ones(rule.hashes)])
+    assert [x.tolist() for x in links_within(sets, minima, rule)] == [[1, 3], [0, 2]]
+    asked = np.array([False, False, False, True])
+    assert [x.tolist() for x in links_within(sets, minima, rule, asked)] == [[3], [2]]
+    assert [len(x) for x in links_within(sets, minima, rule, np.zeros(4, dtype=bool))] == [0, 0]
+
+
 def test_equals_brute_force_on_the_table(spark):
     docs = table(spark, "/root/testdata/sf0.001", "documents")
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
