@@ -41,8 +41,8 @@ def _stars(both: DataFrame, larger_only: bool) -> DataFrame:
     return linked.where("u <> v").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) for every node with a link; the component is its smallest node.
+def stars(links: DataFrame) -> DataFrame:
+    """(node, component), one row for every node that is not the smallest of its component.
 
     ``links`` has long columns u and v; order, repeats and loops do not matter,
     rows with a NULL end are left out. Every step is written to the checkpoint
@@ -59,6 +59,11 @@ def components(links: DataFrame) -> DataFrame:
         if after == mark:
             break
         mark = after
-    every = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node with a link; the component is its smallest node. Links as in :func:`stars`."""
+    every = stars(links)
+    roots = every.select(F.col("component").alias("node"), "component").distinct()
     return every.unionByName(roots)

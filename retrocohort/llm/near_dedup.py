@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrocohort.llm.components import components
+from retrocohort.llm.components import stars
 from retrocohort.llm.texts import Words, chunks, mixed, shingle_sets
 from retrocohort.staging import stage
 
@@ -361,7 +361,7 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
     copied = copies.select(F.col("u").alias("doc_id"), "key_1", "key_2")
     single = keyed.join(copied, ["doc_id", "key_1", "key_2"], "left_anti").select(*signed.columns)
     near = stage(near_links(docs, stage(single, "single"), rule), "near")
-    joined = components(near.unionByName(copies.select("u", "v")))
+    joined = stars(near.unionByName(copies.select("u", "v")))
     out = signed.select("doc_id", "n_shingles").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
