@@ -1,11 +1,15 @@
-"""Lines that repeat across documents, removed by pairwise alignment.
-
-The first document that holds a line is found by an aggregate. Every other
-document with the line is aligned with that one, once however many lines they
-share, so the number of alignments grows with the lines and not with the square
-of a line's frequency; no line is too frequent. Lines of few words say little
-and start no alignment. Two documents are aligned by patience diff over line
-hashes; aligned blocks of enough words leave the later document.
+"""Lines that repeat across documents.
+
+:func:`drop_repeated_blocks` removes every run of lines, of enough words
+together, that any earlier document holds as a run: in any order, however often
+either document holds it, whatever the length of its lines. Every such run is
+covered by its shortest parts of enough words, two a line at most, so an
+aggregate by the parts' hashes finds all of them. The work grows with the lines
+and not with the square of a line's frequency; no line is too frequent.
+
+:func:`drop_repeated_lines` aligns a document with the first holder of each of
+its longer lines only, by patience diff, and removes aligned blocks. Whatever it
+removes, the other removes too.
 """
 
 from __future__ import annotations
@@ -15,11 +19,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrocohort.llm.texts import WORD
+from retrocohort.llm.texts import WORD, mixed, polynomial
 from retrocohort.staging import stage
 
 
@@ -48,11 +53,29 @@ def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out[::-1]
 
 
+def _by_occurrence(a: list[int], b: list[int], stretch: tuple[int, int, int, int]) -> list[tuple[int, int]]:
+    """Places of the n-th occurrence of each value on either side."""
+    a0, a1, b0, b1 = stretch
+    seen: Counter = Counter()
+    place: dict[tuple[int, int], int] = {}
+    for j in range(b0, b1):
+        place[b[j], seen[b[j]]] = j
+        seen[b[j]] += 1
+    seen.clear()
+    out = []
+    for i in range(a0, a1):
+        if (a[i], seen[a[i]]) in place:
+            out.append((i, place[a[i], seen[a[i]]]))
+        seen[a[i]] += 1
+    return out
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Matching places of two sequences, ascending in both.
 
     Between two places: equal ends are matched, then the longest ascending run
-    of values that occur once on either side, and so on between those.
+    of values that occur once on either side, and so on between those. Without
+    such a value, equal values are paired by their occurrence number.
     """
     out: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
@@ -69,6 +92,8 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[a0:a1]), Counter(b[b0:b1])
         place = {x: j for j, x in enumerate(b[b0:b1], b0) if in_b[x] == 1}
         anchors = _increasing([(i, place[x]) for i, x in enumerate(a[a0:a1], a0) if in_a[x] == 1 and x in place])
+        if not anchors:
+            anchors = _increasing(_by_occurrence(a, b, (a0, a1, b0, b1)))
         if anchors:
             # an anchor begins its stretch, where it is matched as an equal end
             edges = [(a0, b0), *anchors, (a1, b1)]
@@ -175,3 +200,110 @@ def drop_repeated_lines(docs: DataFrame, rule: LineRule = LineRule()) -> DataFra
         F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
         F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_removed"),
     )
+
+
+def block_windows(
+    hashes: np.ndarray, n_words: np.ndarray, offsets: np.ndarray, block_words: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, first and last place of the shortest runs of enough words from and up to every line.
+
+    ``offsets`` say where each document's lines begin (one more than documents);
+    places count from the first line of all. A run of enough words is the union
+    of those within it.
+    """
+    n = len(hashes)
+    at = np.arange(n)
+    sums = np.zeros(n + 1, dtype=np.int64)
+    np.cumsum(n_words, out=sums[1:])
+    size = np.diff(offsets)
+    begins, ends = np.repeat(offsets[:-1], size), np.repeat(offsets[1:], size)
+    last = np.maximum(np.searchsorted(sums, sums[:-1] + block_words, side="left") - 1, at)
+    first = np.minimum(np.searchsorted(sums, sums[1:] - block_words, side="right") - 1, at)
+    whole = last < ends
+    # the same run is listed once
+    other = first >= begins
+    other[other] = last[first[other]] != at[other]
+    a, b = np.concatenate([at[whole], first[other]]), np.concatenate([last[whole], at[other]])
+    return polynomial(mixed(hashes), a, b + 1), a, b
+
+
+def _windows(rule: LineRule):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(n) for n in ("hashes", "n_words")]
+            hashes, n_words = (x.flatten().to_numpy(zero_copy_only=False) for x in lists)
+            offsets = np.zeros(len(batch) + 1, dtype=np.int64)
+            np.cumsum(lists[0].value_lengths().to_numpy(zero_copy_only=False), out=offsets[1:])
+            found, a, b = block_windows(hashes.view(np.uint64), n_words, offsets, rule.block_words)
+            row = np.searchsorted(offsets, a, side="right") - 1
+            columns = [batch.column(n).take(pa.array(row)) for n in ("doc_id", "version")]
+            columns += [pa.array(found.view(np.int64))]
+            columns += [pa.array((x - offsets[row]).astype(np.int32)) for x in (a, b)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "run", "begin", "end"])
+
+    return run
+
+
+def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        gone = []
+        for pairs in batch.column("runs"):
+            begin, end = (pairs.values.field(k).to_numpy() for k in (0, 1))
+            step = np.zeros(int(end.max()) + 2, dtype=np.int64)
+            np.add.at(step, begin, 1)
+            np.add.at(step, end + 1, -1)
+            gone.append(np.cumsum(step[:-1]) > 0)
+        columns = [batch.column("doc_id"), batch.column("version"), pa.array(gone, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "gone"])
+
+
+def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
+    """doc_id, version, gone: for each line up to the last to remove, whether it goes.
+
+    A document is what it is to :func:`repeated_lines`.
+    """
+    text = F.col("text").cast("string")
+    windows = stage(
+        docs.where("doc_id is not null and text is not null")
+        .select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("version"), F.split(text, "\n", -1).alias("lines"))
+        .select(
+            "doc_id",
+            "version",
+            F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
+            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("n_words"),
+        )
+        .mapInArrow(_windows(rule), "doc_id long, version long, run long, begin int, end int"),
+        "line_runs",
+    )
+    holder = F.struct("doc_id", "version")
+    first = stage(
+        windows.groupBy("run").agg(F.min(holder).alias("first"), F.max(holder).alias("last")).where("first <> last"),
+        "first_holders",
+    )
+    repeated = windows.join(first, "run").where(holder != F.col("first"))
+    return (
+        repeated.groupBy("doc_id", "version")
+        .agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+        .mapInArrow(_covered, "doc_id long, version long, gone array<boolean>")
+    )
+
+
+def drop_repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
+    """doc_id, text, n_lines, n_removed for every row: the text without blocks that earlier documents hold.
+
+    A block is a run of lines of ``block_words`` words together; ``line_words``
+    is not read. What is earlier and how rows without doc_id or text come back
+    is as in :func:`drop_repeated_lines`. The first holder of a line keeps it.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    found = stage(repeated_blocks(rows, rule), "repeated_blocks")
+    joined = rows.withColumn("version", F.xxhash64("text")).join(found, ["doc_id", "version"], "left")
+    lines = F.split("text", "\n", -1)
+    kept = F.filter(lines, lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
+    removed = F.size(F.filter("gone", lambda x: x))
+    return joined.select(
+        "doc_id",
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
+        F.when(F.col("gone").isNull(), 0).otherwise(removed).cast("long").alias("n_removed"),
+    )

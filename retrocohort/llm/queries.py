@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from retrocohort.llm.chat import Template, format_chats, read_chats
 from retrocohort.llm.decontaminate import find_leaks
 from retrocohort.llm.html_text import extract_pages
-from retrocohort.llm.line_dedup import drop_repeated_lines
+from retrocohort.llm.line_dedup import drop_repeated_blocks
 from retrocohort.llm.mixing import mixture
 from retrocohort.llm.near_dedup import NearDuplicates, near_duplicates
 from retrocohort.llm.pii import replace_personal_data
@@ -81,7 +81,7 @@ def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return drop_repeated_blocks(table(spark, sf_dir, "documents"))
 
 
 def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

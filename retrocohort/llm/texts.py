@@ -62,6 +62,15 @@ def _byte_values(lower: bool) -> np.ndarray:
     return mixed((code + np.uint64(1)) * np.uint64(_BASE))
 
 
+def polynomial(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the values from each ``begin`` up to before ``end``, by prefix sums modulo 2**64; the number takes part."""
+    n = len(values)
+    prefix = np.zeros(n + 1, dtype=np.uint64)
+    np.cumsum(values * _powers(_STEP, n), out=prefix[1:])
+    found = (prefix[end] - prefix[begin]) * _powers(pow(_STEP, -1, 1 << 64), n)[begin]
+    return mixed(found + (end - begin).astype(np.uint64))
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1

@@ -6,7 +6,7 @@ from collections import defaultdict
 from hypothesis import given
 from hypothesis import strategies as st
 
-from retrocohort.llm.line_dedup import drop_repeated_lines, patience, repeated_places
+from retrocohort.llm.line_dedup import drop_repeated_blocks, drop_repeated_lines, patience, repeated_places
 from retrocohort.llm.texts import table
 
 
@@ -67,3 +67,62 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert {(r.text, r.n_lines, r.n_removed) for r in got if r.doc_id == 1} == {("", 1, 0)}
     assert all(r.n_removed == 0 for r in got)
     assert drop_repeated_lines(no_docs).isEmpty()
+
+
+def all_holders(docs, words=lambda x: len(x.split())):
+    """{doc_id: (text, lines, removed)}: compares each document with every earlier one, run by run."""
+    lines = {d: t.split("\n") for d, t in docs}
+    out = set()
+    for d, own in lines.items():
+        gone = set()
+        for e in sorted(x for x in lines if x < d):
+            for i in range(len(own)):
+                for j in range(len(lines[e])):
+                    n = 0
+                    while i + n < len(own) and j + n < len(lines[e]) and own[i + n] == lines[e][j + n]:
+                        n += 1
+                    if sum(map(words, own[i : i + n])) >= 5:
+                        gone |= set(range(i, i + n))
+        out.add((d, "\n".join(x for i, x in enumerate(own) if i not in gone), len(own), len(gone)))
+    return out
+
+
+def test_blocks_equal_all_earlier_holders(spark):
+    rnd = random.Random(9)
+    pool = [" ".join(f"w{rnd.randrange(50)}" for _ in range(rnd.randrange(0, 9))) for _ in range(40)]
+    docs = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 12)))) for i in range(60)]
+    docs += [(100 + i, docs[0][1]) for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = found(drop_repeated_blocks(df))
+    assert got == all_holders(docs)
+    removed = {r[0]: r[3] for r in got}
+    assert all(r.n_removed <= removed[r.doc_id] for r in drop_repeated_lines(df).collect())
+
+
+L1, L2 = "a line of five words", "another line of six words here"
+
+
+def test_blocks_held_twice_or_in_another_order(spark):
+    docs = [
+        (1, f"x\n{L1}\ny\n{L1}\nz"),
+        (2, f"p\n{L1}\nq"),
+        (3, f"{L2}\n{L1}"),
+        (4, f"{L1}\n{L2}"),
+        (5, f"u\n{L2}\nv\n{L2}"),
+    ]
+    got = {r.doc_id: r.text for r in drop_repeated_blocks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "p\nq", 3: L2, 4: "", 5: "u\nv"}
+
+
+def test_alignment_without_a_unique_line():
+    assert repeated_places([1, 2, 3, 2, 4], [5, 2, 6], [1, 9, 1], 5) == [1]
+    assert repeated_places([5, 2, 6], [1, 2, 3, 2, 4], [1, 9, 1, 9, 1], 5) == [1]
+
+
+def test_blocks_of_odd_rows(spark, odd_docs, no_docs):
+    got = drop_repeated_blocks(odd_docs).collect()
+    assert len(got) == odd_docs.count()
+    assert {(r.text, r.n_lines, r.n_removed) for r in got if r.doc_id == 0} == {(None, 0, 0)}
+    assert {(r.text, r.n_lines, r.n_removed) for r in got if r.doc_id == 1} == {("", 1, 0)}
+    assert all(r.n_removed == 0 for r in got)
+    assert drop_repeated_blocks(no_docs).isEmpty()
