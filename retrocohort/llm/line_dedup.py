@@ -21,13 +21,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retrocohort.llm.texts import WORD, mixed, polynomial
 from retrocohort.staging import stage
 
 
+# Scripts written without spaces; each of their characters counts as a word of a block.
+UNSPACED = "".join(rf"\p{{Is{x}}}" for x in "Han Hiragana Katakana Thai Lao Khmer Myanmar Tibetan".split())
+UNIT = rf"[{UNSPACED}]|(?<![^\x20\x09-\x0D])[^{UNSPACED}\x20\x09-\x0D]++(?![^\x20\x09-\x0D])"
+
+
 @dataclass(frozen=True)
 class LineRule:
     """``line_words``: words that a line needs to start an alignment; ``block_words``: that a block needs to go."""
@@ -257,6 +262,12 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "gone"])
 
 
+def _n_units(line: Column) -> Column:
+    """Words of a line; a word with characters of scripts without spaces counts as so many."""
+    spaced = F.regexp_count(line, F.lit(WORD))
+    return F.when(line.rlike(f"[{UNSPACED}]"), F.regexp_count(line, F.lit(UNIT))).otherwise(spaced)
+
+
 def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
     """doc_id, version, gone: for each line up to the last to remove, whether it goes.
 
@@ -270,7 +281,7 @@ def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
             "doc_id",
             "version",
             F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-            F.transform("lines", lambda x: F.regexp_count(x, F.lit(WORD))).alias("n_words"),
+            F.transform("lines", _n_units).alias("n_words"),
         )
         .mapInArrow(_windows(rule), "doc_id long, version long, run long, begin int, end int"),
         "line_runs",
@@ -291,8 +302,9 @@ def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
 def drop_repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
     """doc_id, text, n_lines, n_removed for every row: the text without blocks that earlier documents hold.
 
-    A block is a run of lines of ``block_words`` words together; ``line_words``
-    is not read. What is earlier and how rows without doc_id or text come back
+    A block is a run of lines of ``block_words`` words together, however short
+    the lines; a character of a script without spaces counts as a word.
+    ``line_words`` is not read. What is earlier and how rows without doc_id or text come back
     is as in :func:`drop_repeated_lines`. The first holder of a line keeps it.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))

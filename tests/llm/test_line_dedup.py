@@ -119,6 +119,38 @@ def test_alignment_without_a_unique_line():
     assert repeated_places([5, 2, 6], [1, 2, 3, 2, 4], [1, 9, 1, 9, 1], 5) == [1]
 
 
+def test_blocks_of_short_lines_and_of_text_without_spaces(spark):
+    menu = "soup 4\n\nbread 2\nwine 7"
+    chinese = "这是一个没有空格的很长的句子。"
+    docs = [
+        (1, f"Monday\n{menu}"),
+        (2, f"Tuesday\n{menu}\nclosed"),
+        (3, f"first\n{chinese}"),
+        (4, f"second\n{chinese}"),
+        (5, "soup 4\nwine 7\nยินดีต้อนรับ"),
+        (6, "wine 7\nยินดีต้อนรับ\nかな 漢 A1"),
+        (7, "かな 漢 A1"),
+        (8, "かな 漢"),
+        (9, "かな 漢\nwine 7"),
+    ]
+    got = {r.doc_id: r.text for r in drop_repeated_blocks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == dict(docs) | {2: "Tuesday\nclosed", 4: "second", 6: "かな 漢 A1"}
+
+
+def test_blocks_equal_all_earlier_holders_on_the_table(spark):
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    first = {}
+    for d, t in sorted(rows):
+        for x in t.split("\n"):
+            first.setdefault(x, d)
+    got = {r.doc_id: r for r in drop_repeated_blocks(docs).collect()}
+    for d, t in rows:
+        # every line of five words that an earlier document holds is a block
+        left = [x for x in got[d].text.split("\n") if len(x.split()) >= 5]
+        assert left == [x for x in t.split("\n") if len(x.split()) >= 5 and first[x] == d]
+
+
 def test_blocks_of_odd_rows(spark, odd_docs, no_docs):
     got = drop_repeated_blocks(odd_docs).collect()
     assert len(got) == odd_docs.count()
