@@ -37,6 +37,13 @@ CLUTTER_NAMES = frozenset(
     recommended recommendations replies respond share sharing sidebar signup skip social sponsor sponsored subscribe
     subscription tags toolbar topbar widget""".split()
 )
+#: Of these, the ones that also name parts of articles: whole classes only, and not within an article unless mostly links.
+AMBIGUOUS_NAMES = frozenset(
+    """alert banner copyright consent discussion menu navigation notice notices notification overlay promotion recommended
+    recommendations related replies respond share sharing skip social sponsor sponsored subscription tags""".split()
+)
+COMMENT_NAMES = frozenset({"comment", "comments", "commentlist", "replies", "disqus"})
+COMMENT_PART = re.compile(r"comments?[-_](?:area|block|body|box|container|content|list|section|thread|wrap|wrapper)")
 CLUTTER_ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search status toolbar".split()
 )
@@ -153,7 +160,25 @@ def _names(node: Element) -> set[str]:
     return {*parts.split(), *re.split(r"[^a-z]+", parts)}
 
 
-def _is_clutter(node: Element, half: float, holders: set[int]) -> bool:
+def _is_comment(node: Element) -> bool:
+    """Whether a whole class or the id says comments; comments-open or no-comments do not."""
+    tokens = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
+    if any(t in COMMENT_NAMES or COMMENT_PART.fullmatch(t) for t in tokens):
+        return True
+    return node.tag == "article" and "comment" in _names(node)
+
+
+def _clutter_names(node: Element) -> set[str]:
+    names = _names(node) & CLUTTER_NAMES
+    doubtful = names & AMBIGUOUS_NAMES
+    if doubtful:
+        within = node.within(ARTICLE) is not None and 2 * node.link_chars <= node.chars
+        whole = set() if within else {*node.attrs.get("class", "").lower().split()}
+        names -= doubtful - whole
+    return names
+
+
+def _is_clutter(node: Element, half: float, holders: set[int], article: bool) -> bool:
     if node.tag in NEVER_TEXT:
         return True
     if "hidden" in node.attrs or node.attrs.get("aria-hidden") == "true":
@@ -164,11 +189,11 @@ def _is_clutter(node: Element, half: float, holders: set[int]) -> bool:
         return True
     if node.attrs.get("role", "").lower() in CLUTTER_ROLES:
         return True
-    names = _names(node)
-    if not names & CLUTTER_NAMES and not (names & HEADER_NAMES and node.within(ARTICLE) is None):
+    if _is_comment(node):
+        # whatever its size, if the page has an article elsewhere
+        return node.tag not in ("body", "main") and id(node) not in holders and (article or node.chars <= half)
+    if not _clutter_names(node) and not (_names(node) & HEADER_NAMES and node.within(ARTICLE) is None):
         return False
-    if names & {"comment", "comments", "commentlist", "replies", "disqus"}:
-        return node.tag not in ("body", "main")
     # a name like with-sidebar on the element that holds the article
     return node.tag not in ("body", *ARTICLE) and id(node) not in holders and node.chars <= half
 
@@ -188,8 +213,17 @@ def _cut(body: Element) -> None:
     _measure(body)
     half = body.chars / 2
     holders: set[int] = set()
+    comments: set[int] = set()
+    todo = [body]
+    while todo:
+        node = todo.pop()
+        if node is not body and (id(node.parent) in comments or _is_comment(node)):
+            comments.add(id(node))
+        todo += [c for c in node.children if isinstance(c, Element)]
+    article = False
     for node in body.elements():
-        if node.tag in ("article", "main", "h1"):
+        if node.tag in ("article", "main", "h1") and id(node) not in comments:
+            article = True
             up = node.parent
             while up is not None and id(up) not in holders:
                 holders.add(id(up))
@@ -197,7 +231,7 @@ def _cut(body: Element) -> None:
     todo = [body]
     while todo:
         node = todo.pop()
-        node.children = [c for c in node.children if isinstance(c, str) or not _is_clutter(c, half, holders)]
+        node.children = [c for c in node.children if isinstance(c, str) or not _is_clutter(c, half, holders, article)]
         todo += [c for c in node.children if isinstance(c, Element)]
     _measure(body)
 
@@ -214,27 +248,34 @@ def _densities(body: Element) -> None:
         node.total = sum(c.density for c in node.children if isinstance(c, Element))
 
 
-def select(body: Element) -> Element:
-    """The subtree that holds the article."""
+def select(body: Element) -> tuple[Element, Element]:
+    """The subtree that holds the article, and its core."""
     _cut(body)
     _densities(body)
     core = max(body.elements(), key=lambda n: n.total)
     if core.total <= 0:
-        return body
+        return body, body
     holder = core.within(ARTICLE)
     if holder is not None:
-        return holder
-    while core is not body and core.parent is not None and core.parent.density >= body.density:
-        core = core.parent
-    return core
+        return holder, holder
+    top = core
+    while top is not body and top.parent is not None and top.parent.density >= body.density:
+        top = top.parent
+    return top, core
 
 
 def _is_link_list(node: Element) -> bool:
     return node.tag in ("ul", "ol", "div", "section", "table") and 2 * node.link_chars > node.chars > 0
 
 
-def blocks(content: Element) -> list[str]:
-    """Texts of the blocks in page order, white space collapsed."""
+def blocks(content: Element, core: Element) -> list[str]:
+    """Texts of the blocks in page order, white space collapsed.
+
+    Without an article element, lists of links outside the core, or before its
+    first text, are menus; those after it, such as references, stay.
+    """
+    inside = {id(n) for n in core.elements()}
+    begun = False
     out: list[str] = []
     held: list[str] = []
 
@@ -251,9 +292,10 @@ def blocks(content: Element) -> list[str]:
             flush()
         elif isinstance(item, str):
             held.append(item)
+            begun = begun or bool(item.strip())
         elif item.tag == "br":
             held.append(" ")
-        elif content.tag in ARTICLE or item is content or not _is_link_list(item):
+        elif content.tag in ARTICLE or item is content or not _is_link_list(item) or (begun and id(item) in inside):
             block = item.tag in BLOCKS
             if block:
                 flush()
@@ -265,7 +307,7 @@ def blocks(content: Element) -> list[str]:
 
 def main_text(page: str) -> str:
     """The article of a page, one line per block; empty if there is none."""
-    return "\n".join(blocks(select(parse(page))))
+    return "\n".join(blocks(*select(parse(page))))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

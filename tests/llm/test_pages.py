@@ -52,6 +52,31 @@ def test_clutter_goes_whatever_holds_the_article():
     assert main_text(page(article=ARTICLE + clutter[6] + clutter[13], wrap="article")).split("\n") == PROSE
 
 
+def test_names_that_articles_have_too():
+    prose = "\n".join(PROSE)
+    assert main_text(f"<body><article class='post comments-open'>{ARTICLE}</article></body>") == prose
+    assert main_text(f"<body><div id='page' class='no-comments'>{ARTICLE}</div></body>") == prose
+    assert main_text(f"<body><div id='page' class='no-comments'><article>{ARTICLE}</article></div></body>") == prose
+    assert main_text(f"<body><div class='comments'>{ARTICLE}</div></body>") == prose
+    part = "<h2>A part</h2><p>It has text that belongs to the article as well.</p>"
+    for name in ("id='discussion'", "class='related-work'", "class='social-history'", "class='notice'"):
+        got = main_text(page(article=f"{ARTICLE}<section {name}>{part}</section>", wrap="article"))
+        assert got == f"{prose}\nA part\nIt has text that belongs to the article as well.", name
+
+
+def test_long_comments_go():
+    said = "".join(f"<article class='comment-body'><p>{p}</p></article>" for p in PROSE * 3)
+    for wrap in ("article", "main"):
+        for name in ("id='comments'", "class='comments-area'", "class='comment-list'"):
+            assert main_text(page(after=f"<div {name}>{said}</div>", wrap=wrap)).split("\n") == PROSE
+
+
+def test_reference_lists_of_pages_without_article():
+    refs = "<h2>References</h2><ol>" + "".join(f"<li><a href='/{i}'>Title of the cited work {i}</a></li>" for i in range(3)) + "</ol>"
+    got = main_text(page(before=f"<ul>{LINKS}</ul>", article=ARTICLE + refs))
+    assert got.split("\n") == [*PROSE, "References", *(f"Title of the cited work {i}" for i in range(3))]
+
+
 def test_blocks_and_references():
     got = main_text(page(article="<h1>A &amp; B</h1><p>x &lt;b&gt; &#233;&nbsp;y\n\t z<p>un<b>clos</b>ed <i>one<p>two<ul><li>i<li>j</ul>tail"))
     assert got == "A & B\nx <b> é y z\nunclosed one\ntwo\ni\nj\ntail"
