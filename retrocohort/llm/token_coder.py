@@ -10,8 +10,9 @@ counts the high and the low byte of all ids so far. Whether an id is the one of
 order 2, of order 1 or another is coded with frequencies mixed from three
 counts: by order 2's confidence, by order 1's and over the whole block. If it
 is another, its two bytes are coded with order 0's frequencies. Frequencies are
-renewed from the counts after 8, 16, 32, 64 and every 128 ids; the remembered
-ids change with every id.
+renewed from the counts after 8, 16, 32 and every 64 ids. A remembered id loses
+confidence before another replaces it. Order 0 works on bytes, the high and the
+low one independently, not on ids.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ import numpy as np
 LIMIT = 1 << 16  # ids have two bytes
 _BITS = 14  # of all frequencies
 _ONE = 1 << _BITS
-_EARLY, _RENEW = (8, 16, 32, 64), 128
+_EARLY, _RENEW = (8, 16, 32), 64
 _GAIN = 16  # weight of a byte that was seen, against 1 of every other
-_SLOTS = 9
+_SLOTS = 10
 _SHIFT, _WORD, _TOP = np.uint64(_BITS), np.uint64(16), np.uint64(48)
 # Least width before an id. Its three parts take 42 of these 48 bits at most.
 _LEAST = np.uint64(1 << 48)
@@ -114,7 +115,8 @@ class _Model:
         for table, at, slot, guess, sure in zip(
             self.tables, self.at, self.slots, self.guesses, self.sure, strict=True
         ):
-            table[at] = np.where(guess == ids, slot + (sure < 3), fresh)
+            wrong = np.where(sure > 0, slot - 1, fresh)
+            table[at] = np.where(guess == ids, slot + (sure < 3), wrong)
         self.seen_events[self.kept] = event_at
         self.seen_bytes[self.kept] = bytes_at
         self.before, self.last = self.last, ids
