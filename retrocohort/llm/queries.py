@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retrocohort.llm.chat import Template, format_chats, read_chats
+from retrocohort.llm.chat_repair import audits, damaged, repair
 from retrocohort.llm.decontaminate import find_leaks
 from retrocohort.llm.html_text import extract_pages
 from retrocohort.llm.line_dedup import drop_repeated_blocks
@@ -17,7 +18,9 @@ from retrocohort.llm.pii import replace_personal_data
 from retrocohort.llm.quality import BASE, ledger, mask, passes
 from retrocohort.llm.sharding import assign
 from retrocohort.llm.texts import table
+from retrocohort.llm.token_alignment import linked_documents
 from retrocohort.llm.token_store import read_token_files, write_token_files
+from retrocohort.llm.toxicity import toxicity
 from retrocohort.staging import stage_path
 
 #: A conversation whose texts hold control strings.
@@ -92,6 +95,22 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return linked_documents(table(spark, sf_dir, "documents"), *paths)
+
+
+def structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return audits(repair(damaged(conversations)), conversations)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": chat_formatting,
     "op2_html_extraction": html_extraction,
@@ -103,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup,
     "op9_near_dedup": near_dedup,
     "op10_personal_data": personal_data,
+    "op11_toxicity": toxic_documents,
+    "op12_token_alignment": token_alignment,
+    "op13_structure_repair": structure_repair,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"

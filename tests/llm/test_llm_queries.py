@@ -37,7 +37,7 @@ def test_query_equals_its_sql(spark, name):
 
 def test_registry():
     found = entry_point.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in found) == 1
     assert found["pipeline"] is corpus_pipeline.run
     assert [n for n, _ in corpus_pipeline.STAGES] == [
