@@ -194,6 +194,7 @@ FROM demographics GROUP BY phenotype"""
             ("median", "median"),
             ("min", "min"),
             ("max", "max"),
+            ("missing", "count(*) - count"),
         )
     )
 

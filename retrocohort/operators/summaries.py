@@ -2,82 +2,125 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from retrocohort.staging import stage
 
-# Parts of a group in the join with its range.
+# Parts of a group in the join with its cuts, so that a hot group is not met in one task.
 _PARTS = 16
+# Cuts of one narrowing, and the accuracy with which they are found.
+_CUTS = 100
+_ACCURACY = 2000
+# Distinct values that one task puts in order at most.
+ORDERED_ROWS = 10_000
 
+_PIECE = ["_group", "_piece"]
 
-def exact_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], n_bins: int = 4096
-) -> DataFrame:
-    """Exact interpolated quantiles per group, one column per entry of ``probs``.
 
-    Equal values collapse to counts before the first shuffle. Each group's
-    range of finite values is cut into ``n_bins`` equal bins, with bins of their
-    own for -infinity, infinity and NaN, which is the greatest. Bin totals show
-    which bins hold the wanted ranks; only those are put in order, each in a
-    task of its own. NULL values do not count; a group without others is absent.
+def _counted(df: DataFrame, by: Sequence[str], value: str) -> tuple[DataFrame, int]:
+    """Distinct values per group with their numbers, written, and how many rows that are.
+
+    A struct groups and joins NULL keys like any other value.
     """
-    # A struct groups and joins NULL keys like any other value.
+    size = Observation()
     counts = (
         df.where(F.col(value).isNotNull())
         .select(F.struct(*by).alias("_group"), F.col(value).cast("double").alias("_value"))
         .groupBy("_group", "_value")
         .agg(F.count(F.lit(1)).alias("_n"))
+        .observe(size, F.count(F.lit(1)).alias("rows"))
     )
-    finite = F.when(F.abs("_value") < float("inf"), F.col("_value"))
-    # A group's range is joined to its values part by part, so that a hot group is not met in one task.
-    spans = (
-        counts.groupBy("_group")
-        .agg(F.min(finite).alias("_from"), F.max(finite).alias("_to"))
+    return stage(counts, "value_counts"), size.get["rows"]
+
+
+def _narrowed(pieces: DataFrame, wanted: Callable[[Column, Column], Column]) -> DataFrame:
+    """Pieces cut at approximate quantiles of their distinct values; only those that ``wanted`` wants are left.
+
+    A cut is a value that occurs. NaN, the greatest value, has a piece of its own.
+    """
+    shares = [i / (_CUTS + 1) for i in range(1, _CUTS + 1)]
+    number = F.when(~F.isnan("_value"), F.col("_value"))
+    cuts = (
+        pieces.groupBy(*_PIECE)
+        .agg(F.percentile_approx(number, shares, _ACCURACY).alias("_cuts"))
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
     )
-    parted = counts.withColumn("_part", F.pmod(F.hash("_value"), F.lit(_PARTS)))
-    # halves, as the difference of two finite values need not be finite
-    share = F.try_divide(F.col("_value") / 2 - F.col("_from") / 2, F.col("_to") / 2 - F.col("_from") / 2)
-    bin_of = (
-        F.when(F.isnan("_value"), n_bins + 2)
-        .when(F.col("_value") == float("inf"), n_bins + 1)
-        .when(F.col("_value") == float("-inf"), -1)
-        .otherwise(F.coalesce(F.floor(share * n_bins), F.lit(0)))
-    )
-    binned = parted.join(spans, ["_group", "_part"]).withColumn("_bin", bin_of.cast("long")).drop("_from", "_to", "_part")
-    group = W.partitionBy("_group")
-    bins = (
-        binned.groupBy("_group", "_bin")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_last", F.sum("_n").over(group.orderBy("_bin")))
-        .withColumn("_total", F.sum("_n").over(group))
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_value")))
+    place = F.when(F.isnan("_value"), _CUTS + 1).otherwise(F.coalesce(below, F.lit(0)))
+    cut = (
+        pieces.withColumn("_part", F.pmod(F.hash("_value"), F.lit(_PARTS)))
+        .join(cuts, [*_PIECE, "_part"])
+        .withColumn("_cut", place)
+        .drop("_part", "_cuts")
+    )
+    order = W.partitionBy(*_PIECE).orderBy("_cut")
+    totals = (
+        cut.groupBy(*_PIECE, "_before", "_total", "_cut")
+        .agg(F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_last", F.col("_before") + F.sum("_n").over(order))
         .withColumn("_before", F.col("_last") - F.col("_n"))
+        .where(wanted(F.col("_before"), F.col("_last")))
+        .select(*_PIECE, "_cut", F.col("_before").alias("_begin"), F.col("_rows").alias("_piece_rows"))
     )
+    kept = cut.drop("_before", "_piece_rows").join(totals, [*_PIECE, "_cut"])
+    piece = F.concat_ws(".", "_piece", F.col("_cut").cast("string"))
+    return kept.select("_group", "_value", "_n", "_total", piece.alias("_piece"), F.col("_begin").alias("_before"), "_piece_rows")
+
+
+def exact_quantiles(
+    df: DataFrame, by: Sequence[str], value: str, probs: Mapping[str, float], ordered_rows: int = ORDERED_ROWS
+) -> DataFrame:
+    """Exact interpolated quantiles per group, one column per entry of ``probs``.
+
+    Equal values collapse to counts before the first shuffle. While a piece of
+    a group that holds a wanted rank has more than ``ordered_rows`` distinct
+    values, it is cut at approximate quantiles of these, and only the pieces
+    with wanted ranks go on; so however the values cluster, a cut leaves about
+    a hundredth. Then each piece is put in order. NaN is the greatest value,
+    NULL values do not count, and a group without others is absent.
+    """
+    counts, n_rows = _counted(df, by, value)
+
     # Zero-based rank of each quantile among the sorted values, and its neighbours.
     rank = {name: (F.col("_total") - 1) * F.lit(float(p)) for name, p in probs.items()}
     low = {name: F.floor(r) for name, r in rank.items()}
     high = {name: F.ceil(r) for name, r in rank.items()}
 
-    def holds(position):
-        return (position >= F.col("_before")) & (position < F.col("_last"))
-
-    wanted = reduce(
-        lambda a, b: a | b, [holds(p) for name in probs for p in (low[name], high[name])]
-    )
-    located = bins.where(wanted).select("_group", "_bin", "_total", "_before")
-    running = F.sum("_n").over(W.partitionBy("_group", "_bin").orderBy("_value"))
-    ordered = (
-        binned.join(located, ["_group", "_bin"])
-        .withColumn("_last", F.col("_before") + running)
-        .withColumn("_before", F.col("_last") - F.col("_n"))
-    )
-
-    def at(position):
-        return F.max(F.when(holds(position), F.col("_value")))
+    def wanted(first: Column, last: Column) -> Column:
+        ranks = [p for name in probs for p in (low[name], high[name])]
+        return reduce(lambda a, b: a | b, [(p >= first) & (p < last) for p in ranks])
+
+    if n_rows <= ordered_rows:
+        total = F.sum("_n").over(W.partitionBy("_group"))
+        pieces = counts.select("*", F.lit("").alias("_piece"), F.lit(0).alias("_before"), total.alias("_total"))
+    else:
+        sizes = counts.groupBy("_group").agg(F.sum("_n").alias("_total"), F.count(F.lit(1)).alias("_piece_rows"))
+        spread = sizes.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(_PARTS - 1))))
+        parted = counts.withColumn("_part", F.pmod(F.hash("_value"), F.lit(_PARTS)))
+        whole = parted.join(spread, ["_group", "_part"])
+        columns = [F.lit("").alias("_piece"), F.lit(0).cast("long").alias("_before"), "_piece_rows"]
+        pieces = whole.select("_group", "_value", "_n", "_total", *columns)
+        ready = []
+        while True:
+            largest = Observation()
+            pieces = stage(pieces.observe(largest, F.max("_piece_rows").alias("rows")), "pieces")
+            ready.append(pieces.where(F.col("_piece_rows") <= ordered_rows))
+            if (largest.get["rows"] or 0) <= ordered_rows:
+                break
+            pieces = _narrowed(pieces.where(F.col("_piece_rows") > ordered_rows), wanted)
+        pieces = reduce(DataFrame.unionByName, ready)
+
+    ordered = pieces.withColumn(
+        "_last", F.col("_before") + F.sum("_n").over(W.partitionBy(*_PIECE).orderBy("_value"))
+    ).withColumn("_first", F.col("_last") - F.col("_n"))
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((position >= F.col("_first")) & (position < F.col("_last")), F.col("_value")))
 
     picked = ordered.groupBy("_group").agg(
         F.max("_total").alias("_total"),
@@ -85,7 +128,7 @@ def exact_quantiles(
         *[at(high[name]).alias(f"_high_{name}") for name in probs],
     )
 
-    def between(name):
+    def between(name: str) -> Column:
         below, above = F.col(f"_low_{name}"), F.col(f"_high_{name}")
         share_above = rank[name] - low[name]
         return F.when(below == above, below).otherwise((1 - share_above) * below + share_above * above)
@@ -118,7 +161,7 @@ def categorical_summary(df: DataFrame, strata: str, columns: Sequence[str]) -> D
 
 
 def continuous_summary(df: DataFrame, strata: str, columns: Sequence[str]) -> DataFrame:
-    """Mean, sample standard deviation, median, minimum and maximum per stratum.
+    """Mean, sample standard deviation, median, minimum, maximum and number of missing values per stratum.
 
     A variable without values in a stratum has all its rows, with NULL.
     """
@@ -129,12 +172,13 @@ def continuous_summary(df: DataFrame, strata: str, columns: Sequence[str]) -> Da
         F.stddev_samp("measure").alias("sd"),
         F.min("measure").alias("min"),
         F.max("measure").alias("max"),
+        F.count_if(F.col("measure").isNull()).alias("missing"),
     )
     medians = exact_quantiles(measures, keys, "measure", {"median": 0.5}).select(
         F.struct(*keys).alias("_key"), "median"
     )
     wide = moments.withColumn("_key", F.struct(*keys)).join(medians, "_key", "left")
-    return _stats_rows(wide, keys, ["mean", "sd", "median", "min", "max"])
+    return _stats_rows(wide, keys, ["mean", "sd", "median", "min", "max", "missing"])
 
 
 def table_one(
