@@ -9,6 +9,7 @@ from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,7 +24,13 @@ from retrocohort.functions.scalars import age_years, binary_flag  # noqa: E402
 from retrocohort.plans import analysis as A  # noqa: E402
 from retrocohort.plans import extracts as EX  # noqa: E402
 from retrocohort.plans import report  # noqa: E402
-from retrocohort.sources.delimited import load_results, read_cohort_covariates  # noqa: E402
+from retrocohort.sources.delimited import (  # noqa: E402
+    load_results,
+    read_checked,
+    read_cohort_covariates,
+    read_delimited,
+    rejected_counts,
+)
 from retrocohort.sources.schemas import SOURCES  # noqa: E402
 from retrocohort.sources.sinks import save_extract  # noqa: E402
 from retrocohort.sources.star_schema import CATALOGUE_SQL, StarSchema  # noqa: E402
@@ -177,6 +184,33 @@ def _results_file(s: Study) -> DataFrame:
     return report.format_pvalues(load_results(s.spark, path, results.schema)).select("test_id", "pval")
 
 
+#: A header whose names need repair.
+ODD_NAMES = ("Test ID", "p %", "P-%", "Größe (µg)", "2nd #")
+REPAIRED = "test_id long, p_percent double, p_percent_2 long, groe_g string, x2nd_number int"
+
+
+def _repaired_names(s: Study) -> DataFrame:
+    """Results under odd names, parted by semicolons, read back under repaired names."""
+    path = stage_path(s.spark, "odd_names")
+    odd = s.get("results").select("test_id", "pval", F.col("test_id") * 2, F.lit("a;b"), F.col("test_id") % 7)
+    odd.toDF(*ODD_NAMES).write.csv(path, header=True, sep=";", nullValue="NA")
+    return read_delimited(s.spark, path, T.StructType.fromDDL(REPAIRED), sep=None)
+
+
+def _rejected_fields(s: Study) -> DataFrame:
+    """A covariates file with texts for dates and a number, read with a ledger of what did not fit."""
+    path, person = stage_path(s.spark, "rejected_fields"), F.col("person_id")
+    spoiled = s.get("covariates_file").withColumns(
+        {
+            "dob": F.when(person % 5 == 0, F.concat(F.lit("unknown "), person % 3)).otherwise(F.col("dob").cast("string")),
+            "end_date": F.when(person % 11 == 0, "2001-02-30").otherwise(F.col("end_date").cast("string")),
+            "person_id": F.when(person % 13 == 0, F.concat(F.lit("P"), person)).otherwise(person.cast("string")),
+        }
+    )
+    spoiled.write.csv(path, header=True, nullValue="NA")
+    return rejected_counts(read_checked(s.spark, path, SOURCES["covariates_file"]).rejected)
+
+
 def _indication_list(s: Study) -> DataFrame:
     chosen = C.indication_list(s.star.project(CATALOGUE_SQL), "PROMO")
     return C.exclude_by_regex(chosen, "drug_desc", "ring|^red")
@@ -280,6 +314,8 @@ QUERIES: dict[str, Callable[[Study], DataFrame]] = {
     ),
     "format_pvalues": lambda s: report.format_pvalues(load_results(s.spark, s.get("results"))),
     "results_file": _results_file,
+    "repaired_names": _repaired_names,
+    "rejected_fields": _rejected_fields,
     "preview_rows": lambda s: report.preview(
         s.get("results"), ["pval", "test_id"], 100, ["pval < 0.05"]
     ),

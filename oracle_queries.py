@@ -277,6 +277,14 @@ FROM (SELECT (SELECT count(*) FROM overlap) AS n_overlapping_patients,
 FROM (SELECT CAST(obs_length AS DOUBLE) AS n FROM characteristics)""",
     "format_pvalues": "SELECT test_id, printf('%.2E', pval) AS pval FROM results",
     "results_file": "SELECT test_id, printf('%.2E', pval) AS pval FROM results",
+    "repaired_names": """SELECT test_id, pval AS p_percent, test_id * 2 AS p_percent_2, 'a;b' AS groe_g,
+  CAST(test_id % 7 AS INT) AS x2nd_number FROM results""",
+    "rejected_fields": """
+SELECT "column", type, count(*) AS n, min(text) AS least_text, max(text) AS greatest_text FROM (
+  SELECT 'dob' AS "column", 'date' AS type, 'unknown ' || person_id % 3 AS text FROM covariates_file WHERE person_id % 5 = 0
+  UNION ALL SELECT 'end_date', 'date', '2001-02-30' FROM covariates_file WHERE person_id % 11 = 0
+  UNION ALL SELECT 'person_id', 'bigint', 'P' || person_id FROM covariates_file WHERE person_id % 13 = 0)
+GROUP BY ALL""",
     "preview_rows": """SELECT * FROM results WHERE pval < 0.05 ORDER BY pval, test_id LIMIT 100""",
 }
 

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 from retrocohort import staging
 from retrocohort.plans import extracts as EX
 from retrocohort.plans.report import format_pvalues, preview
-from retrocohort.sources.delimited import clean_names, cohort_source, load_results, read_cohort_covariates
+from retrocohort.sources.delimited import (
+    clean_names,
+    cohort_source,
+    find_separator,
+    load_results,
+    read_checked,
+    read_cohort_covariates,
+    read_delimited,
+)
 from retrocohort.sources.schemas import SOURCES
 from retrocohort.sources.sinks import save_extract
 from retrocohort.sources.tables import CdmTables
@@ -150,3 +158,40 @@ def test_a_cluster_without_a_shared_folder_is_refused(tmp_path):
     assert staging.stage_root(session) == staging.stage_root(session)
     settings[staging.CHECKPOINT_DIR] = "hdfs:///shared/"
     assert staging.stage_root(session) == "hdfs:///shared/retrocohort-app_1"
+
+
+def test_separator_is_found_out(spark, tmp_path):
+    assert [find_separator(h) for h in ("a,b", "a\tb,c\td", 'x;"a,b,c";y', "one", "a|b|c")] == [",", "\t", ";", ",", "|"]
+    for sep in ",\t;|":
+        path = tmp_path / f"results{ord(sep)}.csv"
+        path.write_text("\ufefftest id{0}p value\n1{0}0.5\n2{0}NA\n".replace("{0}", sep))
+        assert rows(load_results(spark, str(path))) == [("1", "0.5"), ("2", None)]
+        assert load_results(spark, str(path)).columns == ["test_id", "p_value"]
+    with pytest.raises(ValueError, match="no header"):
+        (tmp_path / "empty.csv").write_text("")
+        load_results(spark, str(tmp_path / "empty.csv"))
+
+
+def test_rejected_fields_are_counted_and_kept(spark, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_text(
+        "Person ID,Gender,Race,DOB,Start Date,End Date,Treat Start,Treat End\n"
+        "1,F,W,1950-01-01,2000-01-01,2002-01-01,2001-01-01,2001-03-01\n"
+        "x2,F,W,bad,2000-01-01,2002-01-01,2001-01-01,\n"
+        "3,F,W,NA,2000-13-01,2002-01-01,2001-01-01,2001-03-01\n"
+    )
+    schema = SOURCES["covariates_file"]
+    checked = read_checked(spark, str(path), schema)
+    assert checked.n_rejected == 3
+    assert rows(checked.rows) == rows(read_delimited(spark, str(path), schema))
+    found = {(r["column"], r["type"], r["text"]): r["record"] for r in checked.rejected.collect()}
+    assert set(found) == {("person_id", "bigint", "x2"), ("dob", "date", "bad"), ("start_date", "date", "2000-13-01")}
+    assert '"person_id":"x2"' in found[("dob", "date", "bad")]
+    assert read_checked(spark, str(path), schema, max_rejected=3).n_rejected == 3
+    with pytest.raises(ValueError, match="3 fields"):
+        read_checked(spark, str(path), schema, max_rejected=2)
+    with pytest.raises(ValueError, match="lacks"):
+        read_checked(spark, str(path), SOURCES["results"])
+    path.write_text("Test ID,pval\n")
+    empty = read_checked(spark, str(path), SOURCES["results"], max_rejected=0)
+    assert (empty.rows.count(), empty.rejected.count(), empty.n_rejected) == (0, 0, 0)
