@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -132,7 +133,8 @@ def _outpatient_biomarkers(s: Study) -> DataFrame:
 
 
 def _selected_drugs(s: Study) -> DataFrame:
-    return X.select_drugs(EX.drugs_extract(s.cdm, s.params, s.cohort), s.cohort.wanted_drugs)
+    """Of all drugs in the window those of the target set."""
+    return X.select_drugs(EX.drugs_extract(s.cdm, s.params, s.cohort), s.cohort.drug_set)
 
 
 def _normalized(s: Study) -> DataFrame:
@@ -162,7 +164,8 @@ def _normalized(s: Study) -> DataFrame:
 
 
 def _saved_extract(s: Study) -> DataFrame:
-    drugs = EX.extract("drugs", s.cdm, s.params, s.cohort)
+    """The drugs of a narrower window, saved and read back."""
+    drugs = EX.extract("drugs", s.cdm, replace(s.params, window_months=6))
     return save_extract(drugs, stage_path(s.spark, "saved_drugs"))
 
 

@@ -220,8 +220,15 @@ WHERE v.person_id = i.person_id AND v.visit_start_date = i.drug_exposure_start_d
     "covariates_extract": "SELECT * FROM covariates",
     "drugs_extract_all": "SELECT * FROM drugs_all",
     "drugs_extract_selected": "SELECT * FROM drugs",
-    "selected_drugs": "SELECT * FROM drugs",
-    "saved_extract": "SELECT * FROM drugs",
+    "selected_drugs": "SELECT * FROM drugs_all WHERE drug_concept_id IN (SELECT concept_id FROM drug_set)",
+    "saved_extract": """
+SELECT DISTINCT w.person_id, w.start_date, w.end_date, e.drug_exposure_start_date, e.drug_concept_id
+FROM (SELECT person_id, CAST(first_drug_exposure - INTERVAL 6 MONTH AS DATE) AS start_date,
+        CAST(first_drug_exposure + INTERVAL 6 MONTH AS DATE) AS end_date FROM span) w
+JOIN drug_exposure e ON w.person_id = e.person_id
+JOIN op_visit v ON e.person_id = v.person_id AND e.drug_exposure_start_date = v.visit_start_date
+WHERE e.drug_exposure_start_date BETWEEN w.start_date AND w.end_date AND e.drug_concept_id <> 0
+  AND e.drug_concept_id IN (SELECT descendant_concept_id FROM indication_ancestor UNION SELECT concept_id FROM drug_set)""",
     "outpatient_biomarkers": """SELECT m.person_id, m.measurement_date, m.measurement_concept_id, m.value_as_number
 FROM measurement m JOIN biomarker_set b ON m.measurement_concept_id = b.concept_id
 JOIN op_visit v ON m.person_id = v.person_id AND m.measurement_date = v.visit_start_date

@@ -23,10 +23,14 @@ def mapped_exposures(exposures: DataFrame) -> DataFrame:
 def of_concepts(events: DataFrame, column: str, concepts: Lookup) -> DataFrame:
     """Events whose ``column`` is in the concept set, repeats kept.
 
-    A semi join: the optimiser moves it below other joins, next to the scan,
-    which the least and greatest id of the set reach as a filter.
+    The ids of a short set are a list in a filter. A longer one is a semi join:
+    the optimiser moves it below other joins, next to the scan. Either way the
+    least and greatest id of the set reach the scan as a filter.
     """
     events = concepts.within(events, column, "concept_id")
+    listed = concepts.values("concept_id")
+    if listed:
+        return events.where(F.col(column).isin(listed))
     side = concepts.table.select(F.col("concept_id").alias(column))
     side = F.broadcast(side) if concepts.small else side
     return events.join(side, column, "left_semi")
@@ -75,9 +79,11 @@ def at_outpatient_visit(
     ``days`` holds the distinct days from :func:`visit_days`. With
     ``keep_duplicates`` an event appears once per visit on its day, otherwise
     once. The two-part key spreads a person with many rows over their dates.
-    The columns that the days carry are added to the events.
+    The columns that the days carry are added to the events. A table of events
+    that is partitioned by date is only read on the days' dates.
     """
-    side = days.table.withColumnRenamed("visit_start_date", date_column)
+    # every day has a visit; a filter on the side lets the optimiser prune partitions by its dates
+    side = days.table.where(F.col("n_visits") > 0).withColumnRenamed("visit_start_date", date_column)
     side = F.broadcast(side) if days.small else side
     keys = ["person_id", date_column]
     events = days.within(events, date_column, "visit_start_date")

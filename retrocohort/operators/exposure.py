@@ -26,15 +26,16 @@ def exposure_span(index_at_visits: DataFrame) -> DataFrame:
     )
 
 
+def with_window(span: DataFrame, months: int = 12) -> DataFrame:
+    """The span with the dates ``months`` before to ``months`` after the first exposure of each person."""
+    first = F.col("first_drug_exposure")
+    dates = {"start_date": F.add_months(first, -months), "end_date": F.add_months(first, months)}
+    return span.withColumns(dates)
+
+
 def cohort_window(span: DataFrame, months: int = 12) -> DataFrame:
     """``months`` before to ``months`` after the first exposure of each person."""
-    first = F.col("first_drug_exposure")
-    return span.select(
-        "person_id",
-        "drug_concept_id",
-        F.add_months(first, -months).alias("start_date"),
-        F.add_months(first, months).alias("end_date"),
-    )
+    return with_window(span, months).select("person_id", "drug_concept_id", "start_date", "end_date")
 
 
 def wanted_drugs(indication: DataFrame, drug_set: DataFrame) -> DataFrame:

@@ -132,10 +132,28 @@ def period_values(
     )
 
 
-def persons_with_change(values: DataFrame) -> DataFrame:
-    """Persons with a value in both parts; one flag per part, merged before the shuffle."""
-    seen = F.bit_or(F.when(F.col("period") == BASELINE, 1).otherwise(2))
-    return values.groupBy("person_id").agg(seen.alias("_seen")).where("_seen = 3").select("person_id")
+def step_flags(exposed: DataFrame, values: DataFrame) -> DataFrame:
+    """Per person whether there are exposures and values in the two parts of the period, from one shuffle.
+
+    ``drug_exposed`` and ``treatment_new_exposed`` are those of
+    :func:`flag_exposure`; ``has_change``: a value in both parts.
+    """
+    baseline = F.col("period") == BASELINE
+
+    def marked(df: DataFrame, first: int, second: int) -> DataFrame:
+        return df.select("person_id", F.when(baseline, first).otherwise(second).alias("_seen"))
+
+    seen = marked(exposed, 1, 2).unionByName(marked(values, 4, 8)).groupBy("person_id").agg(F.bit_or("_seen").alias("_seen"))
+
+    def flag(mask: int, wanted: tuple[int, ...]):
+        return F.col("_seen").bitwiseAND(mask).isin(*wanted).cast("int")
+
+    return seen.select(
+        "person_id",
+        flag(3, (1, 2, 3)).alias("drug_exposed"),
+        flag(3, (2,)).alias("treatment_new_exposed"),
+        flag(12, (12,)).alias("has_change"),
+    )
 
 
 def biomarker_change(

@@ -220,20 +220,19 @@ def describe_lengths(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def stage_counts(**stages: DataFrame) -> DataFrame:
-    """One row with the exact number of distinct persons of every stage.
+def step_counts(steps: DataFrame, names: Sequence[str], bits: str = "_seen") -> DataFrame:
+    """One row with the exact number of distinct persons of every step.
 
-    Persons are counted in one grouped aggregate over the tagged stages, so no
-    one-row frames have to be crossed.
+    ``steps`` has person_id and a number whose bit ``i`` says that the person
+    is in step ``names[i]``. Repeats of a person collapse before they leave the
+    task that read them, and one row a person is shuffled, however many steps
+    there are. A NULL person does not count.
     """
-    tagged = reduce(
-        DataFrame.unionByName,
-        [df.select(F.lit(name).alias("_stage"), "person_id") for name, df in stages.items()],
-    )
-    counts = tagged.groupBy("_stage").agg(F.countDistinct("person_id").alias("_n"))
-    return counts.agg(
-        *[
-            F.coalesce(F.max(F.when(F.col("_stage") == name, F.col("_n"))), F.lit(0).cast("long")).alias(name)
-            for name in stages
-        ]
-    )
+    seen = steps.where(F.col("person_id").isNotNull()).groupBy("person_id").agg(F.bit_or(bits).alias("_seen"))
+    return seen.agg(*[F.count_if(F.col("_seen").bitwiseAND(1 << i) != 0).alias(name) for i, name in enumerate(names)])
+
+
+def stage_counts(**stages: DataFrame) -> DataFrame:
+    """One row with the exact number of distinct persons of every stage."""
+    tagged = [df.select("person_id", F.lit(1 << i).cast("long").alias("_seen")) for i, df in enumerate(stages.values())]
+    return step_counts(reduce(DataFrame.unionByName, tagged), list(stages))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,7 +19,7 @@ from retrocohort.functions.scalars import (
 from retrocohort.operators import periods as P
 from retrocohort.operators.concepts import exclude_by_regex, indication_list
 from retrocohort.operators.persons import persons_in_all, restrict_to
-from retrocohort.operators.summaries import stage_counts, table_one
+from retrocohort.operators.summaries import step_counts, table_one
 from retrocohort.sources.delimited import read_cohort_covariates
 from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
 
@@ -48,6 +48,10 @@ class AnalysisParams:
     broadcast_bytes: int = BROADCAST_BYTES
 
 
+def _short(params: AnalysisParams) -> Column:
+    return days_between("first_drug_exposure", "last_drug_exposure") < params.min_exposure_days
+
+
 class CohortAnalysis:
     """Stages of the analysis; those used more than once are written once.
 
@@ -123,12 +127,22 @@ class CohortAnalysis:
         return P.period_exposures(self.periods, P.to_ingredients(self.drugs, mapping))
 
     @cached_property
+    def ledger(self) -> Lookup:
+        """The adults with a flag for each later selection step, written once.
+
+        Exposures and values only say here whether there are any, so both are
+        folded into one number a person before they are shuffled.
+        """
+        values = P.period_values(self.biomarkers, self.periods, self.params.concept_id_exclusions)
+        flags = P.step_flags(self.indication_exposures, values)
+        steps = ["drug_exposed", "treatment_new_exposed", "has_change"]
+        return lookup(self.adults.join(flags, "person_id", "left").fillna(0, steps), "ledger", self.params.broadcast_bytes)
+
+    @property
     def flagged(self) -> Lookup:
-        return lookup(
-            P.flag_exposure(self.indication_exposures, self.adults),
-            "flagged",
-            self.params.broadcast_bytes,
-        )
+        """The adults with their exposure flags."""
+        ledger = self.ledger
+        return Lookup(ledger.table.drop("has_change"), ledger.small, ledger.ends, ledger.n_rows)
 
     @cached_property
     def change(self) -> DataFrame:
@@ -136,17 +150,10 @@ class CohortAnalysis:
             self.biomarkers, self.flagged, self.params.concept_id_exclusions
         )
 
-    @cached_property
+    @property
     def unexposed(self) -> DataFrame:
-        """Flagged persons without indication drugs who have both biomarker values.
-
-        Only the presence of the values matters here, not their medians.
-        """
-        free = self.flagged.table.where(F.col("drug_exposed") == 0)
-        values = P.period_values(
-            self.biomarkers, Lookup(free, self.flagged.small), self.params.concept_id_exclusions
-        )
-        return free.join(P.persons_with_change(values), "person_id", "left_semi")
+        """Flagged persons without indication drugs who have both biomarker values."""
+        return self.ledger.table.where((F.col("drug_exposed") == 0) & (F.col("has_change") == 1)).drop("has_change")
 
     def demographics(self) -> DataFrame:
         return self.unexposed.select(
@@ -163,17 +170,18 @@ class CohortAnalysis:
         ).distinct()
 
     def attrition(self, outpatient_exposed: bool = False) -> DataFrame:
-        stages = {
-            "n_overlapping_patients": self.spans.table,
-            "less_30_exposure": P.short_exposures(self.spans.table, self.params.min_exposure_days),
-            "n_periods": self.periods.table,
-            "n_adults": self.flagged.table,
-            "indication_drug_exposed": self.flagged.table.where(F.col("drug_exposed") == 1),
-            "final_cohort_number": self.unexposed,
-        }
+        short = F.when(_short(self.params), 2).otherwise(4)
+        steps = self.spans.table.select("person_id", (F.lit(1) + short).cast("long").alias("_seen"))
+        exposed = F.when(F.col("drug_exposed") == 1, 16).when(F.col("has_change") == 1, 32).otherwise(0)
+        steps = steps.unionByName(self.ledger.table.select("person_id", (F.lit(8) + exposed).cast("long").alias("_seen")))
+        names = [
+            "n_overlapping_patients", "less_30_exposure", "n_periods", "n_adults",
+            "indication_drug_exposed", "final_cohort_number",
+        ]
         if outpatient_exposed:
-            stages["outpatient_exposed"] = self.drugs
-        row = stage_counts(**stages).withColumn(
+            names.append("outpatient_exposed")
+            steps = steps.unionByName(self.drugs.select("person_id", F.lit(64).cast("long").alias("_seen")))
+        row = step_counts(steps, names).withColumn(
             "age_num_removed", F.col("n_periods") - F.col("n_adults")
         )
         kept = ["outpatient_exposed"] if outpatient_exposed else []

@@ -11,11 +11,9 @@ table once and matches it with them on person and date.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +24,7 @@ from retrocohort.operators import exposure as X
 from retrocohort.operators.persons import merge_covariates
 from retrocohort.sources.schemas import EXTRACTS, require_columns
 from retrocohort.sources.tables import CdmTables
-from retrocohort.staging import BROADCAST_BYTES, Lookup, lookup, stage, stored
+from retrocohort.staging import BROADCAST_BYTES, Bloom, Lookup, bloom, lookup, side_by_side, stage, stored
 
 
 @dataclass(frozen=True)
@@ -111,28 +109,47 @@ class Cohort:
 
         No window reaches further than ``window_months`` from an index day.
         """
-        visits, months = self._visits(), abs(self.params.window_months)
+        visits, months = self._of_persons(self._visits()), abs(self.params.window_months)
         if ends := self.index_days.ends.get("drug_exposure_start_date"):
             first, last = F.add_months(F.lit(ends[0]), -months), F.add_months(F.lit(ends[1]), months)
             visits = visits.where(F.col("visit_start_date").between(first, last))
         return stage(E.visit_days(visits.join(self.persons.side, "person_id", "left_semi")), "visits")
 
     @cached_property
-    def span(self) -> Lookup:
-        """First and last outpatient exposure per person."""
+    def person_filter(self) -> Bloom | None:
+        """A Bloom filter of the persons, where they are too many to be sent to the executors."""
+        if self.persons.small:
+            return None
+        return bloom(self.persons, "person_id", self.params.broadcast_bytes)
+
+    def _of_persons(self, events: DataFrame) -> DataFrame:
+        """Events that may be of the persons; what remains of others goes with the join behind it."""
+        return self.person_filter.keep(events, "person_id") if self.person_filter else events
+
+    @cached_property
+    def ranges(self) -> Lookup:
+        """Per person the first and last outpatient exposure and the window around the first."""
         days = self.index_days.side.withColumnRenamed("drug_exposure_start_date", "visit_start_date")
         at_visits = self.visits.join(days, ["person_id", "visit_start_date"], "left_semi").select(
             "person_id",
             F.lit(int(self.params.drug_concept_id)).cast("long").alias("drug_concept_id"),
             F.col("visit_start_date").alias("drug_exposure_start_date"),
         )
-        return self._lookup(X.exposure_span(at_visits), "span")
+        return self._lookup(X.with_window(X.exposure_span(at_visits), self.params.window_months), "ranges")
 
-    @cached_property
+    def _of_ranges(self, *columns: str) -> Lookup:
+        ranges = self.ranges
+        return Lookup(ranges.table.select(*columns), ranges.small, ranges.ends, ranges.n_rows)
+
+    @property
+    def span(self) -> Lookup:
+        """First and last outpatient exposure per person."""
+        return self._of_ranges("person_id", "drug_concept_id", "first_drug_exposure", "last_drug_exposure")
+
+    @property
     def window(self) -> Lookup:
-        """Date range per person, from the staged span."""
-        ranges = X.cohort_window(self.span.table, self.params.window_months)
-        return self._lookup(ranges.select("person_id", "start_date", "end_date"), "window")
+        """Date range per person."""
+        return self._of_ranges("person_id", "start_date", "end_date")
 
     @cached_property
     def days(self) -> Lookup:
@@ -140,19 +157,31 @@ class Cohort:
         found = E.in_window(self.visits, self.window, "visit_start_date")
         return self._lookup(found, "days")
 
+    @cached_property
+    def dates(self) -> Lookup:
+        """The dates of the days; there are never more than the calendar has."""
+        return self._lookup(self.days.table.groupBy("visit_start_date").agg(F.sum("n_visits").alias("n_visits")), "dates")
+
     def at_days(self, events: DataFrame, date_column: str, once: bool) -> DataFrame:
         """Events on an outpatient day in the window, with the window's dates.
 
         ``once`` gives distinct rows; otherwise a row appears once per visit,
-        unfolded last. The dates of the days filter the scan. Persons that fit
-        a broadcast drop the events of others there as well; the days join is
-        a broadcast or a shuffle on person and date. Repeats collapse before a
-        shuffle, and after a broadcast has filtered them.
+        unfolded last. The dates of the days filter the scan, and prune the
+        partitions of a table partitioned by date. Persons that fit a broadcast
+        drop the events of others there as well, and a Bloom filter of the
+        persons does where they do not; the days join is a broadcast or a
+        shuffle on person and date. Repeats collapse before a shuffle, and
+        after a broadcast has filtered them.
         """
         events = self.days.within(events, date_column, "visit_start_date")
         if not self.days.small:
             if self.window.small:
                 events = events.join(F.broadcast(self.window.table.select("person_id")), "person_id", "left_semi")
+            else:
+                events = self._of_persons(events)
+            if self.dates.small:
+                dates = self.dates.table.where(F.col("n_visits") > 0).select(F.col("visit_start_date").alias(date_column))
+                events = events.join(F.broadcast(dates), date_column, "left_semi")
             events = events.distinct() if once else events
         found = E.at_outpatient_visit(events, self.days, date_column, keep_duplicates=not once)
         return found.distinct() if once and self.days.small else found
@@ -250,25 +279,21 @@ def save_extracts(
 ) -> dict[str, DataFrame]:
     """Save several extracts at once; ``save`` gets each extract and its kind.
 
-    The shared tables are built first. The extracts then run as concurrent
-    jobs, as the tail of one leaves room for the next.
+    The shared tables are built first, those that do not need each other at
+    once. The extracts then run as concurrent jobs, as the tail of one leaves
+    room for the next.
     """
     cohort = _cohort(cdm, params, cohort)
-    if set(kinds) - {"covariates"}:
-        cohort.days
-    else:
-        cohort.span
-    if "drugs" in kinds:
-        cohort.wanted_drugs
-    if "biomarkers" in kinds:
-        cohort.biomarker_set
+    cohort.drug_set  # what the steps that run side by side have in common
+    steps = [lambda: cohort.days if set(kinds) - {"covariates"} else cohort.ranges]
+    steps += [lambda: cohort.wanted_drugs] if "drugs" in kinds else []
+    steps += [lambda: cohort.biomarker_set] if "biomarkers" in kinds else []
+    side_by_side(cdm.spark, steps)
 
     def saved(kind: str) -> DataFrame:
         return save(extract(kind, cdm, params, cohort), kind)
 
-    with ThreadPoolExecutor(max_workers=len(kinds)) as pool:
-        running = {k: pool.submit(inheritable_thread_target(cdm.spark)(saved), k) for k in kinds}
-        return {kind: job.result() for kind, job in running.items()}
+    return dict(zip(kinds, side_by_side(cdm.spark, [partial(saved, k) for k in kinds]), strict=True))
 
 
 _EXTRACT_DATES = {

@@ -14,9 +14,12 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +30,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 # eight lookups of a study are in use at once, so all of them stay within 512 MiB.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Values of a column that become a list in a filter at most; scans skip by longer lists no better than by their ends.
+LISTED_VALUES = 10
+
 _local_roots: dict[str, str] = {}
 
 
@@ -60,6 +66,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(spark: SparkSession, steps: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Results of steps whose jobs run at the same time; the first error ends them."""
+    with ThreadPoolExecutor(max_workers=max(1, len(steps))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [step.result() for step in running]
+
+
 def clear_stages(spark: SparkSession) -> None:
     """Delete every table this application has staged; frames over them can no longer be read."""
     path = spark._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
@@ -97,15 +110,27 @@ def _hash_table_bytes(df: DataFrame, n_rows: int, n_text: int | None) -> int:
 
 @dataclass(frozen=True)
 class Lookup:
-    """A table, whether its measured size allows a broadcast, and its columns' ends.
+    """A table, whether its measured size allows a broadcast, its columns' ends and its number of rows.
 
     ``ends`` holds the least and greatest value of the columns that were
-    measured, None for both where a column has no value.
+    measured, None for both where a column has no value. ``n_rows`` is None
+    where rows were not counted.
     """
 
     table: DataFrame
     small: bool
     ends: dict[str, tuple[Any, Any]] = field(default_factory=dict)
+    n_rows: int | None = None
+    _listed: dict[str, list] = field(default_factory=dict, repr=False, compare=False)
+
+    def values(self, column: str) -> list | None:
+        """The distinct values of a column that is a date or a whole number, if its rows are few enough to list."""
+        if self.n_rows is None or self.n_rows > LISTED_VALUES or not self.small or column not in self.ends:
+            return None
+        if column not in self._listed:
+            rows = self.table.select(column).collect()
+            self._listed[column] = sorted({row[0] for row in rows if row[0] is not None})
+        return self._listed[column]
 
     @property
     def side(self) -> DataFrame:
@@ -130,7 +155,7 @@ class Lookup:
 def _measured(table: DataFrame, found: dict[str, Any], broadcast_bytes: int) -> Lookup:
     small = _hash_table_bytes(table, found["n_rows"], found["n_text"]) <= broadcast_bytes
     names = [key.removeprefix("least_") for key in found if key.startswith("least_")]
-    return Lookup(table, small, {n: (found[f"least_{n}"], found[f"most_{n}"]) for n in names})
+    return Lookup(table, small, {n: (found[f"least_{n}"], found[f"most_{n}"]) for n in names}, found["n_rows"])
 
 
 def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
@@ -148,3 +173,48 @@ def lookup(df: DataFrame, label: str, broadcast_bytes: int = BROADCAST_BYTES) ->
 def stored(df: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> Lookup:
     """A lookup over a table that is stored already; it is only measured."""
     return _measured(df, df.agg(*_size_columns(df)).first().asDict(), broadcast_bytes)
+
+
+# Bits that a key sets in its word, keys for each word, and bytes that a word needs in a hash table.
+_BITS = 3
+_KEYS_PER_WORD = 4
+_WORD_BYTES = 2 * (8 + 8 * 2) + 56
+
+
+@dataclass(frozen=True)
+class Bloom:
+    """A blocked Bloom filter of a table's keys: for each word of 64 bits those that some key sets.
+
+    Its size is bounded whatever the number of keys, so it can be sent to every
+    executor where the keys themselves cannot.
+    """
+
+    words: DataFrame
+    n_words: int
+
+    @staticmethod
+    def _places(key: Column, n_words: int) -> tuple[Column, Column]:
+        spread = F.xxhash64(key)
+        one, mask = F.lit(1).cast("long"), F.lit(0).cast("long")
+        for i in range(_BITS):
+            place = F.pmod(F.shiftrightunsigned(spread, 40 + 6 * i), F.lit(64)).cast("int")
+            mask = mask.bitwiseOR(F.call_function("shiftleft", one, place))
+        return F.pmod(spread, F.lit(n_words)), mask
+
+    def keep(self, df: DataFrame, column: str) -> DataFrame:
+        """Rows of ``df`` whose ``column`` may be one of the keys: all that are, and few others; none without a key."""
+        word, mask = self._places(F.col(column), self.n_words)
+        marked = df.where(F.col(column).isNotNull()).withColumn("_word", word)
+        found = marked.join(F.broadcast(self.words), "_word")
+        return found.where(F.col("_bits").bitwiseAND(mask) == mask).drop("_word", "_bits")
+
+
+def bloom(keys: Lookup, column: str, broadcast_bytes: int = BROADCAST_BYTES) -> Bloom | None:
+    """The filter of a staged table's column; None if too few bits for its rows stay within ``broadcast_bytes``."""
+    most = broadcast_bytes // _WORD_BYTES
+    n_words = min(most, max(1, (keys.n_rows or 0) // _KEYS_PER_WORD))
+    if keys.n_rows is None or 16 * n_words < keys.n_rows:
+        return None
+    word, mask = Bloom._places(F.col(column), n_words)
+    words = keys.table.where(F.col(column).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_bits"))
+    return Bloom(stage(words, f"bloom_{column}"), n_words)
