@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrocohort.llm.texts import Words, chunks, mixed, rolled
+from retrocohort.llm.texts import Words, chunks, mixed, rolled, sequence_hash, unused
 
 FOUND = "doc_id long, item_id long, start long, n_words long, similarity double"
 
@@ -36,8 +36,9 @@ class Leaks:
     """What counts as a leak.
 
     The similarity of a window and an item is the sum over their shingles of the
-    smaller number of occurrences, over the sum of the larger one. Items with
-    fewer words than one shingle are not searched. ``slice_bytes`` bounds the
+    smaller number of occurrences, over the sum of the larger one. A text with
+    fewer words than one shingle has its whole sequence of words as one, so a
+    short item is found in documents that consist of it. ``slice_bytes`` bounds the
     benchmark text that is sent to the executors at once; a larger benchmark is
     searched slice by slice.
     """
@@ -88,10 +89,13 @@ def _search(rule: Leaks, items: list[tuple[int, str]]):
         k = rule.shingle
         by_length: dict[int, tuple[list[int], list[np.ndarray]]] = defaultdict(lambda: ([], []))
         lengths: dict[int, set[int]] = defaultdict(set)
+        short: dict[int, list[int]] = defaultdict(list)
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), dtype=np.uint8)
             found, _ = words.hashes(raw, np.array([0, len(raw)]))
             if len(found) < k:
+                if len(found):
+                    short[int(sequence_hash(found)[0])].append(item_id)
                 continue
             shingles = rolled(found, k)
             by_length[len(found)][0].append(item_id)
@@ -145,6 +149,11 @@ def _search(rule: Leaks, items: list[tuple[int, str]]):
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
             for first_row, _, data, offsets in chunks(batch.column(1)):
                 found, begins = words.hashes(data, offsets)
+                n_words = np.diff(begins)
+                for doc in np.flatnonzero((n_words > 0) & (n_words < k)) if short else ():
+                    whole = int(sequence_hash(found[begins[doc] : begins[doc + 1]])[0])
+                    for item in short.get(whole, ()):
+                        best[first_row + int(doc), item] = (1.0, 0, int(n_words[doc]))
                 every = rolled(found, k)
                 if not len(known) or not len(every):
                     continue
@@ -191,6 +200,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: Leaks = Leaks()) ->
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame, rule: Leaks = Leaks()) -> DataFrame:
-    """The rows of ``docs`` without a passage of the benchmark; all columns. Rows without doc_id stay."""
-    found = find_leaks(docs, benchmark, rule).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` without a passage of the benchmark; all columns.
+
+    A row is judged by its own text, whatever its doc_id: rows that share one,
+    or have none, go only if their text holds a passage.
+    """
+    version, gone = unused("leak_version", docs), unused("leaking", docs)
+    text = F.col("text").cast("string")
+    texts = docs.select(F.xxhash64(text).alias("doc_id"), text.alias("text"))
+    found = find_leaks(texts, benchmark, rule).select(F.col("doc_id").alias(gone)).distinct()
+    marked = docs.withColumn(version, F.xxhash64(text))
+    return marked.join(found, F.col(version) == F.col(gone), "left_anti").select(*docs.columns)

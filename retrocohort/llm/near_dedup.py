@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retrocohort.llm.components import stars
-from retrocohort.llm.texts import Words, chunks, mixed, shingle_sets
+from retrocohort.llm.texts import unused, Words, chunks, mixed, shingle_sets
 from retrocohort.staging import stage
 
 SIGNED = "doc_id long, n_shingles long, n_bytes long, key_1 long, key_2 long, bands array<long>, signature binary"
@@ -373,25 +373,34 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
 
 
 def drop_near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
-    """The rows of ``docs`` of which each component keeps its smallest doc_id; all columns.
+    """The rows of ``docs`` of which each component keeps one: its smallest doc_id; all columns.
 
-    Of rows that share a doc_id the one with the smallest text stays; rows
-    without doc_id all stay.
+    A document is a doc_id and a text: unlike texts that share a doc_id, or have
+    none, are documents of their own, in order of doc_id (NULL last) and of the
+    text's hash. Of repeated rows one stays, that with the smallest other columns.
     """
-    found = near_duplicates(docs, rule)
-    gone = found.where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    twice = stage(
-        found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "twice"
-    )
-    if twice.isEmpty():
-        return left
+    if docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").isEmpty():
+        found = near_duplicates(docs, rule)
+        return docs.join(found.where("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    key, hashes = unused("document", docs), [unused(f"version_{i}", docs) for i in (1, 2)]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    versions = {hashes[0]: F.xxhash64(text), hashes[1]: F.xxhash64(F.lit(1), text)}
+    marked = docs.withColumns(versions)
+    order = [F.col("doc_id").asc_nulls_last(), *hashes]
+    every = marked.select("doc_id", *hashes).distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    # in the order of the rows, and written, so that a number never changes
+    numbers = stage(every.withColumn(key, F.monotonically_increasing_id()).withColumnRenamed("doc_id", f"{key}_id"), "documents")
+    same = F.col("doc_id").eqNullSafe(F.col(f"{key}_id"))
+    keyed = stage(marked.join(numbers, [*hashes], "inner").where(same).select(key, *docs.columns), "keyed")
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), rule)
+    kept = stage(found.where("kept").groupBy("doc_id").count(), "kept").withColumnRenamed("doc_id", key)
+    single = keyed.join(kept.where("count = 1"), key, "left_semi").select(*docs.columns)
     once = (
-        left.join(twice, "doc_id", "left_semi")
-        .select("doc_id", F.struct("text", *[c for c in docs.columns if c != "text"]).alias("row"))
-        .groupBy("doc_id")
+        keyed.join(kept.where("count > 1"), key, "left_semi")
+        .select(key, F.struct("text", *[c for c in docs.columns if c != "text"]).alias("row"))
+        .groupBy(key)
         .agg(F.min("row").alias("row"))
         .select("row.*")
         .select(*docs.columns)
     )
-    return left.join(twice, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return single.unionByName(once)
