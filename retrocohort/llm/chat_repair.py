@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import count
 
 import numpy as np
@@ -55,6 +56,11 @@ def _keeps(initial: str, state: int) -> int | None:
     return _NEXT[state][1] if initial and initial == _NEXT[state][0][0] else None
 
 
+@lru_cache(maxsize=1 << 16)
+def _searched(codes: str, state: int, goal: int | None) -> tuple[int, str] | None:
+    return search([codes[i : i + 2] for i in range(0, len(codes), 2)], state, goal)
+
+
 def search(codes: list[str], state: int, goal: int | None) -> tuple[int, str] | None:
     """Cost and edits of the best way through rows, None if there is none.
 
@@ -203,7 +209,7 @@ def _solver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if state == _START or not row["begins"]:
                     goals = [None] if row["ends"] else _STATES
                     for i, goal in enumerate(goals):
-                        found[i] = search(row["codes"], state, goal)
+                        found[i] = _searched("".join(row["codes"]), state, goal)
                 edits = ["" if x is None else x[1] for x in found]
                 costs += [-1 if x is None else x[0] for x in found]
                 ranks += [sorted(edits).index(x) for x in edits]
@@ -255,7 +261,9 @@ def _chainer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _scripts(segments: DataFrame) -> DataFrame:
     """conv_id, start, codes, state before and edits of every segment."""
-    solved = stage(segments.mapInArrow(_solver, _SOLVED), "segments")
+    # A given number of partitions is not coalesced: rows are short, but each is a search.
+    n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    solved = stage(segments.repartition(n, "start").mapInArrow(_solver, _SOLVED), "segments")
     several = solved.where(~F.col("alone")).groupBy("conv_id")
     several = several.agg(F.sort_array(F.collect_list(F.struct("start", "costs", "ranks"))).alias("segments"))
     ways = several.select("segments").mapInArrow(_chainer, "place long, state int, way int")
