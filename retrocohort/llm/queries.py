@@ -14,7 +14,7 @@ from retrocohort.llm.html_text import extract_pages
 from retrocohort.llm.line_dedup import drop_repeated_blocks
 from retrocohort.llm.mixing import mixture
 from retrocohort.llm.near_dedup import NearDuplicates, near_duplicates
-from retrocohort.llm.pii import replace_personal_data
+from retrocohort.llm.pii import Surrogates, replace_personal_data
 from retrocohort.llm.quality import BASE, ledger, mask, passes
 from retrocohort.llm.sharding import assign
 from retrocohort.llm.texts import table
@@ -29,6 +29,10 @@ CONTROL_CHAT = """SELECT * FROM VALUES
     AS t(conv_id, turn, role, text)"""
 
 
+#: For the registered query alone, so that its result can be compared; elsewhere keys are secret.
+SURROGATE_KEY = "surrogates"
+
+
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     read = read_chats(format_chats(rows.unionByName(spark.sql(CONTROL_CHAT))))
@@ -92,7 +96,7 @@ def near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return replace_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"), Surrogates(SURROGATE_KEY))
 
 
 def toxic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
