@@ -104,6 +104,26 @@ def test_shards_are_near_equal_and_growth_moves_a_share(spark):
     assert 0.03 < sum(r.shard != r.grown_shard for r in rows) / len(rows) < 0.05
 
 
+def test_slots_of_many_equal_rows(spark):
+    rows = spark.range(25_000).selectExpr("1L AS doc_id", "'x' AS text")
+    rows = rows.unionAll(spark.range(3).selectExpr("CAST(NULL AS LONG)", "CAST(NULL AS STRING)"))
+    rows = rows.unionAll(spark.range(2, 900).selectExpr("id", "'y'"))
+    slots = defaultdict(list)
+    for r in assign(rows, range_rows=7).collect():
+        slots[r.shard].append(r.slot)
+    assert sum(map(len, slots.values())) == 25_901
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_the_type_of_doc_id_does_not_matter(spark):
+    rows = spark.range(500).selectExpr("id AS doc_id", "'x' AS text")
+    whole = {r.doc_id: r.shard for r in assign(rows).collect()}
+    for kind in ("int", "string"):
+        other = rows.withColumn("doc_id", rows.doc_id.cast(kind))
+        assert {r.doc_id: r.shard for r in assign(other).collect()} == whole
+        assert {int(r.doc_id): r.shard for r in sharded(other).collect()} == whole
+
+
 def test_shards_of_odd_rows(spark, odd_docs, no_docs, tmp_path):
     got = assign(odd_docs).collect()
     assert len(got) == odd_docs.count()
