@@ -1,21 +1,21 @@
 """Lines that repeat across documents.
 
-:func:`drop_repeated_blocks` removes every run of lines, of enough words
-together, that any earlier document holds as a run: in any order, however often
-either document holds it, whatever the length of its lines. Every such run is
-covered by its shortest parts of enough words, two a line at most, so an
-aggregate by the parts' hashes finds all of them. The work grows with the lines
-and not with the square of a line's frequency; no line is too frequent.
-
-:func:`drop_repeated_lines` aligns a document with the first holder of each of
-its longer lines only, by patience diff, and removes aligned blocks. Whatever it
-removes, the other removes too.
+:func:`drop_repeated_blocks` pairs each document with earlier ones by hashes of
+the shortest runs of lines of enough words that both hold, aligns each pair by
+patience diff and removes aligned blocks from the later document. A document
+meets the first holder of each of its runs, not all of them, so a frequent line
+gives one pair a document; a pair is the runs that it shares, so long documents
+are not sent whole to each of their partners. As runs out of order are aligned
+too, every run of enough words that any earlier document holds goes.
+
+:func:`drop_repeated_lines` aligns whole documents with the first holder of each
+of their longer lines only. Whatever it removes, the other removes too.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -249,14 +249,50 @@ def _windows(rule: LineRule):
     return run
 
 
-def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def aligned_blocks(earlier: list[tuple[int, int]], later: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """First and last lines of the later document's blocks that align with an earlier one.
+
+    ``earlier`` has the place and hash of each shared run of lines, ``later`` the
+    first and last line and the hash of each of its own. The runs are aligned by
+    patience diff. What that leaves, being moved or held again, is aligned with
+    the run's place in the earlier document. Neighbouring runs at the same
+    distance in both documents are one block.
+    """
+    earlier, later = sorted(earlier), sorted(later)
+    pairs = patience([run for _, run in earlier], [run for _, _, run in later])
+    in_order = {j: earlier[i][0] for i, j in pairs}
+    place = {run: at for at, run in earlier}
+    moved = {j: place[run] for j, (_, _, run) in enumerate(later) if j not in in_order}
+    out: list[tuple[int, int]] = []
+    for aligned in (in_order, moved):
+        distance = None
+        for j, at in aligned.items():
+            begin, end, _ = later[j]
+            if begin - at == distance and begin <= out[-1][1] + 1:
+                out[-1] = (out[-1][0], max(out[-1][1], end))
+            else:
+                out.append((begin, end))
+            distance = begin - at
+    return out
+
+
+def _block_aligner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         gone = []
-        for pairs in batch.column("runs"):
-            begin, end = (pairs.values.field(k).to_numpy() for k in (0, 1))
-            step = np.zeros(int(end.max()) + 2, dtype=np.int64)
-            np.add.at(step, begin, 1)
-            np.add.at(step, end + 1, -1)
+        for runs in batch.column("runs"):
+            pairs: defaultdict = defaultdict(lambda: ({}, []))
+            for r in runs.as_py():
+                earlier, later = pairs[r["first_id"], r["first_version"]]
+                earlier[r["run"]] = r["place"]
+                later.append((r["begin"], r["end"], r["run"]))
+            blocks = [
+                block
+                for earlier, later in pairs.values()
+                for block in aligned_blocks([(at, run) for run, at in earlier.items()], later)
+            ]
+            step = np.zeros(max(end for _, end in blocks) + 2, dtype=np.int64)
+            np.add.at(step, [begin for begin, _ in blocks], 1)
+            np.add.at(step, [end + 1 for _, end in blocks], -1)
             gone.append(np.cumsum(step[:-1]) > 0)
         columns = [batch.column("doc_id"), batch.column("version"), pa.array(gone, pa.list_(pa.bool_()))]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "gone"])
@@ -268,10 +304,12 @@ def _n_units(line: Column) -> Column:
     return F.when(line.rlike(f"[{UNSPACED}]"), F.regexp_count(line, F.lit(UNIT))).otherwise(spaced)
 
 
-def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
-    """doc_id, version, gone: for each line up to the last to remove, whether it goes.
+def shared_runs(docs: DataFrame, rule: LineRule) -> DataFrame:
+    """doc_id, version, run, begin, end, first_id, first_version, place: runs that an earlier document holds.
 
-    A document is what it is to :func:`repeated_lines`.
+    A document is what it is to :func:`repeated_lines`. ``first_id`` and
+    ``first_version`` are the first document that holds the run, ``place`` is
+    where it begins there (the first one).
     """
     text = F.col("text").cast("string")
     windows = stage(
@@ -286,16 +324,37 @@ def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
         .mapInArrow(_windows(rule), "doc_id long, version long, run long, begin int, end int"),
         "line_runs",
     )
-    holder = F.struct("doc_id", "version")
-    first = stage(
-        windows.groupBy("run").agg(F.min(holder).alias("first"), F.max(holder).alias("last")).where("first <> last"),
+    first, last = F.min(F.struct("doc_id", "version", "begin")), F.max(F.struct("doc_id", "version"))
+    holders = stage(
+        windows.groupBy("run")
+        .agg(first.alias("first"), last.alias("last"))
+        .select(
+            "run",
+            F.col("first.doc_id").alias("first_id"),
+            F.col("first.version").alias("first_version"),
+            F.col("first.begin").alias("place"),
+            "last",
+        )
+        .where("first_id <> last.doc_id or first_version <> last.version")
+        .drop("last"),
         "first_holders",
     )
-    repeated = windows.join(first, "run").where(holder != F.col("first"))
+    return windows.join(holders, "run").where("doc_id <> first_id or version <> first_version")
+
+
+def repeated_blocks(docs: DataFrame, rule: LineRule = LineRule()) -> DataFrame:
+    """doc_id, version, gone: for each line up to the last to remove, whether it goes.
+
+    Each document is aligned with the first holder of each run of lines that it
+    shares with earlier documents; only the shared runs are needed for that. All
+    pairs of a document are one row.
+    """
+    runs = F.struct("first_id", "first_version", "place", "run", "begin", "end")
     return (
-        repeated.groupBy("doc_id", "version")
-        .agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-        .mapInArrow(_covered, "doc_id long, version long, gone array<boolean>")
+        shared_runs(docs, rule)
+        .groupBy("doc_id", "version")
+        .agg(F.collect_set(runs).alias("runs"))
+        .mapInArrow(_block_aligner, "doc_id long, version long, gone array<boolean>")
     )
 
 

@@ -5,8 +5,17 @@ from collections import defaultdict
 
 from hypothesis import given
 from hypothesis import strategies as st
-
-from retrocohort.llm.line_dedup import drop_repeated_blocks, drop_repeated_lines, patience, repeated_places
+from pyspark.sql import functions as F
+
+from retrocohort.llm.line_dedup import (
+    LineRule,
+    aligned_blocks,
+    drop_repeated_blocks,
+    drop_repeated_lines,
+    patience,
+    repeated_places,
+    shared_runs,
+)
 from retrocohort.llm.texts import table
 
 
@@ -151,6 +160,36 @@ def test_blocks_equal_all_earlier_holders_on_the_table(spark):
         assert left == [x for x in t.split("\n") if len(x.split()) >= 5 and first[x] == d]
 
 
+def test_aligned_blocks_are_all_shared_runs(spark):
+    # on sf0.01: the lines that go are those of any run that an earlier document holds, no more and no less
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    runs = shared_runs(docs, LineRule()).select("doc_id", "version", F.explode(F.sequence("begin", "end")).alias("line"))
+    brute = runs.distinct().groupBy("doc_id").agg(F.count("*").alias("n_lines_gone"))
+    got = drop_repeated_blocks(docs).where("n_removed > 0").selectExpr("doc_id", "n_removed AS n_lines_gone")
+    assert got.count() > 0 and got.exceptAll(brute).isEmpty() and brute.exceptAll(got).isEmpty()
+
+
+@given(st.lists(st.integers(0, 6), unique=True, min_size=1), st.lists(st.integers(0, 6), min_size=1, max_size=15))
+def test_every_shared_run_is_in_a_block(earlier, later):
+    shared = [(j, j, run) for j, run in enumerate(later) if run in earlier]
+    got = aligned_blocks([(i, run) for i, run in enumerate(earlier) if run in later], shared)
+    assert {x for begin, end in got for x in range(begin, end + 1)} == {j for j, _, _ in shared}
+    for begin, end in got:
+        at = earlier.index(later[begin])
+        assert earlier[at : at + end - begin + 1] == later[begin : end + 1]
+
+
+def test_blocks_in_order_and_moved():
+    earlier = [(0, 10), (1, 11), (2, 14), (3, 12), (6, 13)]
+    later = [(0, 0, 12), (3, 3, 10), (4, 4, 11), (5, 5, 14), (6, 6, 13), (9, 9, 10)]
+    assert aligned_blocks(earlier, later) == [(3, 5), (6, 6), (0, 0), (9, 9)]
+
+
+def test_a_long_document_in_reverse():
+    n = 100_000
+    assert len(aligned_blocks([(i, i) for i in range(n)], [(n - 1 - i, n - 1 - i, i) for i in range(n)])) == n
+
+
 def test_blocks_of_odd_rows(spark, odd_docs, no_docs):
     got = drop_repeated_blocks(odd_docs).collect()
     assert len(got) == odd_docs.count()
