@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from retrocohort.llm.components import stars
 from retrocohort.llm.texts import unused, Words, chunks, mixed, shingle_sets
-from retrocohort.staging import stage
+from retrocohort.staging import bloom, lookup, stage
 
 SIGNED = "doc_id long, n_shingles long, n_bytes long, key_1 long, key_2 long, bands array<long>, signature binary"
 
@@ -267,9 +267,22 @@ def groups(signed: DataFrame) -> DataFrame:
     return rows.join(buckets, "bucket").select("center", F.col("doc_id").alias("member")).distinct()
 
 
-def _compared(placed: DataFrame, docs: DataFrame, rule: NearDuplicates, rest: bool) -> DataFrame:
-    """(center, u, v) from the blocks (center, i, j) of ``placed``."""
+def _member_texts(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(member, text) of all documents in groups, written once.
+
+    A Bloom filter of the members drops other texts where they are read, so only
+    those of members, and few others, are shuffled; without one, all are.
+    """
+    members = lookup(pairs.select("member").distinct(), "members")
     texts = docs.select(F.col("doc_id").cast("long").alias("member"), F.col("text").cast("string"))
+    known = bloom(members, "member")
+    if known is not None:
+        texts = known.keep(texts, "member")
+    return stage(texts.join(members.table, "member", "left_semi"), "member_texts")
+
+
+def _compared(placed: DataFrame, texts: DataFrame, rule: NearDuplicates, rest: bool) -> DataFrame:
+    """(center, u, v) from the blocks (center, i, j) of ``placed``."""
     return (
         placed.join(texts, "member")
         .select("center", "i", "j", "member", "text", "signature", "marked")
@@ -294,6 +307,7 @@ def near_links(docs: DataFrame, signed: DataFrame, rule: NearDuplicates) -> Data
         weight = F.sum("n_bytes") + rule.member_bytes * F.count(F.lit(1))
         return F.ceil(weight / F.lit(rule.block_bytes)).cast("int").alias(name)
 
+    texts = _member_texts(docs, pairs)
     sizes = stage(pairs.groupBy("center").agg(blocks("parts")).where("parts > 1"), "group_sizes")
     part = F.pmod(F.xxhash64("member"), F.col("parts")).cast("int")
     every_part = F.sequence(F.lit(0), F.col("parts") - 1)
@@ -306,7 +320,7 @@ def near_links(docs: DataFrame, signed: DataFrame, rule: NearDuplicates) -> Data
         "signature",
         (F.col("parts") > 1).alias("marked"),
     )
-    found = stage(_compared(first, docs, rule, rest=False), "compared")
+    found = stage(_compared(first, texts, rule, rest=False), "compared")
     links = found.where("v is not null").select("u", "v")
     alone = found.where("v is null").select("center", F.col("u").alias("member")).distinct()
     asking = stage(pairs.join(alone, ["center", "member"]).join(sizes, "center"), "unlinked")
@@ -328,7 +342,7 @@ def near_links(docs: DataFrame, signed: DataFrame, rule: NearDuplicates) -> Data
             F.lit(False).alias("marked"),
         )
     )
-    rest = _compared(asked.select(columns).unionByName(answering.select(columns)), docs, rule, rest=True)
+    rest = _compared(asked.select(columns).unionByName(answering.select(columns)), texts, rule, rest=True)
     return links.unionByName(rest.select("u", "v"))
 
 
