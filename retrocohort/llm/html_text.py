@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -65,10 +67,14 @@ SCOPE = frozenset({"html", "table", "td", "th", "button", "caption", "object", "
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "children", "chars", "link_chars", "tags", "link_tags", "density", "total")
+    __slots__ = (
+        *("tag", "attrs", "parent", "children", "article", "chars", "link_chars", "tags", "link_tags", "density", "total"),
+    )
 
     def __init__(self, tag: str, attrs: dict, parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
+        # the nearest article element, itself included
+        self.article: Element | None = self if tag in ARTICLE else parent and parent.article
         self.children: list[Element | str] = []
         self.chars = self.link_chars = self.tags = self.link_tags = 0
         self.density = self.total = 0.0
@@ -84,27 +90,40 @@ class Element:
                 todo.append((node, True))
                 todo += [(c, False) for c in reversed(node.children) if isinstance(c, Element)]
 
-    def within(self, tags: frozenset) -> Element | None:
-        node = self
-        while node is not None and node.tag not in tags:
-            node = node.parent
-        return node
-
 
 class _Tree(HTMLParser):
+    """Builds the tree. The open elements are a stack, and for each tag its places there, ascending."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = self.at = Element("html", {}, None)
+        self.root = Element("html", {}, None)
+        self.open = [self.root]
+        self.places: dict[str, list[int]] = defaultdict(list, html=[0])
+        self.blocks: list[int] = []
         self.body: Element | None = None
 
+    def _close_to(self, n: int) -> None:
+        """The first ``n`` open elements stay open."""
+        while len(self.open) > n:
+            tag = self.open.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def _last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else -1
+
     def _end(self, tags: set, scope: frozenset | set) -> None:
-        node, found = self.at, None
-        while node is not None and node.tag not in scope:
-            if node.tag in tags:
-                found = node
-            node = node.parent
-        if found is not None:
-            self.at = found.parent
+        """Closes the outermost open element of ``tags`` that no element of ``scope`` is open in."""
+        limit = max(self._last(tag) for tag in scope)
+        found = []
+        for tag in tags:
+            places = self.places.get(tag, [])
+            k = bisect_right(places, limit)
+            found += places[k : k + 1]
+        if found:
+            self._close_to(min(found))
 
     def handle_starttag(self, tag, attrs):
         if tag == "html":
@@ -112,17 +131,20 @@ class _Tree(HTMLParser):
         if tag == "body":
             if self.body is not None:
                 return
-            self.at = self.root
+            self._close_to(1)
         if tag in BLOCKS:
             self._end({"p"}, SCOPE)
         if tag in ENDS:
             self._end(*ENDS[tag])
-        node = Element(tag, {k: v or "" for k, v in attrs}, self.at)
-        self.at.children.append(node)
+        node = Element(tag, {k: v or "" for k, v in attrs}, self.open[-1])
+        self.open[-1].children.append(node)
         if tag == "body":
             self.body = node
         if tag not in VOID:
-            self.at = node
+            self.places[tag].append(len(self.open))
+            if tag in BLOCKS:
+                self.blocks.append(len(self.open))
+            self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -130,16 +152,14 @@ class _Tree(HTMLParser):
     def handle_endtag(self, tag):
         if tag in ("body", "html"):
             return
-        node = self.at
-        while node is not None and node.tag != tag:
-            if tag not in BLOCKS and node.tag in BLOCKS:
-                return  # an inline end tag does not close blocks
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        place = self._last(tag)
+        if tag not in BLOCKS and self.blocks and self.blocks[-1] > place:
+            return  # an inline end tag does not close blocks
+        if place > 0:
+            self._close_to(place)
 
     def handle_data(self, data):
-        self.at.children.append(data)
+        self.open[-1].children.append(data)
 
 
 def parse(page: str) -> Element:
@@ -172,7 +192,7 @@ def _clutter_names(node: Element) -> set[str]:
     names = _names(node) & CLUTTER_NAMES
     doubtful = names & AMBIGUOUS_NAMES
     if doubtful:
-        within = node.within(ARTICLE) is not None and 2 * node.link_chars <= node.chars
+        within = node.article is not None and 2 * node.link_chars <= node.chars
         whole = set() if within else {*node.attrs.get("class", "").lower().split()}
         names -= doubtful - whole
     return names
@@ -185,14 +205,14 @@ def _is_clutter(node: Element, half: float, holders: set[int], article: bool) ->
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", node.attrs.get("style", "").lower()):
         return True
-    if node.tag == "header" and (node.parent is None or node.parent.within(ARTICLE) is None):
+    if node.tag == "header" and (node.parent is None or node.parent.article is None):
         return True
     if node.attrs.get("role", "").lower() in CLUTTER_ROLES:
         return True
     if _is_comment(node):
         # whatever its size, if the page has an article elsewhere
         return node.tag not in ("body", "main") and id(node) not in holders and (article or node.chars <= half)
-    if not _clutter_names(node) and not (_names(node) & HEADER_NAMES and node.within(ARTICLE) is None):
+    if not _clutter_names(node) and not (_names(node) & HEADER_NAMES and node.article is None):
         return False
     # a name like with-sidebar on the element that holds the article
     return node.tag not in ("body", *ARTICLE) and id(node) not in holders and node.chars <= half
@@ -255,7 +275,7 @@ def select(body: Element) -> tuple[Element, Element]:
     core = max(body.elements(), key=lambda n: n.total)
     if core.total <= 0:
         return body, body
-    holder = core.within(ARTICLE)
+    holder = core.article
     if holder is not None:
         return holder, holder
     top = core

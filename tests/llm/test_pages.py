@@ -2,8 +2,11 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
-from retrocohort.llm.html_text import extract_pages, main_text
+import pytest
+
+from retrocohort.llm.html_text import extract_pages, main_text, parse
 from retrocohort.llm.texts import table
 
 
@@ -91,3 +94,30 @@ def test_odd_pages(spark):
     assert sorted((r.page_id or 0, r.n_chars) for r in got) == [(0, 0), (1, 0), (1, 0), (2, 16), (3, 4), (4, 999_999)]
     assert extract_pages(pages.limit(0)).isEmpty()
     assert main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<p>", "<b>", "<td>", "<table><tr><td>", '<div class="related">', "<b></i>"])
+def test_deep_pages_take_seconds(tag):
+    began = time.monotonic()
+    assert main_text(tag * 100_000 + "words at the end") == "words at the end"
+    assert time.monotonic() - began < 60
+
+
+def test_which_elements_an_end_tag_closes():
+    body = parse("<div><p>a<div>b</p>c<span>d</div>e</span>f<table><tr><td>g<table><tr><td>h<td>i</table>j<tr>k")
+    shape = [(n.tag, n.parent.tag if n.parent else None, sum(isinstance(c, str) for c in n.children)) for n in body.elements()]
+    assert shape == [
+        ("p", "div", 1),
+        ("span", "div", 1),
+        ("div", "div", 2),
+        ("td", "tr", 1),
+        ("td", "tr", 1),
+        ("tr", "table", 0),
+        ("table", "td", 0),
+        ("td", "tr", 2),
+        ("tr", "table", 0),
+        ("tr", "table", 1),
+        ("table", "div", 0),
+        ("div", "html", 2),
+        ("html", None, 0),
+    ]
