@@ -4,8 +4,9 @@ Targets are word budgets by source. A source first gives as many complete
 epochs as fit its target. The rest is an Efraimidis-Spirakis sample: each
 document draws an exponential key scaled by its quality weight, and the
 smallest keys are taken up to the budget. The key at which the budget is spent
-is found from sums over key ranges, so that only one narrow range of each
-source is ever put in order; every row then decides by itself.
+is found from sums over pieces of the keys, cut again until few rows are left,
+so that only one narrow range of each source is ever put in order; every row
+then decides by itself.
 """
 
 from __future__ import annotations
@@ -20,13 +21,16 @@ from retrocohort.staging import stage
 
 SYMBOLS = "#*$%&|<>"
 
+# Pieces into which a range of keys is cut.
+PIECES = 64
+
 
 @dataclass(frozen=True)
 class Mix:
     """``weights`` go to the sources by code point, NULL last, again and again.
 
     All targets together are ``percent`` of all words; none is above ``limit``
-    times its source. ``range_rows`` documents are expected in a key range.
+    times its source. At most ``range_rows`` documents of a source are put in order.
     """
 
     weights: tuple[int, ...] = (5, 2, 1)
@@ -92,6 +96,51 @@ def _measured(docs: DataFrame, mix: Mix) -> DataFrame:
     )
 
 
+def _within(measured: DataFrame, at: DataFrame) -> DataFrame:
+    """Rows whose key lies between the ends (low, high) of their source."""
+    return measured.join(at, F.col("source").eqNullSafe(F.col("s")) & F.col("key").between(F.col("low"), F.col("high")))
+
+
+def edges(measured: DataFrame, planned: DataFrame, mix: Mix, n_rows: int) -> DataFrame:
+    """(s, low, high, rest): the keys between which each source's budget ends, and the words left for them.
+
+    ``n_rows`` are those of the largest source. While more than ``range_rows``
+    rows lie between the ends, they are cut at approximate quantiles of their own
+    keys, whatever the keys' distribution, and the piece that the budget ends in
+    goes on. A key that is a cut is a piece of its own, so pieces always shrink;
+    one key is not cut, as equal rows of it are counted together afterwards.
+    """
+    ends = F.lit(0.0).alias("low"), F.lit(float("inf")).alias("high")
+    at = planned.where("budget > 0").select(F.col("source").alias("s"), *ends, F.col("budget").alias("rest"))
+    at = stage(at, "edges")
+    fractions = [i / PIECES for i in range(1, PIECES)]
+    upto = F.sum("words").over(Window.partitionBy("s").orderBy("piece"))
+    while n_rows > mix.range_rows:
+        cuts = _within(measured, at).groupBy("s", "low", "high", "rest").agg(
+            F.percentile_approx("key", fractions, 100 * PIECES).alias("cuts")
+        )
+        below = F.size(F.filter("cuts", lambda cut: cut < F.col("key")))
+        piece = 2 * below + F.array_contains("cuts", F.col("key")).cast("int")
+        found = (
+            _within(measured, stage(cuts, "cuts"))
+            .withColumn("piece", piece)
+            .groupBy("s", "piece", "rest")
+            .agg(
+                F.sum("size").alias("words"),
+                F.count(F.lit(1)).alias("n"),
+                F.min("key").alias("low"),
+                F.max("key").alias("high"),
+            )
+            .withColumn("upto", upto)
+            .where("upto - words < rest and rest <= upto")
+            .select("s", "low", "high", (F.col("rest") - F.col("upto") + F.col("words")).alias("rest"), "n")
+        )
+        found = stage(found, "edges")
+        n_rows = found.where("low < high").agg(F.max("n")).first()[0] or 0
+        at = found.drop("n")
+    return at
+
+
 def spending_plan(measured: DataFrame, mix: Mix) -> DataFrame:
     """One row per source: source_size, target, epochs, and where the rest of the budget is spent.
 
@@ -101,7 +150,6 @@ def spending_plan(measured: DataFrame, mix: Mix) -> DataFrame:
     by_source = measured.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     by_source = stage(by_source, "sources")
     most = by_source.agg(F.max("n_docs")).first()[0] or 0
-    ranges = max(1, -(-most // mix.range_rows))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     planned = stage(
         targets(by_source.drop("n_docs"), mix)
@@ -109,21 +157,10 @@ def spending_plan(measured: DataFrame, mix: Mix) -> DataFrame:
         .withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")),
         "budgets",
     )
-    in_range = F.floor((1 - F.exp(-F.col("key"))) * ranges).cast("long")
-    ranged = measured.withColumn("range", in_range)
-    so_far = Window.partitionBy("source").orderBy("range")
-    sums = (
-        ranged.groupBy("source", "range")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("upto", F.sum("words").over(so_far))
-        .join(planned.select(F.col("source").alias("s"), "budget"), F.col("source").eqNullSafe(F.col("s")))
-        .where("upto - words < budget and budget <= upto")
-        .select("s", F.col("range").alias("r"), (F.col("budget") - F.col("upto") + F.col("words")).alias("rest"))
-    )
-    edge = stage(sums, "ranges")
+    edge = edges(measured, planned, mix, most)
     inside = Window.partitionBy("source").orderBy("key", "doc_id", "size")
     last = (
-        ranged.join(edge, F.col("source").eqNullSafe(F.col("s")) & (F.col("range") == F.col("r")))
+        _within(measured, edge)
         .groupBy("source", "key", "doc_id", "size", "rest")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("upto", F.sum(F.col("size") * F.col("n")).over(inside))

@@ -7,7 +7,9 @@ from math import log
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
+from retrocohort.llm import mixing
 from retrocohort.llm.mixing import Mix, mixed_documents, mixture
 from retrocohort.llm.sharding import assign, shard_tree, sharded, write_shards
 from retrocohort.llm.texts import table
@@ -61,6 +63,25 @@ def test_better_documents_are_drawn_more_often(spark):
     assert sum(v for i, v in per.items() if i % 2 == 0) > 1.5 * sum(v for i, v in per.items() if i % 2)
 
 
+def test_few_rows_are_put_in_order_whatever_the_quality(spark):
+    # qualities from 1 to 1 in 300, one source with many copies of a row, one without words
+    docs = spark.range(3000).selectExpr(
+        "id AS doc_id",
+        "repeat('word ', int(1 + id % 7)) || repeat('#', int(pow(300, id % 10 / 9D)) * int(1 + id % 7)) AS text",
+        "IF(id % 3 = 0, 'low', 'other') AS source",
+    )
+    docs = docs.unionAll(spark.range(500).selectExpr("1L", "'same text'", "'copies'"))
+    docs = docs.unionAll(spark.range(5, 9).selectExpr("id", "''", "'empty'"))
+    few = Mix(range_rows=20)
+    assert sorted(map(str, mixture(docs, few).collect())) == sorted(map(str, mixture(docs).collect()))
+    measured = mixing._measured(docs, few).cache()
+    planned = measured.groupBy("source").agg(F.floor(0.4 * F.sum("size")).cast("long").alias("budget"))
+    edge = mixing.edges(measured, planned, few, 2000)
+    assert edge.count() == 3
+    left = mixing._within(measured, edge).groupBy("s").agg(F.countDistinct("key").alias("n")).collect()
+    assert len(left) == 3 and all(r.n <= 20 for r in left)
+
+
 def test_mix_of_odd_rows(spark, odd_docs, no_docs):
     got = mixture(odd_docs).collect()
     assert len(got) == odd_docs.count()
