@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retrocohort.llm.texts import Words, chunks, mixed, rolled, sequence_hash, unused
+from retrocohort.staging import stage
 
 FOUND = "doc_id long, item_id long, start long, n_words long, similarity double"
 
@@ -38,14 +39,16 @@ class Leaks:
     The similarity of a window and an item is the sum over their shingles of the
     smaller number of occurrences, over the sum of the larger one. A text with
     fewer words than one shingle has its whole sequence of words as one, so a
-    short item is found in documents that consist of it. ``slice_bytes`` bounds the
-    benchmark text that is sent to the executors at once; a larger benchmark is
+    short item is found in documents that consist of it. ``slice_bytes`` and
+    ``slice_items`` bound the part of the benchmark that is in the driver and sent
+    to the executors at once (an item's index takes 4 KB); a larger benchmark is
     searched slice by slice.
     """
 
     shingle: int = 5
     percent: int = 80
     slice_bytes: int = 16 << 20
+    slice_items: int = 1 << 14
 
 
 def fingerprints(shingles: np.ndarray) -> np.ndarray:
@@ -90,15 +93,15 @@ def _search(rule: Leaks, items: list[tuple[int, str]]):
         by_length: dict[int, tuple[list[int], list[np.ndarray]]] = defaultdict(lambda: ([], []))
         lengths: dict[int, set[int]] = defaultdict(set)
         short: dict[int, list[int]] = defaultdict(list)
-        for item_id, text in items:
+        for place, (_, text) in enumerate(items):
             raw = np.frombuffer(text.encode(), dtype=np.uint8)
             found, _ = words.hashes(raw, np.array([0, len(raw)]))
             if len(found) < k:
                 if len(found):
-                    short[int(sequence_hash(found)[0])].append(item_id)
+                    short[int(sequence_hash(found)[0])].append(place)
                 continue
             shingles = rolled(found, k)
-            by_length[len(found)][0].append(item_id)
+            by_length[len(found)][0].append(place)
             by_length[len(found)][1].append(shingles)
             for s in shingles.tolist():
                 lengths[s].add(len(found))
@@ -167,7 +170,7 @@ def _search(rule: Leaks, items: list[tuple[int, str]]):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([ids[row] for row, _ in best], pa.int64()),
-                    pa.array([item for _, item in best], pa.int64()),
+                    pa.array([items[place][0] for _, place in best], pa.int64()),
                     pa.array([-back for _, back, _ in best.values()], pa.int64()),
                     pa.array([n for _, _, n in best.values()], pa.int64()),
                     pa.array([s for s, _, _ in best.values()], pa.float64()),
@@ -185,17 +188,21 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, rule: Leaks = Leaks()) ->
     are not read. Words are taken after lower-casing A-Z; ``start`` counts words
     from 0 and is the first of equally similar windows. A document shorter than
     the item is one window. NULL or empty texts and items leak nothing; repeated
-    rows give repeated results.
+    documents give repeated results, repeated items do not; an item_id with
+    several texts counts as several items.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     items = benchmark.where("text is not null").select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
-    slices = max(1, -(-size // rule.slice_bytes))
+    items = items.distinct()
+    size, n = items.agg(F.sum(F.octet_length("text") + 64), F.count(F.lit(1))).first()
+    slices = max(1, -(-(size or 0) // rule.slice_bytes), -(-n // rule.slice_items))
     parts = []
     for s in range(slices):
         part = items if slices == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s)
         rows = [tuple(row) for row in part.collect()]
-        parts.append(texts.mapInArrow(_search(rule, rows), FOUND))
+        found = texts.mapInArrow(_search(rule, rows), FOUND)
+        # written before the next slice is read, so that the driver holds one at a time
+        parts.append(found if slices == 1 else stage(found, f"leaks_{s}"))
     return reduce(DataFrame.unionByName, parts)
 
 

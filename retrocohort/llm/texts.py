@@ -62,13 +62,8 @@ def _byte_values(lower: bool) -> np.ndarray:
     return mixed((code + np.uint64(1)) * np.uint64(_BASE))
 
 
-def polynomial(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the values from each ``begin`` up to before ``end``, by prefix sums modulo 2**64; the number takes part."""
-    n = len(values)
-    prefix = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values * _powers(_STEP, n), out=prefix[1:])
-    found = (prefix[end] - prefix[begin]) * _powers(pow(_STEP, -1, 1 << 64), n)[begin]
-    return mixed(found + (end - begin).astype(np.uint64))
+# A second modulus: sums modulo a power of two alone are equal for certain patterns of two letters, whatever the base.
+_PRIME = (1 << 31) - 1
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -77,28 +72,62 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _residues(base: int, n: int) -> np.ndarray:
+    """Powers modulo the prime."""
+    out = np.ones(n, dtype=np.uint32)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        out[done : done + more] = out[:more].astype(np.uint64) * np.uint64(pow(base, done, _PRIME)) % np.uint64(_PRIME)
+        done += more
+    return out
+
+
+class _Runs:
+    """Hashes of runs of values: polynomials modulo 2**64 and a prime by prefix sums; the length takes part."""
+
+    def __init__(self, n: int):
+        self.grow(n)
+
+    def grow(self, n: int) -> None:
+        self.size = n
+        self._up, self._down = _powers(_STEP, n), _powers(pow(_STEP, -1, 1 << 64), n)
+        self._up_residue, self._down_residue = _residues(_STEP, n), _residues(pow(_STEP, -1, _PRIME), n)
+
+    def hashes(self, values: np.ndarray, residues: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the values from each ``begin`` up to before ``end``; ``residues`` are the values modulo the prime."""
+        n, prime = len(values), np.uint64(_PRIME)
+        if n >= self.size:
+            self.grow(2 * n)
+        prefix = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(values * self._up[:n], out=prefix[1:])
+        first = (prefix[end] - prefix[begin]) * self._down[begin] + (end - begin).astype(np.uint64)
+        terms = residues * self._up_residue[:n]
+        # less than 2**32 each, so the sum of a text's bytes fits
+        terms = (terms & prime) + (terms >> np.uint64(31))
+        np.cumsum(terms, out=prefix[1:])
+        second = (prefix[end] - prefix[begin]) % prime * self._down_residue[begin] % prime
+        return mixed(first + mixed(second + np.uint64(1)))
+
+
+def polynomial(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the values from each ``begin`` up to before ``end``; the number takes part."""
+    return _Runs(len(values) + 1).hashes(values, values % np.uint64(_PRIME), begin, end)
+
+
 class Words:
     """Turns Arrow text into 64-bit word hashes, a chunk of documents at a time."""
 
     def __init__(self, lower: bool):
         self._value = _byte_values(lower)
+        self._residue = self._value % np.uint64(_PRIME)
         self._space = np.zeros(256, dtype=bool)
         self._space[[9, 10, 11, 12, 13, 32]] = True
-        self._grow(CHUNK_BYTES + 1)
-
-    def _grow(self, n: int) -> None:
-        self._up = _powers(_STEP, n)
-        self._down = _powers(pow(_STEP, -1, 1 << 64), n)
+        self._runs = _Runs(CHUNK_BYTES + 1)
 
     def hashes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of all words, and where each document's begin (one more than documents).
-
-        The hash of a word is a polynomial over its bytes, taken from prefix
-        sums modulo 2**64, then mixed.
-        """
+        """Hashes of all words, and where each document's begin (one more than documents)."""
         n = len(data)
-        if n >= len(self._up):
-            self._grow(2 * n)
         inside = ~self._space[data]
         edge = np.zeros(n + 1, dtype=bool)
         edge[offsets] = True
@@ -107,10 +136,7 @@ class Words:
         last = inside.copy()
         last[:-1] &= edge[1:n] | ~inside[1:]
         begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        prefix = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self._value[data] * self._up[:n], out=prefix[1:])
-        found = (prefix[end] - prefix[begin]) * self._down[begin]
-        found = mixed(found + (end - begin).astype(np.uint64))
+        found = self._runs.hashes(self._value[data], self._residue[data], begin, end)
         return found, np.searchsorted(begin, offsets)
 
 

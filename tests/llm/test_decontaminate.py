@@ -76,6 +76,21 @@ def test_slices_give_the_same(spark):
     assert found(got) == brute_force(docs, items)
 
 
+def test_repeated_items_and_slices_by_number(spark):
+    docs, items = planted()
+    twice = [*items, *items, (3, items[5][1])]
+    docs_df = spark.createDataFrame(docs, "doc_id long, text string")
+    items_df = spark.createDataFrame(twice, "item_id long, text string")
+    whole, sliced = (sorted(found_rows(docs_df, items_df, rule)) for rule in (Leaks(), Leaks(slice_items=4)))
+    assert whole == sliced
+    assert set(whole) == brute_force(docs, items) | {(d, 3, *rest) for d, i, *rest in brute_force(docs, items) if i == 5}
+
+
+def found_rows(docs, items, rule):
+    rows = find_leaks(docs, items, rule).collect()
+    return [(r.doc_id, r.item_id, r.start, r.n_words, round(r.similarity, 9)) for r in rows]
+
+
 def test_equals_brute_force_on_the_table(spark):
     docs, items = (table(spark, "/root/testdata/sf0.001", n) for n in ("documents", "benchmark"))
     plain = [tuple(r) for r in docs.select("doc_id", "text").collect()]

@@ -9,7 +9,7 @@ import pytest
 
 from retrocohort.llm.components import components
 from retrocohort.llm.near_dedup import NearDuplicates, drop_near_duplicates, links_within, near_duplicates
-from retrocohort.llm.texts import table
+from retrocohort.llm.texts import Words, polynomial, table
 
 
 def shingles(text, k):
@@ -19,6 +19,37 @@ def shingles(text, k):
     return frozenset(tuple(words[i : i + k]) for i in range(len(words) - k + 1))
 
 
+def alternating(a, b, levels):
+    """A word in which sums modulo a power of two do not tell the two letters apart."""
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(1 << levels))
+
+
+@pytest.mark.parametrize("levels", [10, 12])
+def test_crafted_words_have_hashes_of_their_own(levels):
+    pair = alternating("a", "b", levels), alternating("b", "a", levels)
+    raw = np.frombuffer(" ".join(pair).encode(), dtype=np.uint8)
+    found, _ = Words(lower=True).hashes(raw, np.array([0, len(raw)]))
+    assert len(set(found.tolist())) == 2
+    values = np.frombuffer("".join(pair).encode(), dtype=np.uint8).astype(np.uint64)
+    n = 1 << levels
+    assert len(set(polynomial(values, np.array([0, n]), np.array([n, 2 * n])).tolist())) == 2
+
+
+def test_hashes_do_not_depend_on_the_place_of_a_word():
+    words = [f"w{i % 50}" for i in range(400_000)]
+    raw = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    found, _ = Words(lower=True).hashes(raw, np.array([0, len(raw)]))
+    by_word = {}
+    assert all(by_word.setdefault(w, h) == h for w, h in zip(words, found.tolist(), strict=True))
+    assert len(set(by_word.values())) == 50
+
+
+def test_crafted_documents_are_not_linked(spark):
+    docs = [(i, " ".join([alternating(*letters, 10)] * 5)) for i, letters in enumerate((("a", "b"), ("b", "a")))]
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), NearDuplicates(shingle=3, percent=85))
+    assert found(got) == {(0, 1, 0), (1, 1, 1)}
+
+
 def brute_force(rows, k, percent):
     """{doc_id: (set size, component)} by comparing all pairs."""
     sets = [(i, shingles(t, k)) for i, t in rows if i is not None]
