@@ -11,7 +11,7 @@ table once and matches it with them on person and date.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from functools import cached_property, partial
 
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ from retrocohort.operators import events as E
 from retrocohort.operators import exposure as X
 from retrocohort.operators.persons import merge_covariates
 from retrocohort.sources.schemas import EXTRACTS, require_columns
+from retrocohort.sources.sinks import Saves
 from retrocohort.sources.tables import CdmTables
 from retrocohort.staging import BROADCAST_BYTES, Bloom, Lookup, bloom, lookup, side_by_side, stage, stored
 
@@ -270,6 +271,17 @@ def extract(
     raise ValueError(f"unknown extract type {kind!r}")
 
 
+def resumable(cdm: CdmTables, params: CohortParams, root: str, version: str = "") -> Saves:
+    """Saves for :func:`save_extracts` that a new application goes on with.
+
+    Names come from the tables' files, the parameters that decide about rows,
+    and ``version``, which a caller changes with anything else that matters,
+    such as the definition of a bound DataFrame.
+    """
+    chosen = {k: v for k, v in asdict(params).items() if k != "broadcast_bytes"}
+    return Saves(cdm.spark, root, {"params": chosen, "tables": cdm.digest(), "version": version})
+
+
 def save_extracts(
     cdm: CdmTables,
     params: CohortParams,
@@ -281,9 +293,15 @@ def save_extracts(
 
     The shared tables are built first, those that do not need each other at
     once. The extracts then run as concurrent jobs, as the tail of one leaves
-    room for the next.
+    room for the next. Extracts that ``save`` has from an earlier application
+    (:func:`resumable`) are read, and nothing is staged for them.
     """
     cohort = _cohort(cdm, params, cohort)
+    wanted = kinds
+    earlier = {kind: save.done(kind) for kind in kinds} if isinstance(save, Saves) else {}
+    kinds = [kind for kind in wanted if earlier.get(kind) is None]
+    if not kinds:
+        return {kind: earlier[kind] for kind in wanted}
     cohort.drug_set  # what the steps that run side by side have in common
     steps = [lambda: cohort.days if set(kinds) - {"covariates"} else cohort.ranges]
     steps += [lambda: cohort.wanted_drugs] if "drugs" in kinds else []
@@ -293,7 +311,8 @@ def save_extracts(
     def saved(kind: str) -> DataFrame:
         return save(extract(kind, cdm, params, cohort), kind)
 
-    return dict(zip(kinds, side_by_side(cdm.spark, [partial(saved, k) for k in kinds]), strict=True))
+    made = dict(zip(kinds, side_by_side(cdm.spark, [partial(saved, k) for k in kinds]), strict=True))
+    return {kind: made[kind] if kind in made else earlier[kind] for kind in wanted}
 
 
 _EXTRACT_DATES = {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,3 +38,18 @@ class CdmTables:
         else:
             df = self.spark.table(binding)
         return require_columns(df, SOURCES[name].fieldNames(), name)
+
+    def digest(self) -> str:
+        """A digest of the bound tables' file names.
+
+        It changes when a write adds or replaces files, as Spark names each file
+        anew; not when a file is changed in place. A table without files, made in
+        the application, cannot be told from another and raises.
+        """
+        found = hashlib.sha256()
+        for name in sorted(self._names):
+            files = sorted(self.get(name).inputFiles())
+            if not files:
+                raise ValueError(f"{name!r} is not stored in files")
+            found.update("\n".join([name, *files, ""]).encode())
+        return found.hexdigest()

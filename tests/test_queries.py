@@ -10,12 +10,14 @@ import pytest
 import __spark_entry__ as entry_point
 from retrocohort import staging
 from retrocohort.operators.events import bounded_values
-from retrocohort.plans.extracts import Cohort, extract, save_extracts
+from retrocohort.plans.extracts import Cohort, extract, resumable, save_extracts
+from retrocohort.sources import sinks
 from retrocohort.sources.sinks import save_extract
 from retrocohort.sources.star_schema import VIEW_SQL
 from retrocohort.sources.tables import CdmTables
 from retrocohort.staging import stage_path
 from tests.compare import oracle_connection, oracle_result, spark_result
+from tests.conftest import rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -212,6 +214,43 @@ def test_extracts_saved_under_chosen_names(spark, study, tmp_path):
         save_extracts(study.cdm, study.params, study.cohort, ["covariates"], save)
 
 
+def test_extracts_go_on_where_a_lost_driver_stopped(spark, study, tmp_path, monkeypatch):
+    kinds = ["covariates", "drugs", "biomarkers"]
+    saves = resumable(study.cdm, study.params, str(tmp_path))
+    whole = save_extracts(study.cdm, study.params, study.cohort, kinds)
+
+    # the first application finishes one extract and is lost while it writes another
+    save_extracts(study.cdm, study.params, study.cohort, kinds[:1], saves)
+    whole["drugs"].limit(1).write.parquet(f"{saves.folder('drugs')}/lost")
+    (tmp_path / saves.folder("drugs") / "lost" / "_SUCCESS").unlink()
+    first = saves.done("covariates").inputFiles()
+
+    written = []
+    save = sinks.save_extract
+    monkeypatch.setattr(sinks, "save_extract", lambda df, target: written.append(target) or save(df, target))
+    again = resumable(study.cdm, dataclasses.replace(study.params, broadcast_bytes=0), str(tmp_path))
+    saved = save_extracts(study.cdm, study.params, study.cohort, kinds, again)
+    assert list(saved) == kinds and len(written) == 2
+    assert saved["covariates"].inputFiles() == first
+    assert {k: rows(df) for k, df in saved.items()} == {k: rows(df) for k, df in whole.items()}
+
+    # a third has nothing to do: no table is read for the cohort
+    idle = Cohort(study.cdm, study.params)
+    save_extracts(study.cdm, study.params, idle, kinds, again)
+    assert len(written) == 2 and "drug_set" not in vars(idle)
+
+
+def test_other_parameters_or_inputs_are_other_saves(spark, study, tmp_path):
+    def folder(cdm=study.cdm, version="", **changed):
+        return resumable(cdm, dataclasses.replace(study.params, **changed), str(tmp_path), version).folder("drugs")
+
+    own = folder()
+    assert own == folder(broadcast_bytes=1)
+    assert len({own, folder(window_months=6), folder(version="2"), folder(entry_point.Study(spark, "/root/testdata/sf0.01").cdm)}) == 4
+    with pytest.raises(ValueError, match="files"):
+        CdmTables(spark, {"concept": spark.createDataFrame([], study.get("concept").schema)}).digest()
+
+
 def test_the_upper_bound_is_the_callers_choice(study):
     with pytest.raises(TypeError, match="upper_bound"):
         type(study.params)(drug_concept_id=1, biomarker_concept_id=2)
