@@ -117,7 +117,7 @@ def test_shuffled_query_equals_its_sql(shuffled, no_automatic_broadcast, connect
     assert spark_result(df) == oracle_result(connection, entry_point.oracle_sql()[name])
 
 
-@pytest.mark.parametrize("name", ["selected_drugs"])
+@pytest.mark.parametrize("name", ["selected_drugs", "saved_extract"])
 def test_the_drugs_are_those_of_the_indication_and_the_target_in_the_whole_window(study, name):
     assert spark_result(entry_point.QUERIES[name](study)) == spark_result(entry_point.QUERIES["drugs_extract_selected"](study))
 
