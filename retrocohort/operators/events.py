@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retrocohort.staging import Lookup
+from retrocohort.staging import Lookup, join_side
 
 OUTPATIENT_VISIT = 9202
 
@@ -32,8 +32,7 @@ def of_concepts(events: DataFrame, column: str, concepts: Lookup) -> DataFrame:
     if listed:
         return events.where(F.col(column).isin(listed))
     side = concepts.table.select(F.col("concept_id").alias(column))
-    side = F.broadcast(side) if concepts.small else side
-    return events.join(side, column, "left_semi")
+    return events.join(join_side(side, concepts.small), column, "left_semi")
 
 
 def bounded_values(measurements: DataFrame, upper: float, lower: float = 0) -> DataFrame:
@@ -84,7 +83,7 @@ def at_outpatient_visit(
     """
     # every day has a visit; a filter on the side lets the optimiser prune partitions by its dates
     side = days.table.where(F.col("n_visits") > 0).withColumnRenamed("visit_start_date", date_column)
-    side = F.broadcast(side) if days.small else side
+    side = join_side(side, days.small)
     keys = ["person_id", date_column]
     events = days.within(events, date_column, "visit_start_date")
     if keep_duplicates:
@@ -119,7 +118,7 @@ def in_window(
     by_month = ranges.withColumn("_month", F.explode(months))
     return (
         events.withColumn("_month", F.trunc(F.col(date_column), "month"))
-        .join(by_month, ["person_id", "_month"])
+        .join(join_side(by_month, False), ["person_id", "_month"])
         .where(inside)
         .drop("_month")
     )
@@ -128,7 +127,7 @@ def in_window(
 def with_codes(conditions: DataFrame, codes: Lookup) -> DataFrame:
     """Conditions whose source concept is on the code list, repeats kept."""
     side = codes.table.withColumnRenamed("concept_id", "condition_source_concept_id")
-    side = F.broadcast(side) if codes.small else side
+    side = join_side(side, codes.small)
     conditions = codes.within(conditions, "condition_source_concept_id", "concept_id")
     return conditions.join(side, "condition_source_concept_id").select(
         "person_id",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from retrocohort.functions.scalars import age_years, days_between
 from retrocohort.operators.concepts import exclude_concepts
 from retrocohort.operators.events import in_window
-from retrocohort.staging import Lookup
+from retrocohort.staging import Lookup, join_side
 
 MIN_EXPOSURE_DAYS = 30
 MIN_AGE = 18
@@ -25,7 +25,7 @@ def window_with_span(drugs: DataFrame, covariates: DataFrame) -> DataFrame:
     spans = covariates.select(
         "person_id", "drug_concept_id", "first_drug_exposure", "last_drug_exposure"
     ).distinct()
-    return windows.join(spans, "person_id")
+    return windows.join(join_side(spans, False), "person_id")
 
 
 def _exposure_days():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retrocohort.operators.summaries import stage_counts
+from retrocohort.staging import join_side
 
 
 def persons_in_all(*frames: DataFrame) -> DataFrame:
@@ -31,7 +32,7 @@ def persons_in_all(*frames: DataFrame) -> DataFrame:
 
 def restrict_to(df: DataFrame, keys: DataFrame, on: str = "person_id") -> DataFrame:
     """Rows of ``df`` whose ``on`` value occurs in ``keys``; rows never multiply."""
-    return df.join(keys.select(on).distinct(), on, "left_semi")
+    return df.join(join_side(keys.select(on).distinct(), False), on, "left_semi")
 
 
 def distinct_persons(**frames: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import pytest
 import __spark_entry__ as entry_point
 from retrocohort import staging
 from retrocohort.operators.events import bounded_values
+from retrocohort.operators.periods import window_with_span
+from retrocohort.operators.persons import restrict_to
 from retrocohort.plans.extracts import Cohort, extract, resumable, save_extracts
 from retrocohort.sources import sinks
 from retrocohort.sources.sinks import save_extract
@@ -117,6 +119,48 @@ def test_shuffled_query_equals_its_sql(shuffled, no_automatic_broadcast, connect
     assert spark_result(df) == oracle_result(connection, entry_point.oracle_sql()[name])
 
 
+@pytest.fixture(scope="module")
+def stored_and_shuffled(spark):
+    """A study over stored views, short by their files, in which nothing is measured as small enough to broadcast."""
+    study = _study(spark, -1)
+    paths = {name: stage_path(spark, name) for name in VIEW_SQL}
+    for name, path in paths.items():
+        study.get(name).write.parquet(path)
+    study.cdm = CdmTables(spark, paths)
+    study.cohort = Cohort(study.cdm, study.params)
+    return study
+
+
+UNFOLDED = [
+    "events_in_window",
+    "drugs_extract_all",
+    "drugs_extract_selected",
+    "selected_drugs",
+    "biomarkers_extract",
+    "conditions_extract",
+    "covariates_extract",
+    "person_covariates",
+    "restricted_drugs",
+    "drug_ingredients",
+    "adult_covariates",
+    "period_exposures",
+    "biomarker_change",
+]
+
+
+@pytest.mark.parametrize("name", UNFOLDED)
+def test_short_files_are_not_broadcast_beyond_the_bound(stored_and_shuffled, connection, name):
+    df = entry_point.QUERIES[name](stored_and_shuffled)
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert spark_result(df) == oracle_result(connection, entry_point.oracle_sql()[name])
+
+
+def test_windows_and_spans_of_saved_extracts_are_not_broadcast(stored_and_shuffled):
+    study = stored_and_shuffled
+    spans = restrict_to(window_with_span(study.drugs, study.covariates), study.analysis.overlap)
+    assert "Broadcast" not in spans._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", ["selected_drugs", "saved_extract"])
 def test_the_drugs_are_those_of_the_indication_and_the_target_in_the_whole_window(study, name):
     assert spark_result(entry_point.QUERIES[name](study)) == spark_result(entry_point.QUERIES["drugs_extract_selected"](study))
