@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from retrocohort.staging import join_side
+
 DRUG_DOMAIN = "Drug"
 MEASUREMENT_DOMAIN = "Measurement"
 
@@ -12,14 +14,17 @@ MEASUREMENT_DOMAIN = "Measurement"
 def concept_set(
     concepts: DataFrame, ancestors: DataFrame, ancestor_id: int, domain: str
 ) -> DataFrame:
-    """Concepts of one domain below ``ancestor_id``: concept_id, concept_name."""
+    """Concepts of one domain below ``ancestor_id``: concept_id, concept_name.
+
+    The descendants are not measured, so they are a shuffled join side.
+    """
     below = ancestors.where(F.col("ancestor_concept_id") == F.lit(int(ancestor_id))).select(
         F.col("descendant_concept_id").alias("concept_id")
     )
     return (
         concepts.where(F.col("domain_id") == F.lit(domain))
         .select("concept_id", "concept_name")
-        .join(below, "concept_id", "left_semi")
+        .join(join_side(below, False), "concept_id", "left_semi")
         .distinct()
     )
 

@@ -9,6 +9,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from retrocohort import staging
+from retrocohort.operators.concepts import DRUG_DOMAIN, concept_set
 from retrocohort.operators.events import bounded_values
 from retrocohort.operators.periods import window_with_span
 from retrocohort.operators.persons import restrict_to
@@ -161,6 +162,16 @@ def test_windows_and_spans_of_saved_extracts_are_not_broadcast(stored_and_shuffl
     assert "Broadcast" not in spans._jdf.queryExecution().executedPlan().toString()
 
 
+def test_descendants_of_a_concept_are_not_broadcast(spark, frame, tmp_path):
+    concepts = [(1, "a", "Drug"), (1, "a", "Drug"), (1, "b", "Drug"), (2, "c", "Measurement"), (3, None, "Drug"), (4, "d", "Drug"), (None, "e", "Drug")]
+    frame(concepts, "concept_id long, concept_name string, domain_id string").write.parquet(f"{tmp_path}/concept")
+    below = [(9, 1), (9, 1), (9, 2), (9, 3), (8, 4), (9, None), (None, 4)]
+    frame(below, "ancestor_concept_id long, descendant_concept_id long").write.parquet(f"{tmp_path}/ancestor")
+    found = concept_set(spark.read.parquet(f"{tmp_path}/concept"), spark.read.parquet(f"{tmp_path}/ancestor"), 9, DRUG_DOMAIN)
+    assert rows(found) == [(1, "a"), (1, "b"), (3, None)]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", ["selected_drugs", "saved_extract"])
 def test_the_drugs_are_those_of_the_indication_and_the_target_in_the_whole_window(study, name):
     assert spark_result(entry_point.QUERIES[name](study)) == spark_result(entry_point.QUERIES["drugs_extract_selected"](study))
