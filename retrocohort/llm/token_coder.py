@@ -2,7 +2,9 @@
 
 Blocks have the same number of ids and start from the same empty model, so any
 block can be decoded by itself. All blocks of a call advance together, one id
-at a time, which makes every step a handful of array operations.
+at a time, which makes every step a handful of array operations. The encoder
+knows the ids and does what does not depend on the step before for many steps
+at once.
 
 Each id is predicted three ways. Order 2 and order 1 remember the id that last
 followed the two, or one, ids before, with a confidence from 0 to 3. Order 0
@@ -13,222 +15,299 @@ is another, its two bytes are coded with order 0's frequencies. Frequencies are
 renewed from the counts after 8, 16, 32 and every 64 ids. A remembered id loses
 confidence before another replaces it. Order 0 works on bytes, the high and the
 low one independently, not on ids.
+
+The three frequencies of an id are multiplied to one span of 42 bits, by which
+the interval is narrowed once. Carries stay in the words and are settled at the
+end of a block, so the decoder needs the interval's width alone.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LIMIT = 1 << 16  # ids have two bytes
 _BITS = 14  # of all frequencies
 _ONE = 1 << _BITS
+_TWO = np.int64(2 * _BITS)
 _EARLY, _RENEW = (8, 16, 32), 64
+_TOGETHER = 16  # steps that the encoder prepares at once
 _GAIN = 16  # weight of a byte that was seen, against 1 of every other
 _SLOTS = 10
-_SHIFT, _WORD, _TOP = np.uint64(_BITS), np.uint64(16), np.uint64(48)
-# Least width before an id. Its three parts take 42 of these 48 bits at most.
-_LEAST = np.uint64(1 << 48)
+_MASK = (1 << _SLOTS) - 1
+_UNIT, _WORD, _TOP = np.uint64(3 * _BITS), np.uint64(16), np.uint64(47)
+# Least width before an id; the greatest is 2**16 of it, so a low end with its carry has 64 bits.
+_LEAST = np.uint64(1 << 47)
+_BELOW = _LEAST - np.uint64(1)
+_EIGHT = 8  # bytes between the bounds that a search compares first
 
-# Bounds of a byte's 256 symbols, then the bounds 0 and _ONE of the symbol _NONE, which costs nothing.
-_ROW, _NONE = 260, 257
 
+def _periods(length: int) -> Iterator[tuple[int, int]]:
+    """Places between two renewals of the frequencies."""
+    cuts = [0, *_EARLY, *range(_RENEW, length, _RENEW)]
+    cuts = [*(c for c in cuts if c < length), length]
+    yield from zip(cuts, cuts[1:], strict=False)
 
-class _Bytes:
-    """Order-0 frequencies of the high and the low bytes, as bounds of spans."""
 
-    def __init__(self, n: int):
-        self.n = n
-        self.count = np.ones((2 * n, 256), dtype=np.int32)
-        self.bounds = np.zeros((2 * n, _ROW), dtype=np.int16)
-        self.bounds[:, _NONE + 1] = _ONE
-        self.flat = self.bounds.reshape(-1)
-        self.base = (np.arange(2 * n) * _ROW).reshape(2, n)
-        self.renew(np.zeros(0, dtype=np.int64))
-
-    def renew(self, seen: np.ndarray) -> None:
-        """Counts the places of symbols in ``flat``."""
-        if seen.size:
-            times = np.bincount(seen.reshape(-1), minlength=self.flat.size).astype(np.int32)
-            self.count += times.reshape(-1, _ROW)[:, :256] * np.int32(_GAIN)
-        # a reciprocal with 10 binary places; products stay below 25 bits
-        scale = ((_ONE - 256) << 10) // self.count.sum(axis=1, dtype=np.int64)
-        share = ((self.count * scale.astype(np.int32)[:, None]) >> 10).astype(np.int16) + np.int16(1)
-        np.cumsum(share, axis=1, dtype=np.int16, out=self.bounds[:, 1:257])
-        coarse = self.bounds[:, 16:256:16].reshape(2, self.n, 15)
-        self.coarse = np.ascontiguousarray(coarse.transpose(0, 2, 1))
-        self.last = self.bounds[:, 256].reshape(2, self.n) - np.int16(1)
-
-    def find(self, part: int, value: np.ndarray) -> np.ndarray:
-        """Places in ``flat`` of the symbols whose spans hold the values: by sixteenths, then by halves."""
-        value = np.minimum(value, self.last[part].astype(np.uint64)).astype(np.int16)
-        first = (self.coarse[part] <= value).view(np.int8).sum(axis=0, dtype=np.int8)
-        at = self.base[part] + (first.astype(np.int64) << 4)
-        for half in (8, 4, 2, 1):
-            at += (self.flat.take(at + half) <= value) * half
-        return at
-
-
-class _Model:
-    """What the ids so far say about the next one, for ``n`` blocks."""
+class _Frequencies:
+    """Frequencies of events and bytes as bounds of spans, for ``n`` blocks; blocks are the last axis."""
 
     def __init__(self, n: int):
         self.n = n
-        self.slot_base = np.arange(n) << _SLOTS
-        self.tables = [np.zeros(n << _SLOTS, dtype=np.int32) for _ in range(2)]
-        # times of each event by block and both confidences
-        self.events = np.ones((n, 4, 4, 3), dtype=np.int64)
-        self.bounds = np.zeros((n, 4, 4, 4), dtype=np.int16)
-        self.bounds[..., 3] = _ONE
+        self.lane = np.arange(n)
+        # a row for each symbol; the high byte of every block, then the low one
+        self.count = np.ones((256, 2 * n), dtype=np.int32)
+        self.total = np.full(n, 256, dtype=np.int64)
+        self.bounds = np.zeros((257, 2 * n), dtype=np.int16)
         self.flat = self.bounds.reshape(-1)
-        self.lane = np.arange(n) << 6
-        self.bytes = _Bytes(n)
-        self.seen_events = np.empty((_RENEW, n), dtype=np.int64)
-        self.seen_bytes = np.empty((_RENEW, 2, n), dtype=np.int64)
-        self.last = np.zeros(n, dtype=np.int64)
-        self.before = np.zeros(n, dtype=np.int64)
-        self.steps = self.kept = 0
-        self.mix()
-
-    def mix(self) -> None:
-        by_two = self.events.sum(axis=2, keepdims=True)
-        by_one = self.events.sum(axis=1, keepdims=True)
-        whole = self.events.sum(axis=(1, 2), keepdims=True)
-        mixed = (by_two << 2) + (by_one << 1) + whole
-        share = mixed * (_ONE - 3) // mixed.sum(axis=3, keepdims=True) + 1
-        self.bounds[..., 1] = share[..., 0]
-        self.bounds[..., 2] = share[..., 0] + share[..., 1]
-
-    def predict(self) -> np.ndarray:
-        """Places in ``flat`` of the first event's span; the guesses are kept."""
-        mask = (1 << _SLOTS) - 1
-        one = self.last * 40503
-        two = one + self.before * 60493
-        self.at = (self.slot_base + ((two >> 5) & mask), self.slot_base + ((one >> 5) & mask))
-        self.slots = tuple(t.take(at) for t, at in zip(self.tables, self.at, strict=True))
-        self.guesses = tuple(s >> 2 for s in self.slots)
-        self.sure = tuple(s & 3 for s in self.slots)
-        return self.lane + ((self.sure[0] << 4) + (self.sure[1] << 2))
-
-    def learn(self, ids: np.ndarray, event_at: np.ndarray, bytes_at: np.ndarray) -> None:
-        """The ids that came, and the places of their event and of their bytes."""
-        fresh = (ids << 2).astype(np.int32)
-        for table, at, slot, guess, sure in zip(
-            self.tables, self.at, self.slots, self.guesses, self.sure, strict=True
-        ):
-            wrong = np.where(sure > 0, slot - 1, fresh)
-            table[at] = np.where(guess == ids, slot + (sure < 3), wrong)
-        self.seen_events[self.kept] = event_at
-        self.seen_bytes[self.kept] = bytes_at
-        self.before, self.last = self.last, ids
-        self.steps += 1
-        self.kept += 1
-        if self.steps in _EARLY or self.steps % _RENEW == 0:
-            times = np.bincount(self.seen_events[: self.kept].reshape(-1), minlength=self.flat.size)
-            self.events += times.reshape(self.n, 4, 4, 4)[..., :3]
-            self.mix()
-            self.bytes.renew(self.seen_bytes[: self.kept])
-            self.kept = 0
-
-
-class _Range:
-    """The interval of each block, as its low end and width."""
+        self.begin = np.arange(2 * n).reshape(2, n)
+        # times of each event by both confidences
+        self.times = np.ones((3, 4, 4, n))
+        self.events = np.zeros((4, 4, 4, n), dtype=np.int16)
+        self.events[3] = _ONE
+        self.flat_events = self.events.reshape(-1)
+        self._mix()
+        self._share()
+
+    def _mix(self) -> None:
+        # whole numbers below 2**45 as doubles, so quotients are exact after floor
+        by_two = self.times.sum(axis=2, keepdims=True)
+        by_one = self.times.sum(axis=1, keepdims=True)
+        mixed = by_two * 4 + by_one * 2 + by_two.sum(axis=1, keepdims=True)
+        whole = mixed.sum(axis=0)
+        share = np.floor(mixed[:2] * (_ONE - 3) / whole) + 1
+        self.events[1] = share[0]
+        self.events[2] = share[0] + share[1]
+
+    def _share(self) -> None:
+        # a reciprocal with 16 binary places; products stay below 31 bits and their upper half is the share
+        scale = np.tile((((_ONE - 256) << 16) // self.total).astype("<i4"), 2)
+        bounds, product = self.bounds, np.empty((16, 2 * self.n), dtype="<i4")
+        share = product.view("<i2")[:, 1::2]
+        for first in range(0, 256, 16):
+            np.multiply(self.count[first : first + 16], scale, out=product)
+            more = share + np.int16(1)
+            for i in range(16):
+                np.add(bounds[first + i], more[i], out=bounds[first + i + 1])
+        # of each part, every eighth bound and the greatest value that a search may have
+        self.coarse = [np.ascontiguousarray(x) for x in np.split(bounds[_EIGHT:256:_EIGHT], 2, axis=1)]
+        self.last = np.split((bounds[256] - np.int16(1)).astype(np.int64), 2)
+
+    def renew(self, events: np.ndarray, high: np.ndarray, low: np.ndarray, missed: np.ndarray) -> None:
+        """Counts places in ``flat_events`` and ``count``, and bytes of each block."""
+        self.times += np.bincount(events, minlength=self.times.size).reshape(self.times.shape)
+        count = self.count.reshape(-1)
+        np.add.at(count, high, np.int32(_GAIN))
+        np.add.at(count, low, np.int32(_GAIN))
+        self.total += missed * _GAIN
+        self._mix()
+        self._share()
+
+    def find(self, part: int, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Symbols whose spans hold the values, their first bounds and sizes: by eighths, then by halves."""
+        two = 2 * self.n
+        value = np.minimum(value, self.last[part]).astype(np.int16)
+        above = (self.coarse[part] <= value).view(np.int8).sum(axis=0, dtype=np.int8)
+        at = above * np.int64(_EIGHT * two)
+        at += self.begin[part]
+        for half in (4, 2, 1):
+            later = at + half * two
+            at = np.where(self.flat.take(later, mode="clip") <= value, later, at)
+        first = self.flat.take(at, mode="clip").astype(np.int64)
+        return at // two, first, self.flat.take(at + two, mode="clip") - first
+
+
+class _Memory:
+    """The ids that last followed contexts: order 2 of every block, then order 1."""
 
     def __init__(self, n: int):
-        self.low = np.zeros(n, dtype=np.uint64)
-        self.width = np.full(n, np.iinfo(np.uint64).max, dtype=np.uint64)
-
-    def narrow(self, unit: np.ndarray, flat: np.ndarray, at: np.ndarray) -> None:
-        """To the span between a bound and the next one."""
-        start = flat.take(at)
-        size = flat.take(at + 1) - start
-        self.low += unit * start.astype(np.uint64)
-        self.width = unit * size.astype(np.uint64)
-
-    def settled(self):
-        """Shifts out words until every interval has the least width.
-
-        An interval that lies across two words is cut at the border between
-        them. Gives the blocks that shift and their low ends before it.
-        """
-        at = np.flatnonzero(self.width < _LEAST)
-        low, width = self.low[at], self.width[at]
-        while len(at):
-            across = (low ^ (low + width)) >= _LEAST
-            yield at, low
-            width = np.where(across, (~low + np.uint64(1)) & (_LEAST - np.uint64(1)), width) << _WORD
-            low = low << _WORD
-            self.low[at], self.width[at] = low, width
-            more = np.flatnonzero(width < _LEAST)
-            at, low, width = at[more], low[more], width[more]
+        self.base = np.arange(2 * n) << _SLOTS
+        self.table = np.zeros(2 * n << _SLOTS, dtype=np.int32)
+
+    def look(self, at: np.ndarray, out: np.ndarray) -> None:
+        self.table.take(at, out=out, mode="clip")
+
+    def learn(self, at: np.ndarray, slot: np.ndarray, fresh: np.ndarray) -> None:
+        """``fresh`` is the id that came, without confidence."""
+        up = np.minimum(slot + 1, fresh | 3)
+        down = np.where(slot & 3, slot - 1, fresh)
+        self.table[at] = np.where((slot ^ fresh) < 4, up, down)
 
 
 def encode(ids: np.ndarray) -> list[bytes]:
     """Codes of the rows of ``ids`` (blocks by places), each id below ``LIMIT``."""
     n, length = ids.shape
-    model, span = _Model(n), _Range(n)
-    order0 = model.bytes
-    step = 5 * length + 8
-    out = np.zeros(n * step, dtype=np.uint16)
+    model, memory = _Frequencies(n), _Memory(n)
+    lanes, two = np.tile(model.lane, _TOGETHER), 2 * n
+    rows = np.zeros((length + 2, n), dtype=np.int64)  # two ids before the first
+    rows[2:] = ids.T
+    low, width = np.zeros(n, dtype=np.uint64), np.full(n, 1 << 63, dtype=np.uint64)
+    step = 3 * length + 8
+    out = np.zeros(n * step, dtype=np.uint32)
     used = np.arange(n) * step
-    symbols = np.empty((2, n), dtype=np.int64)
-    for now in np.ascontiguousarray(ids.T.astype(np.int64)):
-        event_at = model.predict()
-        other = now != model.guesses[0]
-        miss = other & (now != model.guesses[1])
-        event_at = event_at + (other.view(np.int8) + miss.view(np.int8))
-        span.narrow(span.width >> _SHIFT, model.flat, event_at)
-        np.right_shift(now, 8, out=symbols[0])
-        np.bitwise_and(now, 255, out=symbols[1])
-        bytes_at = order0.base + np.where(miss, symbols, _NONE)
-        for at in bytes_at:
-            span.narrow(span.width >> _SHIFT, order0.flat, at)
-        model.learn(now, event_at, bytes_at)
-        for at, low in span.settled():
-            place = used[at]
-            out[place] = (low >> _TOP).astype(np.uint16)
-            used[at] = place + 1
-    for shift in (48, 32, 16, 0):
-        out[used] = (span.low >> np.uint64(shift)).astype(np.uint16)
+    unit, part = np.empty(n, dtype=np.uint64), np.empty(n, dtype=np.uint64)
+    for begin, end in _periods(length):
+        seen, highs, lows, missed = [], [], [], np.zeros(n, dtype=np.int64)
+        for a in range(begin, end, _TOGETHER):
+            k = min(a + _TOGETHER, end) - a
+            now = rows[a + 2 : a + 2 + k]
+            at = np.empty((k, 2, n), dtype=np.int64)
+            np.multiply(rows[a + 1 : a + 1 + k], 40503, out=at[:, 1])
+            np.multiply(rows[a : a + k], 60493, out=at[:, 0])
+            at[:, 0] += at[:, 1]
+            at >>= 5
+            at &= _MASK
+            at = at.reshape(k, two)
+            at += memory.base
+            fresh = np.empty((k, 2, n), dtype=np.int32)
+            fresh[:] = (now << 2)[:, None]
+            slots = np.empty((k, two), dtype=np.int32)
+            for i, new in enumerate(fresh.reshape(k, two)):
+                memory.look(at[i], slots[i])
+                memory.learn(at[i], slots[i], new)
+            slots = slots.reshape(k, 2, n)
+            wrong = (slots ^ fresh) > 3
+            other, miss = wrong[:, 0], wrong[:, 0] & wrong[:, 1]
+            event = ((slots[:, 0] & 3) << 2) + (slots[:, 1] & 3)
+            event += (other.view(np.int8) + miss.view(np.int8)) * np.int32(16)
+            event_at = event * np.int64(n)
+            event_at += model.lane
+            start = model.flat_events.take(event_at).astype(np.int64)
+            size = model.flat_events.take(event_at + 16 * n) - start
+            start <<= _TWO
+            missing = np.flatnonzero(miss)
+            blocks, symbols = lanes.take(missing), now.reshape(-1)[missing]
+            high_at = (symbols >> 8) * two + blocks
+            low_at = (symbols & 255) * two + (blocks + n)
+            high, low_byte = (model.flat.take(x).astype(np.int64) for x in (high_at, low_at))
+            high_size = model.flat.take(high_at + two) - high
+            low_size = model.flat.take(low_at + two) - low_byte
+            whole = size.reshape(-1)[missing]
+            start.reshape(-1)[missing] += ((high << _BITS) + low_byte * high_size) * whole
+            size <<= _TWO
+            size.reshape(-1)[missing] = whole * high_size * low_size
+            seen.append(event_at.reshape(-1))
+            highs.append(high_at)
+            lows.append(low_at)
+            missed += miss.sum(axis=0)
+            for first, share in zip(start.view(np.uint64), size.view(np.uint64), strict=True):
+                np.right_shift(width, _UNIT, out=unit)
+                np.multiply(unit, first, out=part)
+                np.add(low, part, out=low)
+                np.multiply(unit, share, out=width)
+                short = width < _LEAST
+                out[used] = low >> _TOP
+                low = np.where(short, (low & _BELOW) << _WORD, low)
+                width = np.where(short, width << _WORD, width)
+                used += short
+                again = np.flatnonzero(width < _LEAST)
+                while len(again):
+                    value, left, place = low[again], width[again] << _WORD, used[again]
+                    out[place] = value >> _TOP
+                    low[again] = (value & _BELOW) << _WORD
+                    width[again] = left
+                    used[again] = place + 1
+                    again = again[left < _LEAST]
+        if end < length:
+            model.renew(*(np.concatenate(x) for x in (seen, highs, lows)), missed)
+    out[used] = low >> _TOP
+    for shift in (31, 15, -1):
         used += 1
-    return [out[i * step : k].astype("<u2").tobytes() for i, k in enumerate(used.tolist())]
+        out[used] = (low >> np.uint64(shift) if shift > 0 else low << np.uint64(1)) & np.uint64(65535)
+    used += 1
+    used -= np.arange(n) * step
+    words = out.reshape(n, step)[:, : int(used.max(initial=0))].copy()
+    flat = words.reshape(-1)
+    over = np.flatnonzero(flat >> 16)
+    while len(over):
+        flat[over] &= 65535
+        flat[over - 1] += 1
+        over = over[flat[over - 1] > 65535] - 1
+    words = words.astype("<u2")
+    return [words[i, :k].tobytes() for i, k in enumerate(used.tolist())]
 
 
 def decode(codes: list[bytes], length: int) -> np.ndarray:
     """The ids of :func:`encode`."""
     n = len(codes)
-    model, span = _Model(n), _Range(n)
-    order0 = model.bytes
+    model, memory = _Frequencies(n), _Memory(n)
+    lane, flat_events, lanes = model.lane, model.flat_events, np.tile(model.lane, _RENEW)
     sizes = [len(c) // 2 for c in codes]
-    step = max(sizes, default=0) + 4
+    step = max(sizes, default=0) + 6
     words = np.zeros((n, step), dtype=np.uint16)
     for i, c in enumerate(codes):
         words[i, : sizes[i]] = np.frombuffer(c, dtype="<u2")
-    code = np.zeros(n, dtype=np.uint64)
-    for place in range(4):
-        code = (code << _WORD) | words[:, place]
+    rest = np.zeros(n, dtype=np.uint64)
+    for place, shift in enumerate((47, 31, 15)):
+        rest |= words[:, place].astype(np.uint64) << np.uint64(shift)
+    rest |= words[:, 3].astype(np.uint64) >> np.uint64(1)
+    # an interval has 63 bits: later words begin one bit before their place
     flat = words.reshape(-1)
-    used = np.arange(n) * step + 4
+    flat[:-1] = (flat[:-1] << 15) | (flat[1:] >> 1)
+    used = np.arange(n) * step + 3
+    width = np.full(n, 1 << 63, dtype=np.uint64)
     out = np.zeros((length, n), dtype=np.int64)
-    for place in range(length):
-        event_at = model.predict()
-        unit = span.width >> _SHIFT
-        rest = code - span.low
-        other = rest >= unit * model.flat.take(event_at + 1).astype(np.uint64)
-        miss = rest >= unit * model.flat.take(event_at + 2).astype(np.uint64)
-        event_at = event_at + (other.view(np.int8) + miss.view(np.int8))
-        span.narrow(unit, model.flat, event_at)
-        bytes_at = []
-        for part in (0, 1):
-            unit = span.width >> _SHIFT
-            at = order0.find(part, (code - span.low) // unit)
-            bytes_at.append(np.where(miss, at, order0.base[part] + _NONE))
-            span.narrow(unit, order0.flat, bytes_at[part])
-        high, low = (at - base for at, base in zip(bytes_at, order0.base, strict=True))
-        now = np.where(miss, (high << 8) | low, np.where(other, model.guesses[1], model.guesses[0]))
-        out[place] = now
-        model.learn(now, event_at, bytes_at)
-        for at, _ in span.settled():
-            where = used[at]
-            code[at] = (code[at] << _WORD) | flat.take(where)
-            used[at] = where + 1
+    at, slots = np.empty((2, n), dtype=np.int64), np.empty(2 * n, dtype=np.int32)
+    order2, order1 = slots[:n], slots[n:]
+    fresh = np.empty((2, n), dtype=np.int32)
+    now = before = np.zeros(n, dtype=np.int64)
+    for begin, end in _periods(length):
+        k = end - begin
+        seen = np.empty((k, n), dtype=np.int64)
+        misses = np.empty((k, n), dtype=bool)
+        for i in range(k):
+            np.multiply(now, 40503, out=at[1])
+            np.add(at[1], before, out=at[0])
+            before = now * 60493
+            np.right_shift(at, 5, out=at)
+            np.bitwise_and(at, _MASK, out=at)
+            where = at.reshape(-1) + memory.base
+            memory.look(where, slots)
+            sure = slots & 3
+            event_at = ((sure[:n] << 2) + sure[n:]) * np.int64(n)
+            event_at += lane
+            first = flat_events.take(event_at + 16 * n).astype(np.int64)
+            second = flat_events.take(event_at + 32 * n).astype(np.int64)
+            unit = width >> _UNIT
+            value = (rest // unit).view(np.int64)
+            event = value >> _TWO
+            other, miss = event >= first, event >= second
+            event_at += (other.view(np.int8) + miss.view(np.int8)) * np.int64(16 * n)
+            start = np.where(miss, second, first * other)
+            size = np.where(miss, _ONE, np.where(other, second, first))
+            size -= start
+            # quotients of whole numbers below 2**43 by less than 2**15, exact after floor
+            inside = value - (start << _TWO)
+            inside = (inside / size).astype(np.int64)
+            high, high_first, high_size = model.find(0, inside >> _BITS)
+            inside -= high_first << _BITS
+            low, low_first, low_size = model.find(1, (inside / high_size).astype(np.int64))
+            begins = ((high_first << _BITS) + low_first * high_size) * miss
+            begins *= size
+            begins += start << _TWO
+            size *= np.where(miss, high_size * low_size, 1 << (2 * _BITS))
+            rest -= unit * begins.view(np.uint64)
+            width = unit * size.view(np.uint64)
+            now = np.where(miss, (high << 8) | low, np.where(other, order1, order2) >> 2)
+            out[begin + i] = now
+            fresh[:] = now << 2
+            memory.learn(where, slots, fresh.reshape(-1))
+            seen[i], misses[i] = event_at, miss
+            short = width < _LEAST
+            rest = np.where(short, (rest << _WORD) | flat.take(used, mode="clip"), rest)
+            width = np.where(short, width << _WORD, width)
+            used += short
+            again = np.flatnonzero(width < _LEAST)
+            while len(again):
+                place, left = used[again], width[again] << _WORD
+                rest[again] = (rest[again] << _WORD) | flat.take(place, mode="clip")
+                width[again] = left
+                used[again] = place + 1
+                again = again[left < _LEAST]
+        if end < length:
+            missing = np.flatnonzero(misses)
+            blocks, symbols = lanes.take(missing), out[begin:end].reshape(-1)[missing]
+            at_high, at_low = (symbols >> 8) * (2 * n) + blocks, (symbols & 255) * (2 * n) + (blocks + n)
+            model.renew(seen.reshape(-1), at_high, at_low, misses.sum(axis=0))
     return out.T

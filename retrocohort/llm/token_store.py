@@ -15,106 +15,205 @@ bytes (u32), then CRC-32 of the ids (u32); CRC-32 of all this (u32); the blocks.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from retrocohort.llm.texts import chunks
 from retrocohort.llm.token_coder import LIMIT, decode, encode
 from retrocohort.staging import stage
 
-MAGIC, VERSION = b"TIDS", 2
+MAGIC, VERSION = b"TIDS", 3
 HEADER = "<4sIIQII"
 
 # Ids in a block, and in a record unless one document has more.
 BLOCK = 2048
 RECORD = 2048 * BLOCK
-# Words whose ids a task remembers; beyond, it starts anew.
+# Parts of words, and words that are encoded whole, whose ids a task remembers; beyond, it starts anew.
 REMEMBERED = 400_000
 # New words that the tokenizer gets as one text.
 JOINED = 256
-# Documents whose new words are looked up together.
-TOGETHER = 256
+# Bytes of text whose distinct words are looked up together; one longer document is taken whole.
+TOGETHER = 8 << 20
+
+# What a tokenizer does before it looks at single parts of words, if it is of this kind. The pattern's
+# classes of letters and digits are then those of the plain characters, and parts can be told without it.
+PLAIN = {
+    "normalizer": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+    "pre_tokenizer": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_ODD = re.compile("[^\n!-~À-ÖØ-öø-ÿ]")
+_PARTS = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-z0-9ß-öø-ÿ]+")
 
 RECORDS = "part int, record int, payload binary"
 STORED = "part int, record int, place long, doc_id long, n_tokens long, ids_crc32 long"
 
 
 class _Numbers(dict):
-    """Numbers of words in the order in which they are first asked for; new ones are listed."""
+    """Numbers of words or parts in the order in which they first came."""
+
+    def add(self, words: list[str]) -> list[str]:
+        """Those of distinct ``words`` that are new."""
+        new = [w for w in words if w not in self]
+        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+        return new
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
+
+
+class _Runs:
+    """Ids of numbered things, one after the other."""
 
     def __init__(self):
-        self.new: list[bytes] = []
+        self.ids = np.zeros(0, dtype=np.int32)
+        self.begin = np.zeros(1, dtype=np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        self.new.append(word)
-        self[word] = number = len(self)
-        return number
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.ids = np.concatenate([self.ids, np.asarray(ids, dtype=np.int32)])
+        self.begin = np.concatenate([self.begin, np.cumsum(sizes, dtype=np.int64) + self.begin[-1]])
+
+    def get(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the numbers, and where each number's end."""
+        first = self.begin[which]
+        sizes = self.begin[which + 1] - first
+        ends = np.cumsum(sizes)
+        at = np.repeat(first - ends + sizes, sizes)
+        at += np.arange(len(at))
+        return self.ids[at], ends
 
 
 class _Encoder:
-    """Ids of texts, word by word: the tokenizer never looks across white space."""
+    """Ids of texts, word by word: the tokenizer never looks across white space.
+
+    Words of plain characters are cut to the parts that the tokenizer encodes one by one, if it is of that
+    kind, and each distinct part is encoded once; other words are encoded whole.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         added = self.tokenizer.get_added_tokens_decoder()
         # A special token between words parts their ids; it is cut out before anything else is done.
         exact = (i for i, t in added.items() if t.special and not (t.lstrip or t.rstrip or t.single_word))
         self.border = next(exact, None)
-        self.special = [t.content.encode() for t in added.values()]
+        self.special = [t.content for t in added.values()]
+        with open(path, encoding="utf-8") as file:
+            settings = json.load(file)
+        steps = {
+            "normalizer": (settings.get("normalizer") or {}).get("normalizers"),
+            "pre_tokenizer": (settings.get("pre_tokenizer") or {}).get("pretokenizers"),
+        }
+        suffix = settings["model"].get("end_of_word_suffix")
+        self.plain = steps == PLAIN and bool(suffix) and not any(t.normalized for t in added.values())
+        if self.plain:
+            # the model alone, for parts that are cut and in lower case; the last id of a part tells its end
+            self.bare = Tokenizer(self.tokenizer.model)
+            self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            )
+            vocabulary = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.forget()
 
     def forget(self) -> None:
-        self.number = _Numbers()
-        self.ids = np.zeros(0, dtype=np.int64)
-        self.begin = np.zeros(1, dtype=np.int64)
+        self.number, self.words = _Numbers(), _Runs()
+        # a line feed ends a word and has no ids
+        self.part, self.parts = _Numbers({"\n": 0}), _Runs()
+        self.parts.add(np.zeros(0), np.zeros(1))
 
-    def _one_by_one(self, words: list[bytes]) -> tuple[list[int], list[int]]:
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+    def _one_by_one(self, words: list[str]) -> tuple[list[int], list[int]]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         lists = [e.ids for e in found]
         return [i for x in lists for i in x], [len(x) for x in lists]
 
-    def _joined(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         border = self.tokenizer.id_to_token(self.border)
-        texts = [border.join(w.decode() for w in words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+        texts = [border.join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         ids = np.concatenate([np.array([*e.ids, self.border], dtype=np.int64) for e in found])
         cuts = np.flatnonzero(ids == self.border)
         return np.delete(ids, cuts), np.diff(cuts, prepend=-1) - 1
 
-    def learn(self, words: list[bytes]) -> None:
-        """The ids of words with the next numbers."""
-        text = b"\n".join(words)
-        plain = self.border is not None and not any(t in text for t in self.special)
-        ids, sizes = self._joined(words) if plain else self._one_by_one(words)
-        self.ids = np.concatenate([self.ids, np.asarray(ids, dtype=np.int64)])
-        self.begin = np.concatenate([self.begin, np.cumsum(sizes) + self.begin[-1]])
-
-    def __call__(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        if len(self.number) > REMEMBERED:
+    def _spaced(self, parts: list[str]) -> tuple[np.ndarray | list[int], np.ndarray | list[int]]:
+        found = self.bare.encode_batch_fast([" ".join(parts)], add_special_tokens=False)
+        ids = np.array(found[0].ids, dtype=np.int64)
+        ends = np.flatnonzero(self.last[ids])
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(parts) else self._one_by_one(parts)
+
+    def _by_parts(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        parts = _PARTS.findall(("\n".join(words) + "\n").lower())
+        new = self.part.add(list(dict.fromkeys(parts)))
+        if new:
+            self.parts.add(*self._spaced(new))
+        numbers = self.part.of(parts)
+        ids, ends = self.parts.get(numbers)
+        return ids, np.diff(ends[numbers == 0], prepend=0)
+
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        new = self.number.add(words)
+        if new:
+            border = self.border is not None and not any(t in "\n".join(new) for t in self.special)
+            self.words.add(*(self._joined if border else self._one_by_one)(new))
+        ids, ends = self.words.get(self.number.of(words))
+        return ids, np.diff(ends, prepend=0)
+
+    def encode(self, words: list[str]) -> _Runs:
+        """The ids of distinct words."""
+        runs, text = _Runs(), "\n".join(words)
+        special = any(t in text for t in self.special)
+        if self.plain and not special and not _ODD.search(text):
+            runs.add(*self._by_parts(words))
+            return runs
+        odd = np.array([not self.plain or bool(_ODD.search(w)) or any(t in w for t in self.special) for w in words])
+        places = np.empty(len(words), dtype=np.int64)
+        for kind, ids_of in ((~odd, self._by_parts), (odd, self._whole)):
+            chosen = np.flatnonzero(kind)
+            if len(chosen):
+                places[chosen] = np.arange(len(chosen)) + len(runs.begin) - 1
+                runs.add(*ids_of([words[i] for i in chosen.tolist()]))
+        ids, ends = runs.get(places)
+        both = _Runs()
+        both.add(ids, np.diff(ends, prepend=0))
+        return both
+
+    def __call__(self, texts: pa.Array | list[str], end_id: int) -> list[np.ndarray]:
+        if len(self.number) + len(self.part) > REMEMBERED:
             self.forget()
-        split = [text.encode().split() for text in texts]
-        which = [np.fromiter(map(self.number.__getitem__, w), dtype=np.int64, count=len(w)) for w in split]
-        if self.number.new:
-            self.learn(self.number.new)
-            self.number.new = []
-        return [self._ids(w, end_id) for w in which]
-
-    def _ids(self, which: np.ndarray, end_id: int) -> np.ndarray:
-        first = self.begin[which]
-        sizes = self.begin[which + 1] - first
-        ends = np.cumsum(sizes)
-        at = np.repeat(first - ends + sizes, sizes) + np.arange(int(sizes.sum()))
-        return np.append(self.ids[at], end_id)
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        split = pc.ascii_split_whitespace(pc.fill_null(column, ""))
+        offsets = split.offsets.to_numpy()
+        found = split.values.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).dictionary_encode()
+        distinct = found.dictionary
+        # no word has a line feed
+        kind = pa.LargeListArray if pa.types.is_large_string(distinct.type) else pa.ListArray
+        words = pc.binary_join(kind.from_arrays([0, len(distinct)], distinct), "\n")[0].as_py().split("\n")
+        runs = self.encode(words) if len(distinct) else _Runs()
+        ids, ends = runs.get(found.indices.to_numpy())
+        cuts = np.concatenate([[0], ends])[offsets - offsets[0]]
+        ids = np.insert(ids, cuts[1:], end_id)
+        return np.split(ids, (cuts[1:] + np.arange(1, len(cuts)))[:-1]) if len(cuts) > 1 else []
 
 
 def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
@@ -177,10 +276,9 @@ def _writer(tokenizer: str, end_id: int):
             return pa.RecordBatch.from_arrays(columns, names=["part", "record", "payload"])
 
         for batch in batches:
-            for first in range(0, len(batch), TOGETHER):
-                rows = batch.slice(first, TOGETHER)
-                texts = [text.as_py() or "" for text in rows.column(1)]
-                for doc_id, ids in zip(rows.column(0), encoder(texts, end_id), strict=True):
+            for first, upto, _, _ in chunks(batch.column(1), TOGETHER):
+                rows = batch.slice(first, upto - first)
+                for doc_id, ids in zip(rows.column(0), encoder(rows.column(1), end_id), strict=True):
                     if documents and held + len(ids) > RECORD:
                         yield row()
                         doc_ids, documents, held, record = [], [], 0, record + 1

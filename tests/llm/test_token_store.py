@@ -104,3 +104,33 @@ def test_remembered_ids_outlast_one_other_id():
     codes = encode(blocks)
     assert (decode(codes, 2048) == blocks).all()
     assert sum(map(len, codes)) / blocks.size < 1.55
+
+
+def test_each_part_of_words_is_encoded_once():
+    encoder = token_store._Encoder(PATH)
+    texts = ["Word, word. (WORD) words; word-word", "WORD! été Été. ÉTÉ", None, "\n word 12 2 日本 日本"]
+    tokenizer = Tokenizer.from_file(PATH)
+    for found, text in zip(encoder(texts, 1), texts, strict=True):
+        assert found.tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    assert {p for p in encoder.part if p.isalnum()} == {"word", "words", "été", "1", "2"}
+    assert list(encoder.number) == ["日本"]
+
+
+def test_odd_joins_equal_whole_texts():
+    draw = np.random.default_rng(6)
+    pieces = ["'", "s", "'LL", "re", "Z", "é", "ÿ", "×", "ª", "µ", "²", "0", ".", "<|endoftext|>", "<|", "|>", "</w>",
+              " ", "\n", "\x0b", "\x1c", "\x85", "\xa0", "İ", "Σ", "́", "日本", "🙂", "K", "\x00", "-"]
+    tokenizer, encoder = Tokenizer.from_file(PATH), token_store._Encoder(PATH)
+    for last in (12, len(pieces)):
+        texts = ["".join(draw.choice(pieces[:last], 12)) for _ in range(400)]
+        expect = [[*e.ids, 1] for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in encoder(texts, 1)] == expect
+
+
+def test_carries_go_through_many_words():
+    """Ids at the upper ends of all spans: the low end of the interval is all ones, and often overflows."""
+    draw = np.random.default_rng(7)
+    ids = np.where(draw.random((64, 900)) < 0.03, draw.integers(0, 1 << 16, (64, 900)), 65_535)
+    codes = encode(ids)
+    assert (decode(codes, 900) == ids).all()
+    assert sum(map(len, codes)) / ids.size < 0.143
