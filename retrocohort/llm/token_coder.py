@@ -247,7 +247,7 @@ def decode(codes: list[bytes], length: int) -> np.ndarray:
     flat[:-1] = (flat[:-1] << 15) | (flat[1:] >> 1)
     used = np.arange(n) * step + 3
     width = np.full(n, 1 << 63, dtype=np.uint64)
-    out = np.zeros((length, n), dtype=np.int64)
+    out = np.zeros((length, n), dtype=np.uint16)
     at, slots = np.empty((2, n), dtype=np.int64), np.empty(2 * n, dtype=np.int32)
     order2, order1 = slots[:n], slots[n:]
     fresh = np.empty((2, n), dtype=np.int32)
@@ -307,7 +307,7 @@ def decode(codes: list[bytes], length: int) -> np.ndarray:
                 again = again[left < _LEAST]
         if end < length:
             missing = np.flatnonzero(misses)
-            blocks, symbols = lanes.take(missing), out[begin:end].reshape(-1)[missing]
+            blocks, symbols = lanes.take(missing), out[begin:end].reshape(-1)[missing].astype(np.int64)
             at_high, at_low = (symbols >> 8) * (2 * n) + blocks, (symbols & 255) * (2 * n) + (blocks + n)
             model.renew(seen.reshape(-1), at_high, at_low, misses.sum(axis=0))
     return out.T

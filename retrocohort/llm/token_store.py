@@ -20,7 +20,7 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ HEADER = "<4sIIQII"
 # Ids in a block, and in a record unless one document has more.
 BLOCK = 2048
 RECORD = 2048 * BLOCK
+# Blocks that are decoded together, of several records if they are small.
+SIDE_BY_SIDE = 2 * RECORD // BLOCK
 # Parts of words, and words that are encoded whole, whose ids a task remembers; beyond, it starts anew.
 REMEMBERED = 400_000
 # New words that the tokenizer gets as one text.
@@ -223,7 +225,7 @@ def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
         raise ValueError(f"ids must be below {LIMIT}")
     size = min(BLOCK, max(1, len(ids)))
     n = -(-len(ids) // size)
-    blocks = np.zeros(n * size, dtype=np.int64)
+    blocks = np.zeros(n * size, dtype=np.uint16)
     blocks[: len(ids)] = ids
     blocks = blocks.reshape(n, size)
     codes = encode(blocks) if n else []
@@ -236,32 +238,62 @@ def pack(doc_ids: list[int | None], documents: list[np.ndarray]) -> bytes:
     return b"".join([head, struct.pack("<I", zlib.crc32(head)), *codes])
 
 
+class _Record:
+    """What the header of a record tells, and its blocks' codes."""
+
+    def __init__(self, record: bytes):
+        magic, version, n_docs, self.n_ids, self.size, n = struct.unpack_from(HEADER, record)
+        if magic != MAGIC or version != VERSION:
+            raise ValueError("not a record of token ids")
+        at = struct.calcsize(HEADER)
+
+        def read(kind: str, count: int) -> np.ndarray:
+            nonlocal at
+            out = np.frombuffer(record, dtype=kind, count=count, offset=at)
+            at += out.nbytes
+            return out
+
+        doc_ids, self.lengths, missing = read("<i8", n_docs), read("<u8", n_docs), read("u1", n_docs)
+        sizes, self.sums = read("<u4", n), read("<u4", n)
+        if zlib.crc32(record[:at]) != read("<u4", 1)[0]:
+            raise ValueError("the header of a record is damaged")
+        ends = at + np.cumsum(sizes, dtype=np.int64)
+        self.codes = [record[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        self.doc_ids = [None if m else int(d) for d, m in zip(doc_ids, missing, strict=True)]
+
+    def documents(self, blocks: np.ndarray) -> list[np.ndarray]:
+        for i, block in enumerate(blocks):
+            if zlib.crc32(block.astype("<u4").tobytes()) != self.sums[i]:
+                raise ValueError(f"block {i} of a record is damaged")
+        cuts = np.cumsum(self.lengths, dtype=np.int64)
+        return np.split(blocks.reshape(-1)[: self.n_ids], cuts[:-1]) if len(cuts) else []
+
+
+def _side_by_side(records: Iterable[_Record]) -> Iterator[list[_Record]]:
+    """Neighbours with blocks of one size."""
+    group, held = [], 0
+    for record in records:
+        if group and (record.size != group[0].size or held + len(record.codes) > SIDE_BY_SIDE):
+            yield group
+            group, held = [], 0
+        group.append(record)
+        held += len(record.codes)
+    if group:
+        yield group
+
+
+def unpack_all(records: Iterable[bytes]) -> Iterator[tuple[list[int | None], list[np.ndarray]]]:
+    """What :func:`pack` was given for each record; raises ValueError if a checksum differs."""
+    for group in _side_by_side(map(_Record, records)):
+        codes = [c for record in group for c in record.codes]
+        blocks = decode(codes, group[0].size) if codes else np.zeros((0, 1), dtype=np.int64)
+        cuts = np.cumsum([len(record.codes) for record in group])
+        for record, own in zip(group, np.split(blocks, cuts[:-1]), strict=True):
+            yield record.doc_ids, record.documents(own)
+
+
 def unpack(record: bytes) -> tuple[list[int | None], list[np.ndarray]]:
-    """What :func:`pack` was given; raises ValueError if a checksum differs."""
-    magic, version, n_docs, n_ids, size, n = struct.unpack_from(HEADER, record)
-    if magic != MAGIC or version != VERSION:
-        raise ValueError("not a record of token ids")
-    at = struct.calcsize(HEADER)
-
-    def read(kind: str, count: int) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(record, dtype=kind, count=count, offset=at)
-        at += out.nbytes
-        return out
-
-    doc_ids, lengths, missing = read("<i8", n_docs), read("<u8", n_docs), read("u1", n_docs)
-    sizes, sums = read("<u4", n), read("<u4", n)
-    if zlib.crc32(record[:at]) != read("<u4", 1)[0]:
-        raise ValueError("the header of a record is damaged")
-    ends = at + np.cumsum(sizes, dtype=np.int64)
-    codes = [record[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
-    blocks = decode(codes, size) if n else np.zeros((0, 1), dtype=np.int64)
-    for i, block in enumerate(blocks):
-        if zlib.crc32(block.astype("<u4").tobytes()) != sums[i]:
-            raise ValueError(f"block {i} of a record is damaged")
-    cuts = np.cumsum(lengths, dtype=np.int64)
-    documents = np.split(blocks.reshape(-1)[:n_ids], cuts[:-1]) if n_docs else []
-    return [None if m else int(d) for d, m in zip(doc_ids, missing, strict=True)], documents
+    return next(unpack_all([record]))
 
 
 def _writer(tokenizer: str, end_id: int):
@@ -293,8 +325,9 @@ def _writer(tokenizer: str, end_id: int):
 
 def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, record, payload in zip(*batch.columns, strict=True):
-            doc_ids, documents = unpack(payload.as_py())
+        parts, numbers, payloads = batch.columns
+        found = unpack_all(payload.as_py() for payload in payloads)
+        for part, record, (doc_ids, documents) in zip(parts, numbers, found, strict=True):
             lengths = np.array([len(d) for d in documents], dtype=np.int64)
             n = len(documents)
             columns = [

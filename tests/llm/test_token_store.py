@@ -134,3 +134,27 @@ def test_carries_go_through_many_words():
     codes = encode(ids)
     assert (decode(codes, 900) == ids).all()
     assert sum(map(len, codes)) / ids.size < 0.143
+
+
+def test_records_are_decoded_side_by_side(monkeypatch):
+    draw = np.random.default_rng(8)
+    given = [
+        ([i, None], [draw.integers(0, 49_408, size), np.array([1])])
+        for i, size in enumerate((5000, 9000, 3, 3, 4, 100_000, 2500))
+    ]
+    records = [pack(*x) for x in given] + [pack([7], [np.zeros(0, dtype=np.int64)])]
+    calls = []
+    monkeypatch.setattr(token_store, "decode", lambda codes, size: calls.append(len(codes)) or decode(codes, size))
+    for bound, expect in ((token_store.SIDE_BY_SIDE, [8, 2, 1, 51]), (50, [8, 2, 1, 49, 2])):
+        calls.clear()
+        monkeypatch.setattr(token_store, "SIDE_BY_SIDE", bound)
+        found = list(token_store.unpack_all(records))
+        assert calls == expect
+        assert found[-1][0] == [7] and [len(d) for d in found[-1][1]] == [0]
+        for (doc_ids, documents), (ids, expected_documents) in zip(found[:-1], given, strict=True):
+            assert doc_ids == ids
+            assert all((a == b).all() and len(a) == len(b) for a, b in zip(documents, expected_documents, strict=True))
+    broken = bytearray(records[1])
+    broken[-40] ^= 1
+    with pytest.raises(ValueError, match="damaged"):
+        list(token_store.unpack_all([records[0], bytes(broken), records[2]]))
